@@ -55,7 +55,8 @@ def recon_status(amount_tolerance: float = 0.0):
 
 def reconcile(clean: DataFrame, ledger: DataFrame, amount_tolerance: float = 0.0, dedup_ledger: bool = True):
     """Left-join clean transactions to the ledger on ``transaction_id`` and add
-    ``recon_status``. Ledger columns are not carried. Ledger-only ids are not
+    ``recon_status``. Output: the seven transaction columns + ``recon_status``;
+    ledger columns are not carried. Ledger-only ids are not
     reported.
 
     With ``dedup_ledger`` the ledger is first reduced to one row per id, so a
@@ -67,5 +68,4 @@ def reconcile(clean: DataFrame, ledger: DataFrame, amount_tolerance: float = 0.0
     right = unique_ledger(ledger).unique if dedup_ledger else ledger.filter(F.col("transaction_id").isNotNull())
     right = right.select(F.col("transaction_id").alias("_ledger_id"), "ledger_amount", "ledger_status")
     joined = clean.join(right, clean["transaction_id"] == right["_ledger_id"], "left")
-    keep = [c for c in clean.columns if c != "dq_flag"]
-    return joined.select(*[clean[c] for c in keep], recon_status(amount_tolerance).alias("recon_status"))
+    return joined.select(*[clean[c] for c in C.TRANSACTION_COLUMNS], recon_status(amount_tolerance).alias("recon_status"))
