@@ -86,32 +86,71 @@ def classify(
     return j.withColumn("change", change)
 
 
-def _version(prefix: str, start: Column, end: Column, current: Column) -> Column:
+def _version(prefix: str, start: Column, end: Column, current: Column, role: Column) -> Column:
     return F.struct(
         *[F.col(f"{prefix}{c}").alias(c) for c in INCOMING_COLUMNS],
         start.alias("effective_start_date"),
         end.alias("effective_end_date"),
         current.alias("is_current"),
+        role.alias("_role"),
     )
 
 
+# Role tags of output rows (see ``merge_classified(tag_col=...)``).
+ROLE_HISTORY = "HISTORY"
+ROLE_CLOSED = "CLOSED"
+
+
 def merge_classified(
-    existing: DataFrame, classified: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPEN_END
+    existing: DataFrame,
+    classified: DataFrame,
+    run_ts: RunTs,
+    open_end: str = C.SCD2_OPEN_END,
+    tag_col: Optional[str] = None,
 ) -> DataFrame:
-    """Curated table after the merge: history + versions emitted per class."""
+    """Curated table after the merge: history + versions emitted per class.
+
+    With ``tag_col`` every output row also carries its role: HISTORY, CLOSED,
+    or the change class of the row it came from (NEW / CHANGED for opened
+    versions, UNCHANGED / ABSENT for kept ones). Run counts can then be
+    observed on the final rows of the write itself.
+    """
     run = ts_literal(run_ts)
-    keep = _version("c_", F.col("c_effective_start_date"), F.col("c_effective_end_date"), F.col("c_is_current"))
-    close = _version("c_", F.col("c_effective_start_date"), run, F.lit(False))
-    opened = _version("n_", run, ts_literal(open_end), F.lit(True))
     change = F.col("change")
+    keep = _version("c_", F.col("c_effective_start_date"), F.col("c_effective_end_date"), F.col("c_is_current"), change)
+    close = _version("c_", F.col("c_effective_start_date"), run, F.lit(False), F.lit(ROLE_CLOSED))
+    opened = _version("n_", run, ts_literal(open_end), F.lit(True), change)
     versions = (
         F.when(change == CHANGE_NEW, F.array(opened))
         .when(change == CHANGE_CHANGED, F.array(close, opened))
         .otherwise(F.array(keep))
     )
     touched = classified.select(F.explode(versions).alias("v")).select("v.*")
-    history = existing.filter(~F.col("is_current")).select(*C.CURATED_COLUMNS)
-    return history.unionByName(touched).select(*C.CURATED_COLUMNS)
+    history = existing.filter(~F.col("is_current")).select(*C.CURATED_COLUMNS, F.lit(ROLE_HISTORY).alias("_role"))
+    out = history.unionByName(touched)
+    return out.select(*C.CURATED_COLUMNS, *([F.col("_role").alias(tag_col)] if tag_col else []))
+
+
+def initial_tagged(incoming: DataFrame, run_ts: RunTs, tag_col: str, open_end: str = C.SCD2_OPEN_END) -> DataFrame:
+    """First load with the role tag (every row NEW)."""
+    return open_versions(incoming, run_ts, open_end).withColumn(tag_col, F.lit(CHANGE_NEW))
+
+
+def tagged_counts(tag_col: str):
+    """Aggregates over tagged merge output: the merge counts, the number of
+    incoming rows, and incoming rows per recon status."""
+    role = F.col(tag_col)
+    incoming = role.isin(CHANGE_NEW, CHANGE_CHANGED, CHANGE_UNCHANGED)
+    return [
+        F.count_if(role.isin(CHANGE_NEW, CHANGE_CHANGED)).alias("inserted"),
+        F.count_if(role == ROLE_CLOSED).alias("closed"),
+        F.count_if(role == CHANGE_UNCHANGED).alias("unchanged"),
+        F.count_if(role == CHANGE_NEW).alias("new_ids"),
+        F.count_if(role == CHANGE_ABSENT).alias("absent"),
+        F.count_if(incoming).alias("incoming"),
+        *[F.count_if(incoming & (F.col("recon_status") == F.lit(s))).alias(s) for s in C.RECON_STATUSES],
+        F.count(F.lit(1)).alias("curated_rows"),
+    ]
 
 
 def scd2_merge(

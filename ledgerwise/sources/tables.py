@@ -63,13 +63,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def read_curated(spark: SparkSession, path: str) -> Optional[DataFrame]:
-    """The curated table in its column order, or None before the first load."""
+    """The curated table in its column order, or None before the first load.
+    The schema is given, so no file footer is read to infer it."""
     if not has_table(spark, path):
         return None
-    return spark.read.parquet(path).select(*C.CURATED_COLUMNS)
+    from ledgerwise.operators.scd2 import CURATED_SCHEMA
 
+    return spark.read.schema(CURATED_SCHEMA).parquet(path).select(*C.CURATED_COLUMNS)
 
-def write_swap(df: DataFrame, path: str, partition_by: str, observe=None) -> DataFrame:
+
+def write_swap(
+    df: DataFrame, path: str, partition_by: str, observation=None, metrics=None, drop=()
+) -> None:
     """Write ``df`` as the new content of ``path`` without ever deleting files
     the write is still reading: the table goes to a sibling staging folder,
     and only after the job commits is it swapped in by two renames.
@@ -78,16 +83,21 @@ def write_swap(df: DataFrame, path: str, partition_by: str, observe=None) -> Dat
     partition value over several tasks and merges small ones, so file sizes
     stay even without a fixed partition count.
 
-    ``observe`` is an optional ``pyspark.sql.Observation`` filled by the write
-    itself. Returns the frame that was written.
+    ``observation`` (a ``pyspark.sql.Observation``) is filled with ``metrics``
+    (default: row count) by the write itself. It sits after the rebalance
+    exchange, in the final stage, so a re-run of an earlier stage can never
+    count rows twice. Columns in ``drop`` are removed after the observation
+    (helper tags used only for counting).
     """
     spark = df.sparkSession
     token = uuid.uuid4().hex
     staging = f"{path.rstrip('/')}.__staging-{token}"
     old = f"{path.rstrip('/')}.__old-{token}"
     out = df.hint("rebalance", partition_by)
-    if observe is not None:
-        out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
+    if observation is not None:
+        out = out.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")]))
+    if drop:
+        out = out.drop(*drop)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -99,12 +109,12 @@ def write_swap(df: DataFrame, path: str, partition_by: str, observe=None) -> Dat
     _rename(spark, staging, path)
     if path_exists(spark, old):
         _delete(spark, old)
-    return out
 
 
-def write_curated(df: DataFrame, path: str, observe=None) -> None:
+def write_curated(df: DataFrame, path: str, observation=None, metrics=None, tag_col=None) -> None:
     """Replace the curated table, partitioned by business date."""
-    write_swap(df.select(*C.CURATED_COLUMNS), path, "transaction_date", observe)
+    cols = C.CURATED_COLUMNS + ([tag_col] if tag_col else [])
+    write_swap(df.select(*cols), path, "transaction_date", observation, metrics, [tag_col] if tag_col else ())
 
 
 def with_run_columns(quarantine: DataFrame, run_scenario: str, run_ts) -> DataFrame:
@@ -113,10 +123,12 @@ def with_run_columns(quarantine: DataFrame, run_scenario: str, run_ts) -> DataFr
     )
 
 
-def write_quarantine(quarantine: DataFrame, path: str, run_scenario: str, run_ts, observe=None) -> None:
-    """Replace the quarantine table, partitioned by flag. The overwrite is
-    static, so flags of an earlier run that are absent now do not linger."""
-    write_swap(with_run_columns(quarantine, run_scenario, run_ts), path, "dq_flag", observe)
+def write_quarantine(
+    quarantine: DataFrame, path: str, run_scenario: str, run_ts, observation=None, metrics=None
+) -> None:
+    """Replace the quarantine table, partitioned by flag. The whole table is
+    replaced, so flags of an earlier run that are absent now do not linger."""
+    write_swap(with_run_columns(quarantine, run_scenario, run_ts), path, "dq_flag", observation, metrics)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> Optional[DataFrame]:
