@@ -1,8 +1,9 @@
 """Column expressions shared by the operators.
 
 Parsing never raises under ANSI mode and never depends on the session time
-zone: dates go through ``try_to_date`` behind a shape check, timestamps
-through a shape check and ``try_cast`` to ``timestamp_ntz``.
+zone: text must first match the exact shape (``yyyy-MM-dd`` /
+``yyyy-MM-ddTHH:mm:ss``), then ``try_cast`` to DATE / TIMESTAMP_NTZ turns
+impossible calendar values into NULL.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ def strict_date(c: ColumnOrName) -> Column:
     """``yyyy-MM-dd`` text to DATE; anything else (including impossible
     calendar dates) becomes NULL instead of failing the job."""
     c = _col(c)
-    return F.when(c.rlike(C.DATE_PATTERN), F.try_to_date(c, C.DATE_FORMAT))
+    # The shape check pins the text to yyyy-MM-dd, so the cast's own parser
+    # (cheaper than a pattern formatter) gives the same result.
+    return F.when(c.rlike(C.DATE_PATTERN), c.try_cast("date"))
 
 
 def strict_timestamp_ntz(c: ColumnOrName) -> Column:

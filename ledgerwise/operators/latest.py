@@ -7,12 +7,12 @@ group of identical copies) never lands whole in one task:
   partial aggregate runs map-side, so each map task ships at most one row per
   key. The result is hash-partitioned by ``key``, which the reconcile and SCD2
   joins downstream reuse without another exchange.
-* ``losers``: identical copies are first collapsed to ``(row, copies)`` (again
-  with map-side combine), the distinct rows are joined to the winners on
-  ``key`` (AQE splits a skewed key across tasks; the winner side has one row
-  per key), and ``copies`` (minus one for the winning row) are expanded back
-  into rows. Expansion of a very large copy count is split into chunks that
-  are spread across tasks before they are exploded.
+* ``losers``: every row is joined to the best of its key (AQE splits a hot
+  key across tasks; the best side has one row per key). Rows that are not the
+  best are losers as they are; exact copies of the best are collapsed to
+  ``(row, copies)`` with map-side combine and ``copies - 1`` are expanded
+  back. Expansion of a very large copy count is cut into chunks that are
+  spread across tasks before they are exploded.
 
 The order is total: the caller's order columns first, then every remaining
 column, so the choice does not depend on partitioning or input order.
@@ -52,26 +52,23 @@ def latest_winners(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFr
 def expand_copies(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Turn ``(row, n)`` into ``n`` copies of ``row``; drops ``count_col``.
 
-    Rows with ``n <= chunk`` are exploded in place. Larger counts are first
-    cut into ``ceil(n / chunk)`` chunk rows, redistributed, and then exploded,
-    so no single task emits an unbounded number of rows.
+    Each row is first cut into ``ceil(n / chunk)`` chunk rows, the chunk rows
+    are redistributed round-robin, and only then exploded into copies, so no
+    single task emits more than ``chunk`` copies of one row. Only rows with
+    ``n > 0`` enter (callers pass copy surpluses, which are rare), so the
+    redistribution moves little data.
     """
     columns = [c for c in df.columns if c != count_col]
     n = F.col(count_col)
-    small = (
-        df.filter((n > 0) & (n <= chunk))
-        .withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int"))))
-        .select(*columns)
+    first = F.col("_c") * F.lit(chunk)
+    last_chunk = F.floor((n - F.lit(1)) / F.lit(chunk)).cast("bigint")
+    return (
+        df.filter(n > 0)
+        .select(*columns, n.alias("_n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("_c"))
+        .hint("rebalance")
+        .select(*columns, F.explode(F.sequence(first + 1, F.least(first + chunk, F.col("_n")))).alias("_i"))
+        .drop("_i")
     )
-    big = (
-        df.filter(n > chunk)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), ((n - 1) / F.lit(chunk)).cast("bigint"))))
-        .repartition("_chunk", *columns)
-        .withColumn("_len", F.least(F.lit(chunk), n - F.col("_chunk") * F.lit(chunk)).cast("int"))
-        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_len"))))
-        .select(*columns)
-    )
-    return small.unionByName(big)
 
 
 def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSplit:
@@ -80,17 +77,30 @@ def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSpl
     ``winners ∪ losers`` has exactly the rows of ``df`` (as a bag). Rows with a
     NULL key form one group like any other; callers route them away first if
     NULL keys must not compete.
+
+    Plan: the per-key best (map-side combined aggregate, shared with
+    ``winners``) is joined back to the rows on ``key`` — the only full shuffle
+    of the rows, and one AQE may split when a key is hot, since nothing after
+    it requires the key partitioning. Rows that are not the best are losers as
+    they are. Rows equal to the best (the winner and its exact copies) are
+    counted per distinct row: the copies collapse map-side, so this second
+    shuffle carries at most one row per key and map task. ``count - 1`` of
+    them are expanded back as losers.
     """
     columns = df.columns
-    winners = latest_winners(df, key, order_cols)
-    best = winners.select(F.col(key).alias("_best_key"), _rank_struct(columns, order_cols).alias("_best"))
-    distinct_rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    marked = distinct_rows.join(best, on=F.col(key).eqNullSafe(F.col("_best_key")), how="inner").select(
-        *columns,
-        (
-            F.col("_copies")
-            - F.when(_rank_struct(columns, order_cols).eqNullSafe(F.col("_best")), F.lit(1)).otherwise(F.lit(0))
-        ).alias("_surplus"),
+    rank = _rank_struct(columns, order_cols)
+    best = df.groupBy(key).agg(F.max(rank).alias("_best"))
+    winners = best.select(*[F.col("_best")[c].alias(c) for c in columns])
+    marked = df.join(
+        best.withColumnRenamed(key, "_best_key"), F.col(key).eqNullSafe(F.col("_best_key")), "inner"
+    ).withColumn("_is_best", rank.eqNullSafe(F.col("_best")))
+    beaten = marked.filter(~F.col("_is_best")).select(*columns)
+    copies = (
+        marked.filter(F.col("_is_best"))
+        .select(F.struct(*columns).alias("_row"))
+        .groupBy("_row")
+        .agg((F.count(F.lit(1)) - 1).alias("_surplus"))
+        .select("_row.*", "_surplus")
     )
-    losers = expand_copies(marked, "_surplus")
+    losers = beaten.unionByName(expand_copies(copies, "_surplus"))
     return LatestSplit(winners=winners, losers=losers)

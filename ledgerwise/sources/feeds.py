@@ -51,7 +51,10 @@ def _date_text() -> Column:
 
 
 def _feed_with_key(orders: DataFrame) -> DataFrame:
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", _date_text().alias("_day")
+    )
+    day = F.col("_day")
     base = o.select(
         _k().alias("_k"),
         F.when(_mod(40, 3), F.lit(None).cast("string")).otherwise(_id_text()).alias("transaction_id"),
@@ -62,12 +65,12 @@ def _feed_with_key(orders: DataFrame) -> DataFrame:
         .otherwise(F.col("o_totalprice"))
         .alias("amount"),
         F.when(_k() % 3 == 0, "USD").when(_k() % 3 == 1, "EUR").otherwise("GBP").alias("currency"),
-        F.when(_mod(43, 7), F.lit("not-a-date")).otherwise(_date_text()).alias("transaction_date"),
+        F.when(_mod(43, 7), F.lit("not-a-date")).otherwise(day).alias("transaction_date"),
         _status().alias("status"),
         F.when(_mod(97, 2), F.lit(None).cast("string"))
-        .otherwise(F.concat(_date_text(), F.lit("T"), F.lpad((_k() % 20).cast("string"), 2, "0"), F.lit(":15:00")))
+        .otherwise(F.concat(day, F.lit("T"), F.lpad((_k() % 20).cast("string"), 2, "0"), F.lit(":15:00")))
         .alias("updated_at"),
-        _date_text().alias("_day"),
+        day,
     )
     dup = base.filter(F.col("_k") % 37 == 11).select(
         "_k",
