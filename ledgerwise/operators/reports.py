@@ -34,17 +34,15 @@ def recon_breaks(df: DataFrame, statuses: Optional[Iterable[str]] = None) -> Dat
     """Rows of the chosen statuses. Default: everything but MATCHED, or every
     row when nothing but MATCHED is present.
 
-    The "anything but MATCHED present?" test is a one-row global aggregate
-    (size fixed at one row) joined back with a broadcast.
+    The "anything but MATCHED present?" test is an uncorrelated scalar
+    subquery: Spark runs the one-row aggregate once and uses its value as a
+    constant in the filter (no join).
     """
     if statuses:
         return df.filter(F.col("recon_status").isin(list(statuses)))
-    flag = df.agg(F.count_if(F.col("recon_status") != F.lit(C.RECON_MATCHED)).alias("_breaks")).withColumn(
-        "_one", F.lit(1)
-    )
-    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(flag), "_one")
-    keep = (F.col("_breaks") == 0) | ~F.col("recon_status").eqNullSafe(F.lit(C.RECON_MATCHED))
-    return joined.filter(keep).select(*df.columns)
+    is_break = ~F.col("recon_status").eqNullSafe(F.lit(C.RECON_MATCHED))
+    n_breaks = df.agg(F.count_if(is_break)).scalar()
+    return df.filter(is_break | (n_breaks == F.lit(0)))
 
 
 def scd2_history(curated: DataFrame, transaction_id: Optional[str] = None) -> DataFrame:

@@ -224,3 +224,33 @@ def opened_versions(classified: DataFrame, run_ts: RunTs, open_end: str = C.SCD2
 def kept_current(classified: DataFrame) -> DataFrame:
     """Current versions that stay as they are (unchanged or absent ids)."""
     return current_of(classified, CHANGE_UNCHANGED, CHANGE_ABSENT)
+
+
+def change_profile(classified: DataFrame) -> DataFrame:
+    """Small summary of a classification, for the affected-partition write.
+
+    One row per (change class, incoming recon status): the row count, the
+    business dates whose partition loses a current version (CHANGED ids'
+    old dates) and the dates that gain a new one (CHANGED and NEW ids' new
+    dates). The date sets are bounded by the calendar span of the data, not
+    by its row count, and are combined map-side.
+    """
+    ch = F.col("change")
+    return classified.groupBy("change", F.col("n_recon_status").alias("recon_status")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set(F.when(ch == CHANGE_CHANGED, F.col("c_transaction_date"))).alias("old_dates"),
+        F.collect_set(F.when(ch.isin(CHANGE_CHANGED, CHANGE_NEW), F.col("n_transaction_date"))).alias("new_dates"),
+    )
+
+
+def merge_partitions(
+    existing: DataFrame, classified: DataFrame, run_ts: RunTs, dates, open_end: str = C.SCD2_OPEN_END
+) -> DataFrame:
+    """Full new content of the partitions for ``dates`` only.
+
+    History is read from those partitions alone (a partition filter on the
+    scan); current versions come from the classification. Together with a
+    dynamic partition overwrite this rewrites only what changed.
+    """
+    in_dates = F.col("transaction_date").isin(list(dates))
+    return merge_classified(existing.filter(in_dates), classified, run_ts, open_end).filter(in_dates)

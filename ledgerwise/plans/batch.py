@@ -80,10 +80,13 @@ def run_batch(
     run_date: Optional[Union[date, str]] = None,
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     amount_tolerance: float = 0.0,
+    rewrite: str = "affected",
 ) -> BatchResult:
     """Run one batch and return its counts.
 
     ``run_date`` (for the future-date rule) defaults to the date of ``run_ts``.
+    ``rewrite`` chooses how the curated table is replaced (see
+    :func:`scd2_load`).
     """
     ts = parse_run_ts(run_ts)
     run_date = run_date or ts.date()
@@ -103,15 +106,8 @@ def run_batch(
     tables.write_quarantine(all_quarantine, quarantine_path, scenario, ts, q_obs, _quarantine_metrics())
     qc = q_obs.get
 
-    # Job 2: curated SCD2 table (reads the current table, writes a new one).
-    existing = tables.read_curated(spark, curated_path)
-    if existing is None:
-        merged = scd2.initial_tagged(reconciled, ts, TAG)
-    else:
-        merged = scd2.merge_classified(existing, scd2.classify(existing, reconciled, tracked), ts, tag_col=TAG)
-    c_obs = Observation("curated")
-    tables.write_curated(merged, curated_path, c_obs, scd2.tagged_counts(TAG), tag_col=TAG)
-    cc = c_obs.get
+    # Job 2 (or 2 and 3 for an affected-partition rewrite): curated SCD2 table.
+    cc = scd2_load(spark, reconciled, ts, curated_path, tracked, rewrite)
 
     counts: Dict[str, int] = {k: int(v) for k, v in {**qc, **cc}.items()}
     counts["dq_passed"] = counts["incoming"]
@@ -123,24 +119,87 @@ def run_batch(
     return BatchResult(counts)
 
 
-def apply_scd2(
+# Above this many changed business dates the merge rewrites the whole table.
+MAX_AFFECTED_DATES = 20000
+
+
+def _profile_counts(profile_rows) -> Dict[str, int]:
+    counts = {k: 0 for k in ("inserted", "closed", "unchanged", "new_ids", "absent", "incoming")}
+    counts.update({s: 0 for s in C.RECON_STATUSES})
+    for r in profile_rows:
+        change, n = r["change"], int(r["n"])
+        if change == scd2.CHANGE_NEW:
+            counts["new_ids"] += n
+            counts["inserted"] += n
+        elif change == scd2.CHANGE_CHANGED:
+            counts["closed"] += n
+            counts["inserted"] += n
+        elif change == scd2.CHANGE_UNCHANGED:
+            counts["unchanged"] += n
+        else:
+            counts["absent"] += n
+        if change != scd2.CHANGE_ABSENT:
+            counts["incoming"] += n
+            if r["recon_status"] in counts:
+                counts[r["recon_status"]] += n
+    return counts
+
+
+def scd2_load(
     spark: SparkSession,
     incoming: DataFrame,
-    run_ts: Union[str, datetime],
+    ts: datetime,
     curated_path: str,
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
+    rewrite: str = "affected",
+    max_affected_dates: int = MAX_AFFECTED_DATES,
 ) -> Dict[str, int]:
-    """Merge ``incoming`` (reconciled rows, one per id) into the curated table
-    at ``curated_path`` and return ``inserted, closed, unchanged, new_ids``.
-    One write job; the counts are observed on it."""
-    ts = parse_run_ts(run_ts)
+    """Merge ``incoming`` into the curated table and return the run counts.
+
+    ``rewrite="full"``: one job writes the whole new table to a staging
+    folder and swaps it in; counts are observed on that write.
+
+    ``rewrite="affected"`` (existing table only): job 1 collects the change
+    profile (counts + changed business dates, a calendar-bounded list); job 2
+    rewrites just those date partitions in place with a dynamic partition
+    overwrite, reading history only from them. With no change nothing is
+    written; with more than ``max_affected_dates`` dates it falls back to the
+    full rewrite.
+    """
     incoming = incoming.select(*scd2.INCOMING_COLUMNS)
     existing = tables.read_curated(spark, curated_path)
+    if existing is not None and rewrite == "affected":
+        classified = scd2.classify(existing, incoming, tracked)
+        profile = scd2.change_profile(classified).collect()
+        dates = set()
+        for r in profile:
+            dates.update(r["old_dates"] or [])
+            dates.update(r["new_dates"] or [])
+        if len(dates) <= max_affected_dates:
+            counts = _profile_counts(profile)
+            if dates:
+                part = scd2.merge_partitions(existing, classified, ts, sorted(dates))
+                tables.write_partitions(part, curated_path, "transaction_date")
+            counts["affected_dates"] = len(dates)
+            return counts
     if existing is None:
         merged = scd2.initial_tagged(incoming, ts, TAG)
     else:
         merged = scd2.merge_classified(existing, scd2.classify(existing, incoming, tracked), ts, tag_col=TAG)
     obs = Observation("scd2")
     tables.write_curated(merged, curated_path, obs, scd2.tagged_counts(TAG), tag_col=TAG)
-    got = obs.get
+    return {k: int(v) for k, v in obs.get.items()}
+
+
+def apply_scd2(
+    spark: SparkSession,
+    incoming: DataFrame,
+    run_ts: Union[str, datetime],
+    curated_path: str,
+    tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
+    rewrite: str = "affected",
+) -> Dict[str, int]:
+    """Merge ``incoming`` (reconciled rows, one per id) into the curated table
+    at ``curated_path``; returns ``inserted, closed, unchanged, new_ids``."""
+    got = scd2_load(spark, incoming, parse_run_ts(run_ts), curated_path, tracked, rewrite)
     return {k: int(got[k]) for k in ("inserted", "closed", "unchanged", "new_ids")}

@@ -111,6 +111,20 @@ def write_swap(
         _delete(spark, old)
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition
+    overwrite); others are left as they are. Spark stages the new files and
+    swaps partition folders at job commit, after every read of the job is
+    done, so ``df`` may read the same table."""
+    (
+        df.hint("rebalance", partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_by)
+        .parquet(path)
+    )
+
+
 def write_curated(df: DataFrame, path: str, observation=None, metrics=None, tag_col=None) -> None:
     """Replace the curated table, partitioned by business date."""
     cols = C.CURATED_COLUMNS + ([tag_col] if tag_col else [])
