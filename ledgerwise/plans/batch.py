@@ -77,12 +77,37 @@ def run_batch(
     quarantine_path: str,
     run_ts: Union[None, str, datetime] = None,
     scenario: str = "batch",
+    **options,
+) -> BatchResult:
+    """Run one batch over NDJSON files and return its counts (see
+    :func:`run_batch_lines` for the options)."""
+    return run_batch_lines(
+        spark,
+        ndjson.read_lines(spark, txn_path),
+        ndjson.read_lines(spark, ledger_path),
+        curated_path,
+        quarantine_path,
+        run_ts,
+        scenario,
+        **options,
+    )
+
+
+def run_batch_lines(
+    spark: SparkSession,
+    txn_lines: DataFrame,
+    ledger_lines: DataFrame,
+    curated_path: str,
+    quarantine_path: str,
+    run_ts: Union[None, str, datetime] = None,
+    scenario: str = "batch",
     run_date: Optional[Union[date, str]] = None,
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     amount_tolerance: float = 0.0,
     rewrite: str = "affected",
 ) -> BatchResult:
-    """Run one batch and return its counts.
+    """Run one batch over NDJSON lines (``value`` and optionally
+    ``source_file`` columns) and return its counts.
 
     ``run_date`` (for the future-date rule) defaults to the date of ``run_ts``.
     ``rewrite`` chooses how the curated table is replaced (see
@@ -91,8 +116,8 @@ def run_batch(
     ts = parse_run_ts(run_ts)
     run_date = run_date or ts.date()
 
-    txn_clean, txn_corrupt = ndjson.load_transactions(spark, txn_path)
-    ledger_clean, ledger_corrupt = ndjson.load_ledger(spark, ledger_path)
+    txn_clean, txn_corrupt = ndjson.split_corrupt(ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA))
+    ledger_clean, ledger_corrupt = ndjson.split_corrupt(ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA))
 
     checked = dq.dedup_latest(dq.apply_dq_rules(txn_clean, run_date))
     ledger_split = reconcile.unique_ledger(ledger_clean)

@@ -49,12 +49,16 @@ def parse_json_lines(
     return parsed.select(*fields, corrupt.alias(corrupt_col), *other)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines of the file(s) at ``path``: ``value, source_file``."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+
+
 def read_json_strict(
     spark: SparkSession, path: str, schema: StructType, corrupt_col: str = C.CORRUPT_COL
 ) -> DataFrame:
     """Read NDJSON file(s) at ``path`` against ``schema``; adds ``source_file``."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
-    return parse_json_lines(lines, schema, corrupt_col)
+    return parse_json_lines(read_lines(spark, path), schema, corrupt_col)
 
 
 def split_corrupt(df: DataFrame, corrupt_col: str = C.CORRUPT_COL) -> Tuple[DataFrame, DataFrame]:

@@ -1,0 +1,5 @@
+"""Incremental runs with Structured Streaming (file arrival -> batch run)."""
+
+from ledgerwise.streaming.incremental import start_incremental
+
+__all__ = ["start_incremental"]

@@ -1,0 +1,45 @@
+"""Two transaction files arrive; the stream runs one batch per file."""
+
+import os
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from ledgerwise.plans.scenario import Scenario
+from ledgerwise.sources import tables
+from ledgerwise.streaming import start_incremental
+from tests.conftest import SF_SMALL
+
+
+def _write_file(df, folder, name):
+    tmp = folder + "-" + name
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1).write.text(tmp)
+    part = [p for p in os.listdir(tmp) if p.startswith("part-")][0]
+    os.rename(os.path.join(tmp, part), os.path.join(folder, f"{name}.json"))
+
+
+def test_one_run_per_file(spark, tmp_path):
+    s = Scenario(spark, SF_SMALL)
+    inbox = str(tmp_path / "inbox")
+    os.makedirs(inbox)
+    ledger = str(tmp_path / "ledger")
+    tables.write_text_lines(s.ledger.select(F.to_json(F.struct(*s.ledger.columns)).alias("value")), ledger)
+    _write_file(s.feed, inbox, "a_initial")
+    _write_file(s.updated_feed, inbox, "b_updated")
+    times = [datetime(2001, 7, 1, 9), datetime(2001, 7, 1, 15)]
+    results = []
+    q = start_incremental(
+        spark,
+        inbox,
+        ledger,
+        str(tmp_path / "curated"),
+        str(tmp_path / "quarantine"),
+        checkpoint_path=str(tmp_path / "ckpt"),
+        run_ts_for=lambda i: times[i],
+        results=results,
+    )
+    q.awaitTermination(600)
+    assert [r.counts["inserted"] for r in results] == [1317, 121]
+    assert results[1].counts["closed"] == 120
+    back = tables.read_curated(spark, str(tmp_path / "curated"))
+    assert back.exceptAll(s.curated_merged).count() == 0 and back.count() == 1438
