@@ -42,11 +42,18 @@ def _rank_struct(columns: Sequence[str], order_cols: Sequence[str]) -> Column:
 
 
 def latest_winners(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
-    """One row per ``key`` value: the greatest by ``order_cols`` then by all
-    other columns (descending). NULL order values lose to non-NULL ones."""
+    """One row per non-NULL ``key`` value: the greatest by ``order_cols`` then
+    by all other columns (descending). NULL order values lose to non-NULL ones."""
     columns = df.columns
-    best = df.groupBy(key).agg(F.max(_rank_struct(columns, order_cols)).alias("_best"))
-    return best.select(*[F.col("_best")[c].alias(c) for c in columns])
+    best = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(_rank_struct(columns, order_cols)).alias("_best"))
+    return _unpack(best, key, columns)
+
+
+def _unpack(best: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    # The key is taken from the grouping column itself, not from the struct:
+    # Catalyst then knows the output stays hash-partitioned by ``key`` and a
+    # later join or aggregate on it needs no new exchange.
+    return best.select(*[F.col(c) if c == key else F.col("_best")[c].alias(c) for c in columns])
 
 
 def expand_copies(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
@@ -74,25 +81,29 @@ def expand_copies(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> D
 def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSplit:
     """Split ``df`` into the latest row per key and all remaining rows.
 
-    ``winners ∪ losers`` has exactly the rows of ``df`` (as a bag). Rows with a
-    NULL key form one group like any other; callers route them away first if
-    NULL keys must not compete.
+    ``winners ∪ losers`` has exactly the rows of ``df`` (as a bag). A NULL key
+    matches nothing, so such rows never win and go to ``losers`` directly
+    (they never form one oversized group).
 
     Plan: the per-key best (map-side combined aggregate, shared with
-    ``winners``) is joined back to the rows on ``key`` — the only full shuffle
-    of the rows, and one AQE may split when a key is hot, since nothing after
-    it requires the key partitioning. Rows that are not the best are losers as
-    they are. Rows equal to the best (the winner and its exact copies) are
-    counted per distinct row: the copies collapse map-side, so this second
-    shuffle carries at most one row per key and map task. ``count - 1`` of
-    them are expanded back as losers.
+    ``winners``) is joined back to the rows on ``key``. The best side is
+    already partitioned by ``key``, so the rows are the only side shuffled,
+    and AQE may split a hot key because nothing after the join requires the
+    key partitioning. The join is a left outer join so that the "is this the
+    best row" test stays above it and both consumers share one join. Rows that
+    are not the best are losers as they are. Rows equal to the best (the
+    winner and its exact copies) are counted per distinct row: copies collapse
+    map-side, so that shuffle carries at most one row per key and map task,
+    and ``count - 1`` of them are expanded back as losers.
     """
     columns = df.columns
     rank = _rank_struct(columns, order_cols)
-    best = df.groupBy(key).agg(F.max(rank).alias("_best"))
-    winners = best.select(*[F.col("_best")[c].alias(c) for c in columns])
-    marked = df.join(
-        best.withColumnRenamed(key, "_best_key"), F.col(key).eqNullSafe(F.col("_best_key")), "inner"
+    has_key = F.col(key).isNotNull()
+    keyed = df.filter(has_key)
+    best = keyed.groupBy(key).agg(F.max(rank).alias("_best"))
+    winners = _unpack(best, key, columns)
+    marked = keyed.join(
+        best.withColumnRenamed(key, "_best_key"), F.col(key) == F.col("_best_key"), "left"
     ).withColumn("_is_best", rank.eqNullSafe(F.col("_best")))
     beaten = marked.filter(~F.col("_is_best")).select(*columns)
     copies = (
@@ -102,5 +113,5 @@ def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSpl
         .agg((F.count(F.lit(1)) - 1).alias("_surplus"))
         .select("_row.*", "_surplus")
     )
-    losers = beaten.unionByName(expand_copies(copies, "_surplus"))
+    losers = beaten.unionByName(expand_copies(copies, "_surplus")).unionByName(df.filter(~has_key))
     return LatestSplit(winners=winners, losers=losers)

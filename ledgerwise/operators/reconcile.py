@@ -25,9 +25,8 @@ def unique_ledger(ledger: DataFrame) -> LedgerSplit:
     """Keep one ledger row per id, deterministically (latest ``cleared_date``
     text, then all other columns). A NULL id can never match, so those rows
     go straight to ``surplus`` instead of forming one skewed group."""
-    has_id = F.col("transaction_id").isNotNull()
-    split = keep_latest(ledger.filter(has_id), "transaction_id", ["cleared_date"])
-    return LedgerSplit(unique=split.winners, surplus=split.losers.unionByName(ledger.filter(~has_id)))
+    split = keep_latest(ledger, "transaction_id", ["cleared_date"])
+    return LedgerSplit(unique=split.winners, surplus=split.losers)
 
 
 def recon_status(amount_tolerance: float = 0.0):

@@ -51,39 +51,34 @@ def _date_text() -> Column:
 
 
 def _feed_with_key(orders: DataFrame) -> DataFrame:
+    """Feed rows with ``_k``. The later copy of an order is generated by
+    ``explode`` in the same pass, so ``orders`` is scanned once."""
     o = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", _date_text().alias("_day")
     )
     day = F.col("_day")
-    base = o.select(
-        _k().alias("_k"),
-        F.when(_mod(40, 3), F.lit(None).cast("string")).otherwise(_id_text()).alias("transaction_id"),
-        F.concat(F.lit("ACC"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("account_id"),
+    copy = F.col("_copy")
+    base_amount = (
         F.when(_mod(41, 5), -F.col("o_totalprice"))
         .when(_mod(83, 7), F.lit(0.0))
         .when(_mod(89, 1), F.lit(None).cast("double"))
         .otherwise(F.col("o_totalprice"))
-        .alias("amount"),
+    )
+    hour = F.when(copy, F.lit("23")).otherwise(F.lpad((_k() % 20).cast("string"), 2, "0"))
+    return o.select(
+        "*", F.explode(F.when(_mod(37, 11), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("_copy")
+    ).select(
+        _k().alias("_k"),
+        F.when(_mod(40, 3), F.lit(None).cast("string")).otherwise(_id_text()).alias("transaction_id"),
+        F.concat(F.lit("ACC"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("account_id"),
+        F.when(copy, base_amount + F.lit(1.5)).otherwise(base_amount).alias("amount"),
         F.when(_k() % 3 == 0, "USD").when(_k() % 3 == 1, "EUR").otherwise("GBP").alias("currency"),
         F.when(_mod(43, 7), F.lit("not-a-date")).otherwise(day).alias("transaction_date"),
         _status().alias("status"),
         F.when(_mod(97, 2), F.lit(None).cast("string"))
-        .otherwise(F.concat(day, F.lit("T"), F.lpad((_k() % 20).cast("string"), 2, "0"), F.lit(":15:00")))
+        .otherwise(F.concat(day, F.lit("T"), hour, F.lit(":15:00")))
         .alias("updated_at"),
-        day,
-    )
-    dup = base.filter(F.col("_k") % 37 == 11).select(
-        "_k",
-        "transaction_id",
-        "account_id",
-        (F.col("amount") + F.lit(1.5)).alias("amount"),
-        "currency",
-        "transaction_date",
-        "status",
-        F.when(F.col("updated_at").isNotNull(), F.concat(F.col("_day"), F.lit("T23:15:00"))).alias("updated_at"),
-        "_day",
     )
-    return base.unionByName(dup).drop("_day")
 
 
 FEED_COLUMNS = ["transaction_id", "account_id", "amount", "currency", "transaction_date", "status", "updated_at"]
