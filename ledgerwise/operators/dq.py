@@ -5,8 +5,8 @@ All operators are pure ``DataFrame -> DataFrame`` functions with no actions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 from typing import Union
 
 from pyspark.sql import DataFrame
@@ -69,14 +69,22 @@ def apply_dq_rules(df: DataFrame, run_date: Union[date, str], keep_raw: bool = T
     return parsed.withColumn("dq_flag", first_match(dq_rules(run_date), C.FLAG_OK))
 
 
-@dataclass(frozen=True)
 class DedupResult:
     """``kept``: the latest OK row per id. ``duplicates``: the other OK rows,
-    flagged DUPLICATE. ``rejected``: rows flagged by an earlier rule."""
+    flagged DUPLICATE. ``rejected``: rows flagged by an earlier rule. Plans
+    are built on first access."""
 
-    kept: DataFrame
-    duplicates: DataFrame
-    rejected: DataFrame
+    def __init__(self, split, rejected: DataFrame):
+        self._split = split
+        self.rejected = rejected
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        return self._split.winners.withColumn("dq_flag", F.lit(C.FLAG_OK))
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        return self._split.losers.withColumn("dq_flag", F.lit(C.FLAG_DUPLICATE))
 
     def all_rows(self) -> DataFrame:
         return self.kept.unionByName(self.duplicates).unionByName(self.rejected)
@@ -94,10 +102,7 @@ def dedup_latest(flagged: DataFrame) -> DedupResult:
     """
     is_ok = F.col("dq_flag") == F.lit(C.FLAG_OK)
     ok = flagged.filter(is_ok).drop("dq_flag")
-    split = keep_latest(ok, "transaction_id", ["updated_at"])
-    kept = split.winners.withColumn("dq_flag", F.lit(C.FLAG_OK))
-    duplicates = split.losers.withColumn("dq_flag", F.lit(C.FLAG_DUPLICATE))
-    return DedupResult(kept=kept, duplicates=duplicates, rejected=flagged.filter(~is_ok))
+    return DedupResult(keep_latest(ok, "transaction_id", ["updated_at"]), flagged.filter(~is_ok))
 
 
 def apply_dedup(flagged: DataFrame) -> DataFrame:

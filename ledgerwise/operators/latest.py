@@ -20,7 +20,7 @@ column, so the choice does not depend on partitioning or input order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,10 +30,43 @@ from pyspark.sql import functions as F
 EXPAND_CHUNK = 1 << 20
 
 
-@dataclass(frozen=True)
 class LatestSplit:
-    winners: DataFrame
-    losers: DataFrame
+    """``winners`` and ``losers`` of :func:`keep_latest`; each plan is built
+    on first access (a caller that needs only the winners never pays for the
+    loser plan)."""
+
+    def __init__(self, df: DataFrame, key: str, order_cols: Sequence[str]):
+        self._df, self._key, self._order = df, key, list(order_cols)
+        self._columns = df.columns
+        self._rank = _rank_struct(self._columns, self._order)
+
+    @cached_property
+    def _best(self) -> DataFrame:
+        keyed = self._df.filter(F.col(self._key).isNotNull())
+        return keyed.groupBy(self._key).agg(F.max(self._rank).alias("_best"))
+
+    @cached_property
+    def winners(self) -> DataFrame:
+        return _unpack(self._best, self._key, self._columns)
+
+    @cached_property
+    def losers(self) -> DataFrame:
+        df, key, columns, rank = self._df, self._key, self._columns, self._rank
+        has_key = F.col(key).isNotNull()
+        marked = (
+            df.filter(has_key)
+            .join(self._best.withColumnRenamed(key, "_best_key"), F.col(key) == F.col("_best_key"), "left")
+            .withColumn("_is_best", rank.eqNullSafe(F.col("_best")))
+        )
+        beaten = marked.filter(~F.col("_is_best")).select(*columns)
+        copies = (
+            marked.filter(F.col("_is_best"))
+            .select(F.struct(*columns).alias("_row"))
+            .groupBy("_row")
+            .agg((F.count(F.lit(1)) - 1).alias("_surplus"))
+            .select("_row.*", "_surplus")
+        )
+        return beaten.unionByName(expand_copies(copies, "_surplus")).unionByName(df.filter(~has_key))
 
 
 def _rank_struct(columns: Sequence[str], order_cols: Sequence[str]) -> Column:
@@ -44,9 +77,7 @@ def _rank_struct(columns: Sequence[str], order_cols: Sequence[str]) -> Column:
 def latest_winners(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
     """One row per non-NULL ``key`` value: the greatest by ``order_cols`` then
     by all other columns (descending). NULL order values lose to non-NULL ones."""
-    columns = df.columns
-    best = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(_rank_struct(columns, order_cols)).alias("_best"))
-    return _unpack(best, key, columns)
+    return LatestSplit(df, key, order_cols).winners
 
 
 def _unpack(best: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -96,22 +127,4 @@ def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSpl
     map-side, so that shuffle carries at most one row per key and map task,
     and ``count - 1`` of them are expanded back as losers.
     """
-    columns = df.columns
-    rank = _rank_struct(columns, order_cols)
-    has_key = F.col(key).isNotNull()
-    keyed = df.filter(has_key)
-    best = keyed.groupBy(key).agg(F.max(rank).alias("_best"))
-    winners = _unpack(best, key, columns)
-    marked = keyed.join(
-        best.withColumnRenamed(key, "_best_key"), F.col(key) == F.col("_best_key"), "left"
-    ).withColumn("_is_best", rank.eqNullSafe(F.col("_best")))
-    beaten = marked.filter(~F.col("_is_best")).select(*columns)
-    copies = (
-        marked.filter(F.col("_is_best"))
-        .select(F.struct(*columns).alias("_row"))
-        .groupBy("_row")
-        .agg((F.count(F.lit(1)) - 1).alias("_surplus"))
-        .select("_row.*", "_surplus")
-    )
-    losers = beaten.unionByName(expand_copies(copies, "_surplus")).unionByName(df.filter(~has_key))
-    return LatestSplit(winners=winners, losers=losers)
+    return LatestSplit(df, key, order_cols)

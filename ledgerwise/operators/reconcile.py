@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,21 +10,28 @@ from ledgerwise.functions import first_match, null_safe_differs
 from ledgerwise.operators.latest import keep_latest
 
 
-@dataclass(frozen=True)
 class LedgerSplit:
     """``unique``: one ledger row per non-NULL id. ``surplus``: every other
-    row (extra rows of a repeated id, and rows without an id)."""
+    row (extra rows of a repeated id, and rows without an id). Plans are
+    built on first access."""
+
+    def __init__(self, split):
+        self._split = split
+
+    @property
+    def unique(self) -> DataFrame:
+        return self._split.winners
 
-    unique: DataFrame
-    surplus: DataFrame
+    @property
+    def surplus(self) -> DataFrame:
+        return self._split.losers
 
 
 def unique_ledger(ledger: DataFrame) -> LedgerSplit:
     """Keep one ledger row per id, deterministically (latest ``cleared_date``
     text, then all other columns). A NULL id can never match, so those rows
     go straight to ``surplus`` instead of forming one skewed group."""
-    split = keep_latest(ledger, "transaction_id", ["cleared_date"])
-    return LedgerSplit(unique=split.winners, surplus=split.losers)
+    return LedgerSplit(keep_latest(ledger, "transaction_id", ["cleared_date"]))
 
 
 def recon_status(amount_tolerance: float = 0.0):

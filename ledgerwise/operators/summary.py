@@ -45,26 +45,44 @@ def run_summary(ingested: DataFrame, quarantine: DataFrame, reconciled: DataFram
     * ``recon_status``: every status of the domain, zero-filled;
     * ``reconciliation``: reconciled_total (matched + both mismatches) and
       unreconciled_total.
+
+    One global aggregate per input (three in all), each unpivoted once.
     """
     totals_ing = ingested.agg(F.count(F.lit(1)).alias("ingested_total"))
-    totals_q = quarantine.agg(F.count(F.lit(1)).alias("quarantined_total"))
-    by_flag = counts_by_domain(quarantine, "dq_flag", C.QUARANTINE_FLAGS)
-    recon_cols = [F.count_if(F.col("recon_status") == F.lit(s)).alias(s) for s in C.RECON_STATUSES]
+    q = quarantine.agg(
+        F.count(F.lit(1)).alias("quarantined_total"),
+        *[F.count_if(F.col("dq_flag") == F.lit(f)).alias(f) for f in C.QUARANTINE_FLAGS],
+    )
     unrec = F.col("recon_status") == F.lit(C.RECON_UNRECONCILED)
-    by_status = reconciled.agg(
+    r = reconciled.agg(
         F.count(F.lit(1)).alias("dq_passed"),
-        *recon_cols,
+        *[F.count_if(F.col("recon_status") == F.lit(s)).alias(s) for s in C.RECON_STATUSES],
         F.count_if(~unrec).alias("reconciled_total"),
         F.count_if(unrec).alias("unreconciled_total"),
     )
-    return (
-        _long(totals_ing, "totals", ["ingested_total"])
-        .unionByName(_long(by_status, "totals", ["dq_passed"]))
-        .unionByName(_long(totals_q, "totals", ["quarantined_total"]))
-        .unionByName(_long(by_flag, "quarantined_by_flag", C.QUARANTINE_FLAGS))
-        .unionByName(_long(by_status, "recon_status", C.RECON_STATUSES))
-        .unionByName(_long(by_status, "reconciliation", ["reconciled_total", "unreconciled_total"]))
+    section = {"ingested_total": "totals", "dq_passed": "totals", "quarantined_total": "totals"}
+    section.update({f: "quarantined_by_flag" for f in C.QUARANTINE_FLAGS})
+    section.update({s: "recon_status" for s in C.RECON_STATUSES})
+    section.update({"reconciled_total": "reconciliation", "unreconciled_total": "reconciliation"})
+    out = (
+        _long(totals_ing, "", ["ingested_total"])
+        .unionByName(_long(q, "", ["quarantined_total"] + C.QUARANTINE_FLAGS))
+        .unionByName(
+            _long(r, "", ["dq_passed"] + C.RECON_STATUSES + ["reconciled_total", "unreconciled_total"])
+        )
     )
+    label = F.lit(None).cast("string")
+    for metric, sec in section.items():
+        label = F.when(F.col("metric") == F.lit(metric), F.lit(sec)).otherwise(label)
+    return out.select(label.alias("section"), "metric", "value")
+
+
+def parsed_counts(parsed: DataFrame, stage: str, corrupt_col: str = C.CORRUPT_COL) -> DataFrame:
+    """``(stage, metric, value)`` rows ``clean`` / ``corrupt`` for a parsed
+    NDJSON frame, from one conditional aggregate."""
+    bad = F.col(corrupt_col).isNotNull()
+    one = parsed.agg(F.count_if(~bad).alias("clean"), F.count_if(bad).alias("corrupt"))
+    return _long(one, stage, ["clean", "corrupt"]).withColumnRenamed("section", "stage")
 
 
 HEADLINE = [
@@ -84,18 +102,19 @@ def run_headline(summary: DataFrame) -> DataFrame:
 
 
 def stage_counts(
-    txn_clean: DataFrame,
-    txn_corrupt: DataFrame,
+    txn_clean: Optional[DataFrame],
+    txn_corrupt: Optional[DataFrame],
     ledger_clean: Optional[DataFrame],
     ledger_corrupt: Optional[DataFrame],
     dq_passed: DataFrame,
     dq_quarantined: DataFrame,
 ) -> DataFrame:
     """Long table ``(stage, metric, value)`` of row counts per stage."""
-    parts: list[Tuple[str, str, DataFrame]] = [
-        ("ingest_transactions", "clean", txn_clean),
-        ("ingest_transactions", "corrupt", txn_corrupt),
-    ]
+    parts: list[Tuple[str, str, DataFrame]] = []
+    if txn_clean is not None:
+        parts.append(("ingest_transactions", "clean", txn_clean))
+    if txn_corrupt is not None:
+        parts.append(("ingest_transactions", "corrupt", txn_corrupt))
     if ledger_clean is not None:
         parts.append(("ingest_ledger", "clean", ledger_clean))
     if ledger_corrupt is not None:

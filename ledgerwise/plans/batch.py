@@ -144,8 +144,16 @@ def run_batch_lines(
     return BatchResult(counts)
 
 
-# Above this many changed business dates the merge rewrites the whole table.
+# Above this many changed business dates, or this share of the table's date
+# partitions, the merge rewrites the whole table instead.
 MAX_AFFECTED_DATES = 20000
+MAX_AFFECTED_FRACTION = 0.5
+
+
+def _partition_count(df: DataFrame) -> int:
+    """Number of partition folders, from the file listing the driver already
+    holds for the scan (no data is read)."""
+    return len({f.rsplit("/", 1)[0] for f in df.inputFiles()})
 
 
 def _profile_counts(profile_rows) -> Dict[str, int]:
@@ -178,6 +186,7 @@ def scd2_load(
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     rewrite: str = "affected",
     max_affected_dates: int = MAX_AFFECTED_DATES,
+    max_affected_fraction: float = MAX_AFFECTED_FRACTION,
 ) -> Dict[str, int]:
     """Merge ``incoming`` into the curated table and return the run counts.
 
@@ -188,8 +197,9 @@ def scd2_load(
     profile (counts + changed business dates, a calendar-bounded list); job 2
     rewrites just those date partitions in place with a dynamic partition
     overwrite, reading history only from them. With no change nothing is
-    written; with more than ``max_affected_dates`` dates it falls back to the
-    full rewrite.
+    written; with more than ``max_affected_dates`` dates, or more than
+    ``max_affected_fraction`` of the existing date partitions, it falls back
+    to the full rewrite.
     """
     incoming = incoming.select(*scd2.INCOMING_COLUMNS)
     existing = tables.read_curated(spark, curated_path)
@@ -200,7 +210,8 @@ def scd2_load(
         for r in profile:
             dates.update(r["old_dates"] or [])
             dates.update(r["new_dates"] or [])
-        if len(dates) <= max_affected_dates:
+        limit = min(max_affected_dates, max_affected_fraction * max(_partition_count(existing), 1))
+        if len(dates) <= limit:
             counts = _profile_counts(profile)
             if dates:
                 part = scd2.merge_partitions(existing, classified, ts, sorted(dates))

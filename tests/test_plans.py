@@ -14,7 +14,9 @@ from tests.conftest import SF_SMALL
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    # A fresh projection is planned now, with the current session settings
+    # (a DataFrame's own query execution is planned once and kept).
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.fixture
