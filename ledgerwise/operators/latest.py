@@ -53,9 +53,14 @@ class LatestSplit:
     def losers(self) -> DataFrame:
         df, key, columns, rank = self._df, self._key, self._columns, self._rank
         has_key = F.col(key).isNotNull()
+        # The join key of the best side is read from the struct on purpose:
+        # Catalyst then shuffles that side (one row per key) too, and with
+        # both children plain shuffles AQE's skew-join handling can split a
+        # hot key of the row side over several tasks.
+        best = self._best.select(F.col("_best")[key].alias("_best_key"), "_best")
         marked = (
             df.filter(has_key)
-            .join(self._best.withColumnRenamed(key, "_best_key"), F.col(key) == F.col("_best_key"), "left")
+            .join(best, F.col(key) == F.col("_best_key"), "left")
             .withColumn("_is_best", rank.eqNullSafe(F.col("_best")))
         )
         beaten = marked.filter(~F.col("_is_best")).select(*columns)
@@ -117,10 +122,10 @@ def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSpl
     (they never form one oversized group).
 
     Plan: the per-key best (map-side combined aggregate, shared with
-    ``winners``) is joined back to the rows on ``key``. The best side is
-    already partitioned by ``key``, so the rows are the only side shuffled,
-    and AQE may split a hot key because nothing after the join requires the
-    key partitioning. The join is a left outer join so that the "is this the
+    ``winners``) is joined back to the rows on ``key``. Both sides enter the
+    join through plain shuffles and nothing after it requires the key
+    partitioning, so AQE's skew-join handling splits a hot key of the row
+    side over several tasks (the best side has one row per key). The join is a left outer join so that the "is this the
     best row" test stays above it and both consumers share one join. Rows that
     are not the best are losers as they are. Rows equal to the best (the
     winner and its exact copies) are counted per distinct row: copies collapse

@@ -79,3 +79,29 @@ def test_curated_browse_prunes_and_pushes(spark, tmp_path):
     assert view.count() == s.curated_initial.filter(
         (F.col("transaction_date") == F.lit("1998-01-01").cast("date")) & (F.col("recon_status") == "MATCHED")
     ).count()
+
+
+def test_hot_key_join_is_split(spark, no_broadcast):
+    from ledgerwise.operators.latest import keep_latest
+
+    confs = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(0, 20000).select(F.lit("HOT").alias("k"), F.col("id").alias("v"))
+        cold = spark.range(0, 2000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+        split = keep_latest(hot.unionByName(cold), "k", ["v"])
+        losers = split.losers.select("*")
+        assert len(losers.collect()) == 22000 - 2001
+        final = losers._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final
+        assert "isSkewJoin=true" in final or "skew=true" in final, final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
