@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from typing import Dict, Optional, Sequence, Union
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,23 +117,32 @@ def run_batch_lines(
     ts = parse_run_ts(run_ts)
     run_date = run_date or ts.date()
 
-    txn_clean, txn_corrupt = ndjson.split_corrupt(ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA))
-    ledger_clean, ledger_corrupt = ndjson.split_corrupt(ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA))
-
-    checked = dq.dedup_latest(dq.apply_dq_rules(txn_clean, run_date))
-    ledger_split = reconcile.unique_ledger(ledger_clean)
-    reconciled = reconcile.reconcile(checked.kept, ledger_split.unique, amount_tolerance, dedup_ledger=False)
-
-    # Job 1: quarantine table.
-    q_obs = Observation("quarantine")
-    all_quarantine = quarantine.build_quarantine(
-        txn_corrupt, ledger_corrupt, checked.quarantine(), ledger_split.surplus
-    )
-    tables.write_quarantine(all_quarantine, quarantine_path, scenario, ts, q_obs, _quarantine_metrics())
-    qc = q_obs.get
-
-    # Job 2 (or 2 and 3 for an affected-partition rewrite): curated SCD2 table.
-    cc = scd2_load(spark, reconciled, ts, curated_path, tracked, rewrite)
+    # Both write jobs start from the parsed inputs: keep them (memory, then
+    # local disk) for the run instead of parsing the JSON twice. Lost blocks
+    # are recomputed from the files; both are released when the run ends.
+    txn_parsed = ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    ledger_parsed = ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        txn_clean, txn_corrupt = ndjson.split_corrupt(txn_parsed)
+        ledger_clean, ledger_corrupt = ndjson.split_corrupt(ledger_parsed)
+
+        checked = dq.dedup_latest(dq.apply_dq_rules(txn_clean, run_date))
+        ledger_split = reconcile.unique_ledger(ledger_clean)
+        reconciled = reconcile.reconcile(checked.kept, ledger_split.unique, amount_tolerance, dedup_ledger=False)
+
+        # Job 1: quarantine table.
+        q_obs = Observation("quarantine")
+        all_quarantine = quarantine.build_quarantine(
+            txn_corrupt, ledger_corrupt, checked.quarantine(), ledger_split.surplus
+        )
+        tables.write_quarantine(all_quarantine, quarantine_path, scenario, ts, q_obs, _quarantine_metrics())
+        qc = q_obs.get
+
+        # Job 2 (or 2 and 3 for an affected-partition rewrite): curated SCD2 table.
+        cc = scd2_load(spark, reconciled, ts, curated_path, tracked, rewrite)
+    finally:
+        txn_parsed.unpersist()
+        ledger_parsed.unpersist()
 
     counts: Dict[str, int] = {k: int(v) for k, v in {**qc, **cc}.items()}
     counts["dq_passed"] = counts["incoming"]
