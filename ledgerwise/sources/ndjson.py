@@ -39,8 +39,13 @@ def parse_json_lines(
     full = with_corrupt_column(schema, corrupt_col)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
     other = [c for c in lines.columns if c != line_col]
+    # The parse runs inside a one-element explode: Catalyst does not push a
+    # filter on a generator's output below it, so a later "corrupt or not"
+    # filter cannot make every line be parsed twice.
     parsed = lines.filter(F.trim(F.col(line_col)) != "").select(
-        F.from_json(F.col(line_col), full, options).alias("_j"), F.col(line_col).alias("_line"), *other
+        F.explode(F.array(F.from_json(F.col(line_col), full, options))).alias("_j"),
+        F.col(line_col).alias("_line"),
+        *other,
     )
     # A line that is JSON but not an object (e.g. `null`, an array) parses to a
     # NULL struct: treat it as corrupt too.
