@@ -51,14 +51,22 @@ def apply_dq_rules(df: DataFrame, run_date: Union[date, str], keep_raw: bool = T
     actually arrived.
     """
     extra = [c for c in df.columns if c not in C.TRANSACTION_COLUMNS]
-    parsed = df.select(
+    # The two parses run inside a one-element explode: a later filter on the
+    # flag is not pushed below it, so the shape checks and casts run once per
+    # row. Other columns pass through untouched (filters on them still reach
+    # the scan).
+    times = F.struct(
+        strict_date("transaction_date").alias("d"), strict_timestamp_ntz("updated_at").alias("t")
+    )
+    step = df.select(*df.columns, F.explode(F.array(times)).alias("_parsed"))
+    parsed = step.select(
         "transaction_id",
         "account_id",
         "amount",
         "currency",
-        strict_date("transaction_date").alias("transaction_date"),
+        F.col("_parsed.d").alias("transaction_date"),
         "status",
-        strict_timestamp_ntz("updated_at").alias("updated_at"),
+        F.col("_parsed.t").alias("updated_at"),
         *extra,
         *(
             [F.col("transaction_date").alias(RAW_DATE), F.col("updated_at").alias(RAW_UPDATED_AT)]
