@@ -342,6 +342,7 @@ def _bodies() -> dict:
             {distinct_union}
             UNION SELECT 'dq_flag', dq_flag FROM quarantine_all""",
         "curated_roundtrip": f"SELECT {CUR} FROM merged",
+        "batch_curated": f"SELECT {CUR} FROM merged",
     }
 
 

@@ -77,6 +77,27 @@ def _curated_roundtrip(s: Scenario) -> DataFrame:
     return tables.read_curated(s.spark, path)
 
 
+def _batch_curated(s: Scenario) -> DataFrame:
+    """The whole batch twice: the feeds and the ledger are written as NDJSON
+    files, run_batch ingests them (initial, then updated run), and the curated
+    table it maintains is read back."""
+    from ledgerwise.plans.batch import run_batch
+
+    spark = s.spark
+    root = tables.scratch_path(spark, "batch")
+
+    def lines(df: DataFrame) -> DataFrame:
+        return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+    tables.write_text_lines(lines(s.feed), f"{root}/txn_initial")
+    tables.write_text_lines(lines(s.updated_feed), f"{root}/txn_updated")
+    tables.write_text_lines(lines(s.ledger), f"{root}/ledger")
+    curated, quarantine_path = f"{root}/curated", f"{root}/quarantine"
+    run_batch(spark, f"{root}/txn_initial", f"{root}/ledger", curated, quarantine_path, s.run_ts_initial, "initial")
+    run_batch(spark, f"{root}/txn_updated", f"{root}/ledger", curated, quarantine_path, s.run_ts_updated, "updated")
+    return tables.read_curated(spark, curated)
+
+
 def _stage_counts(s: Scenario) -> DataFrame:
     dq_counts = summary.stage_counts(None, None, None, None, s.clean, s.dq_quarantine)
     return (
@@ -145,6 +166,8 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     ),
     "distinct_values": _distinct_values,
     "curated_roundtrip": _curated_roundtrip,
+    # end to end: NDJSON files -> run_batch (initial, updated) -> curated table
+    "batch_curated": _batch_curated,
 }
 
 
