@@ -149,3 +149,27 @@ def test_hot_key_and_copy_expansion(spark):
     counts = spark.createDataFrame([("a", 10), ("b", 1), ("c", 0)], "x string, n long")
     expanded = expand_copies(counts, "n", chunk=3)
     assert sorted((r["x"]) for r in expanded.collect()) == ["a"] * 10 + ["b"]
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    from ledgerwise.operators import reconcile
+    from ledgerwise.sources import feeds
+    from tests.conftest import SF_SMALL
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    outs = []
+    for parts, shuffle in ((1, "3"), (7, "16")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        try:
+            o = orders.repartition(parts)
+            result = dq.dedup_latest(dq.apply_dq_rules(feeds.transaction_feed(o), "2001-07-01"))
+            rec = reconcile.reconcile(result.kept, feeds.ledger_feed(o))
+            outs.append(
+                (
+                    sorted(repr(tuple(r)) for r in result.all_rows().select(*C.TRANSACTION_COLUMNS, "dq_flag").collect()),
+                    sorted(repr(tuple(r)) for r in rec.collect()),
+                )
+            )
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert outs[0] == outs[1]
