@@ -6,15 +6,18 @@ from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwise.llm import line_dedup, sharding
+from ledgerwise.llm import line_dedup, packing, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> Dict[str, Query]:
     return {
+        "op1_secrets": secrets.op1_secrets,
         "op2_sharding": sharding.op2_sharding,
         "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_packing": packing.op5_packing,
+        "op9_topk": topk.op9_topk,
     }
 
 
@@ -22,4 +25,5 @@ def oracle_sql() -> Dict[str, str]:
     return {
         "op2_sharding": sharding.SQL,
         "op4_line_dedup": line_dedup.SQL,
+        "op9_topk": topk.SQL,
     }
