@@ -6,7 +6,7 @@ from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwise.llm import line_dedup, packing, secrets, sharding, topk
+from ledgerwise.llm import line_dedup, mixing, packing, quality, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,8 @@ def queries() -> Dict[str, Query]:
         "op2_sharding": sharding.op2_sharding,
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_packing": packing.op5_packing,
+        "op6_quality": quality.op6_quality,
+        "op8_mixing": mixing.op8_mixing,
         "op9_topk": topk.op9_topk,
     }
 

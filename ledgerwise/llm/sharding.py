@@ -39,34 +39,74 @@ def domain(n: int) -> Tuple[int, int]:
     return a, max(1, -(-n // a))
 
 
-def feistel(x: Column, a: int, b: int, seed: int) -> Column:
+def _mixed(seed, rnd: int, half: Column, size) -> Column:
+    key = F.concat(seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed)), F.lit(f":{rnd}:"))
+    return _digest(F.concat(key, half.cast("string")), 15) % _lit(size)
+
+
+def _lit(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def feistel(x: Column, a, b, seed) -> Column:
     """One pass of the permutation of 0..a*b-1, with x = left * b + right. Each
-    round adds a keyed hash of one half to the other, which can be undone."""
-    left, right = F.floor(x / F.lit(b)).cast("long"), x % F.lit(b)
+    round adds a keyed hash of one half to the other, which can be undone.
+    Sides and seed may be numbers or columns."""
+    a, b = _lit(a), _lit(b)
+    left, right = F.floor(x / b).cast("long"), x % b
     for rnd in range(ROUNDS):
         if rnd % 2 == 0:
-            left = (left + _digest(F.concat(F.lit(f"{seed}:{rnd}:"), right.cast("string")), 15) % F.lit(a)) % F.lit(a)
+            left = (left + _mixed(seed, rnd, right, a)) % a
+        else:
+            right = (right + _mixed(seed, rnd, left, b)) % b
+    return left * b + right
+
+
+def unfeistel(x: Column, a, b, seed) -> Column:
+    """The inverse of ``feistel``."""
+    a, b = _lit(a), _lit(b)
+    left, right = F.floor(x / b).cast("long"), x % b
+    for rnd in reversed(range(ROUNDS)):
+        if rnd % 2 == 0:
+            left = F.pmod(left - _mixed(seed, rnd, right, a), a)
         else:
-            right = (right + _digest(F.concat(F.lit(f"{seed}:{rnd}:"), left.cast("string")), 15) % F.lit(b)) % F.lit(b)
-    return left * F.lit(b) + right
-
-
-def permute(x: Column, n: int, seed: int) -> Column:
-    """Permutation of 0..n-1 by cycle walking. At most a*b - n < a numbers are
-    out of range, so a walk is short; one longer than the bound (its odds are
-    below a**-64) stops the job instead of giving a wrong place."""
-    a, b = domain(n)
-    steps = min(a * b - n, 64)
-    once = feistel(x, a, b, seed)
-    if steps == 0:
-        return once
+            right = F.pmod(right - _mixed(seed, rnd, left, b), b)
+    return left * b + right
+
+
+def _walk(once, x: Column, n, a, b) -> Column:
+    """Cycle walking: apply ``once`` until the number is below n. At most
+    a*b - n < a numbers are out of range, so a walk is short; one longer than
+    64 (its odds are below a**-64) stops the job instead of giving a wrong
+    place."""
+    n = _lit(n)
+    steps = F.least(_lit(a) * _lit(b) - n, F.lit(64)).cast("int")
+    first = once(x)
     walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)),
-        once,
-        lambda p, _: F.when(p < n, p).otherwise(feistel(p, a, b, seed)),
+        F.sequence(F.lit(0), steps),
+        first,
+        lambda p, _: F.when(p < n, p).otherwise(once(p)),
         lambda p: F.when(p < n, p).otherwise(F.raise_error(F.lit("cycle walk too long")).cast("long")),
     )
-    return F.when(once < n, once).otherwise(walked)
+    return F.when(first < n, first).otherwise(walked)
+
+
+def grid(n: Column) -> Tuple[Column, Column]:
+    """``domain`` for a column of sizes (1 or more, below 2**52)."""
+    a = (F.floor(F.sqrt((n - 1).cast("double"))) + 1).cast("long")
+    return a, F.ceil(n / a).cast("long")
+
+
+def permute(x: Column, n, seed) -> Column:
+    """Permutation of 0..n-1; n a number or a column."""
+    a, b = grid(n) if isinstance(n, Column) else domain(n)
+    return _walk(lambda p: feistel(p, a, b, seed), x, n, a, b)
+
+
+def unpermute(x: Column, n, seed) -> Column:
+    """The inverse of ``permute``: walks the cycle backwards."""
+    a, b = grid(n) if isinstance(n, Column) else domain(n)
+    return _walk(lambda p: unfeistel(p, a, b, seed), x, n, a, b)
 
 
 def _bucket(cols: Sequence[str]) -> Column:
