@@ -6,7 +6,7 @@ from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwise.llm import line_dedup, mixing, packing, quality, secrets, sharding, topk
+from ledgerwise.llm import language, line_dedup, mixing, packing, quality, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> Dict[str, Query]:
     return {
         "op1_secrets": secrets.op1_secrets,
         "op2_sharding": sharding.op2_sharding,
+        "op3_language": language.op3_language,
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_packing": packing.op5_packing,
         "op6_quality": quality.op6_quality,
