@@ -6,7 +6,7 @@ from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwise.llm import language, line_dedup, mixing, packing, quality, secrets, sharding, topk
+from ledgerwise.llm import language, line_dedup, mixing, near_dup, packing, quality, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def queries() -> Dict[str, Query]:
         "op6_quality": quality.op6_quality,
         "op8_mixing": mixing.op8_mixing,
         "op9_topk": topk.op9_topk,
+        "op10_near_dup": near_dup.op10_near_dup,
     }
 
 
