@@ -6,7 +6,7 @@ from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwise.llm import language, line_dedup, mixing, near_dup, packing, quality, secrets, sharding, topk
+from ledgerwise.llm import embedding_dedup, language, line_dedup, mixing, near_dup, packing, quality, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> Dict[str, Query]:
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_packing": packing.op5_packing,
         "op6_quality": quality.op6_quality,
+        "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
         "op8_mixing": mixing.op8_mixing,
         "op9_topk": topk.op9_topk,
         "op10_near_dup": near_dup.op10_near_dup,
@@ -29,5 +30,6 @@ def oracle_sql() -> Dict[str, str]:
     return {
         "op2_sharding": sharding.SQL,
         "op4_line_dedup": line_dedup.SQL,
+        "op7_embedding_dedup": embedding_dedup.SQL,
         "op9_topk": topk.SQL,
     }
