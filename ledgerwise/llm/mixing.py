@@ -190,13 +190,12 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     Documents without a taken word are left out."""
     _, _, ranges = mix(docs, **options)
     by_epoch = ranges.groupBy(*KEY, "copy", "epoch").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("at"))
-    texts = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(KEY)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    texts = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", row).dropDuplicates(KEY)
     met = texts.alias("d").join(by_epoch.alias("e"), _same("d", "e"))
-    own = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = met.select(*[F.col(f"d.{c}").alias(c) for c in own], cut_text("d.text", "e.at.lo", "e.at.hi").alias("text"))
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.char_length("text").cast("long"))
-    return cut.select(*docs.columns)
+    cut = met.select("__row", cut_text("d.text", "e.at.lo", "e.at.hi").alias("__cut"))
+    changed = {"text": F.col("__cut"), "n_chars": F.char_length("__cut").cast("long")}
+    return cut.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

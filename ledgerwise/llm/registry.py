@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable, Dict
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwise.llm import embedding_dedup, language, line_dedup, mixing, near_dup, packing, quality, secrets, sharding, topk
@@ -23,6 +24,7 @@ def queries() -> Dict[str, Query]:
         "op8_mixing": mixing.op8_mixing,
         "op9_topk": topk.op9_topk,
         "op10_near_dup": near_dup.op10_near_dup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
