@@ -110,7 +110,8 @@ def dedup_latest(flagged: DataFrame) -> DedupResult:
     """
     is_ok = F.col("dq_flag") == F.lit(C.FLAG_OK)
     ok = flagged.filter(is_ok).drop("dq_flag")
-    return DedupResult(keep_latest(ok, "transaction_id", ["updated_at"]), flagged.filter(~is_ok))
+    # an OK row always has an id
+    return DedupResult(keep_latest(ok, "transaction_id", ["updated_at"], null_keys=False), flagged.filter(~is_ok))
 
 
 def apply_dedup(flagged: DataFrame) -> DataFrame:
@@ -118,10 +119,21 @@ def apply_dedup(flagged: DataFrame) -> DataFrame:
     return dedup_latest(flagged).all_rows()
 
 
-def split_quarantine(df: DataFrame):
-    """``(clean, quarantine)`` on ``dq_flag == OK``."""
+def dq_counts(flagged: DataFrame) -> DataFrame:
+    """``dq_flag, n`` after dedup, without building the deduplicated rows: the
+    OK rows that lose are all OK rows less the distinct OK ids."""
     is_ok = F.col("dq_flag") == F.lit(C.FLAG_OK)
-    return df.filter(is_ok), df.filter(~is_ok)
+    per_flag = flagged.groupBy("dq_flag").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(F.when(is_ok, F.col("transaction_id"))).alias("ids")
+    )
+    split = F.when(
+        is_ok,
+        F.array(
+            F.struct(F.lit(C.FLAG_OK).alias("dq_flag"), F.col("ids").alias("n")),
+            F.struct(F.lit(C.FLAG_DUPLICATE).alias("dq_flag"), (F.col("n") - F.col("ids")).alias("n")),
+        ),
+    ).otherwise(F.array(F.struct("dq_flag", "n")))
+    return per_flag.select(F.explode(split).alias("c")).select("c.dq_flag", "c.n").filter(F.col("n") > 0)
 
 
 def run_dq(df: DataFrame, run_date: Union[date, str]):

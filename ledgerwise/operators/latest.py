@@ -1,18 +1,14 @@
 """Keep the latest row per key, and return every other row as well.
 
-Built from aggregations instead of a window so that one hot key (or a large
-group of identical copies) never lands whole in one task:
-
-* ``winners``: ``groupBy(key).agg(max(struct(order..., every column)))``. The
-  partial aggregate runs map-side, so each map task ships at most one row per
-  key. The result is hash-partitioned by ``key``, which the reconcile and SCD2
-  joins downstream reuse without another exchange.
-* ``losers``: every row is joined to the best of its key (AQE splits a hot
-  key across tasks; the best side has one row per key). Rows that are not the
-  best are losers as they are; exact copies of the best are collapsed to
-  ``(row, copies)`` with map-side combine and ``copies - 1`` are expanded
-  back. Expansion of a very large copy count is cut into chunks that are
-  spread across tasks before they are exploded.
+* ``winners``: ``row_number() = 1`` over the key. Catalyst turns that filter
+  into a group limit that also runs before the shuffle, so each map task ships
+  at most one row per key, however hot. The result is hash-partitioned and
+  sorted by ``key``, which the joins downstream reuse as it is.
+* ``losers``: only keys seen more than once (one narrow, map-side combined
+  count) enter. Their rows are collapsed to distinct rows with a copy count,
+  and ranked in two windows: per (key, salt), then among the best of each
+  salt. So neither a hot key nor a large group of copies lands whole in one
+  task, and no row is joined to its winner.
 
 The order is total: the caller's order columns first, then every remaining
 column, so the choice does not depend on partitioning or input order.
@@ -21,13 +17,15 @@ column, so the choice does not depend on partitioning or input order.
 from __future__ import annotations
 
 from functools import cached_property
-from typing import Sequence
+from typing import List, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Copy counts above this are expanded in chunks spread over several tasks.
 EXPAND_CHUNK = 1 << 20
+# Parts that the distinct rows of one repeated key are ranked in.
+SALTS = 64
 
 
 class LatestSplit:
@@ -35,70 +33,53 @@ class LatestSplit:
     on first access (a caller that needs only the winners never pays for the
     loser plan)."""
 
-    def __init__(self, df: DataFrame, key: str, order_cols: Sequence[str]):
-        self._df, self._key, self._order = df, key, list(order_cols)
-        self._columns = df.columns
-        self._rank = _rank_struct(self._columns, self._order)
+    def __init__(self, df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True):
+        self._df, self._key, self._columns, self._null_keys = df, key, df.columns, null_keys
+        ordered = list(order_cols) + [c for c in df.columns if c not in order_cols and c != key]
+        self._latest_first: List[Column] = [F.col(c).desc_nulls_last() for c in ordered]
 
-    @cached_property
-    def _best(self) -> DataFrame:
-        keyed = self._df.filter(F.col(self._key).isNotNull())
-        return keyed.groupBy(self._key).agg(F.max(self._rank).alias("_best"))
+    @property
+    def _keyed(self) -> DataFrame:
+        return self._df.filter(F.col(self._key).isNotNull())
 
     @cached_property
     def winners(self) -> DataFrame:
-        return _unpack(self._best, self._key, self._columns)
+        w = Window.partitionBy(self._key).orderBy(*self._latest_first)
+        return self._keyed.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).select(*self._columns)
 
     @cached_property
     def losers(self) -> DataFrame:
-        df, key, columns, rank = self._df, self._key, self._columns, self._rank
-        has_key = F.col(key).isNotNull()
-        # The join key of the best side is read from the struct on purpose:
-        # Catalyst then shuffles that side (one row per key) too, and with
-        # both children plain shuffles AQE's skew-join handling can split a
-        # hot key of the row side over several tasks.
-        best = self._best.select(F.col("_best")[key].alias("_best_key"), "_best")
-        marked = (
-            df.filter(has_key)
-            .join(best, F.col(key) == F.col("_best_key"), "left")
-            .withColumn("_is_best", rank.eqNullSafe(F.col("_best")))
-        )
-        beaten = marked.filter(~F.col("_is_best")).select(*columns)
-        copies = (
-            marked.filter(F.col("_is_best"))
-            .select(F.struct(*columns).alias("_row"))
-            .groupBy("_row")
-            .agg((F.count(F.lit(1)) - 1).alias("_surplus"))
-            .select("_row.*", "_surplus")
-        )
-        return beaten.unionByName(expand_copies(copies, "_surplus")).unionByName(df.filter(~has_key))
-
-
-def _rank_struct(columns: Sequence[str], order_cols: Sequence[str]) -> Column:
-    ordered = list(order_cols) + [c for c in columns if c not in order_cols]
-    return F.struct(*[F.col(c) for c in ordered])
-
-
-def latest_winners(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
-    """One row per non-NULL ``key`` value: the greatest by ``order_cols`` then
-    by all other columns (descending). NULL order values lose to non-NULL ones."""
-    return LatestSplit(df, key, order_cols).winners
-
-
-def _unpack(best: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    # The key is taken from the grouping column itself, not from the struct:
-    # Catalyst then knows the output stays hash-partitioned by ``key`` and a
-    # later join or aggregate on it needs no new exchange.
-    return best.select(*[F.col(c) if c == key else F.col("_best")[c].alias(c) for c in columns])
+        key, columns = self._key, self._columns
+        # On both sides the key travels under a second name: neither the
+        # count's nor the join's partitioning by key is then taken over by what
+        # follows, so AQE may split a hot key in the join, and the rows of a
+        # key spread over tasks below it.
+        named = self._keyed.select(*columns, F.col(key).alias("_key"))
+        counted = named.groupBy(key, "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        rows = named.join(counted.select(F.col("_key").alias("_repeated")), F.col(key) == F.col("_repeated"))
+        rows = rows.select(*[F.col("_key").alias(c) if c == key else F.col(c) for c in columns])
+        distinct = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+        salted = distinct.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
+        w = Window.partitionBy(key, "_salt").orderBy(*self._latest_first)
+        once = salted.withColumn("_rank", F.row_number().over(w))
+        # the best of each salt meet in group 0; the rest has lost already
+        group = F.when(F.col("_rank") == 1, F.lit(0)).otherwise(F.col("_salt") + 1)
+        w = Window.partitionBy(key, "_group").orderBy(*self._latest_first)
+        twice = once.withColumn("_group", group).withColumn("_rank", F.row_number().over(w))
+        is_best = (F.col("_group") == 0) & (F.col("_rank") == 1)
+        surplus = twice.select(*columns, (F.col("_copies") - is_best.cast("int")).alias("_surplus"))
+        beaten = expand_copies(surplus, "_surplus")
+        return beaten.unionByName(self._df.filter(F.col(key).isNull())) if self._null_keys else beaten
 
 
 def expand_copies(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Turn ``(row, n)`` into ``n`` copies of ``row``; drops ``count_col``.
 
     Each row is first cut into ``ceil(n / chunk)`` chunk rows, the chunk rows
-    are redistributed round-robin, and only then exploded into copies, so no
-    single task emits more than ``chunk`` copies of one row. Only rows with
-    ``n > 0`` enter (callers pass copy surpluses, which are rare), so the
+    are redistributed, and only then exploded into copies, so no single task
+    emits more than ``chunk`` copies of one row. Only rows with ``n > 0``
+    enter (callers pass surpluses of repeated keys, which are rare), so the
     redistribution moves little data.
     """
     columns = [c for c in df.columns if c != count_col]
@@ -114,22 +95,14 @@ def expand_copies(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> D
     )
 
 
-def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str]) -> LatestSplit:
+def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True) -> LatestSplit:
     """Split ``df`` into the latest row per key and all remaining rows.
 
-    ``winners ∪ losers`` has exactly the rows of ``df`` (as a bag). A NULL key
-    matches nothing, so such rows never win and go to ``losers`` directly
-    (they never form one oversized group).
-
-    Plan: the per-key best (map-side combined aggregate, shared with
-    ``winners``) is joined back to the rows on ``key``. Both sides enter the
-    join through plain shuffles and nothing after it requires the key
-    partitioning, so AQE's skew-join handling splits a hot key of the row
-    side over several tasks (the best side has one row per key). The join is a left outer join so that the "is this the
-    best row" test stays above it and both consumers share one join. Rows that
-    are not the best are losers as they are. Rows equal to the best (the
-    winner and its exact copies) are counted per distinct row: copies collapse
-    map-side, so that shuffle carries at most one row per key and map task,
-    and ``count - 1`` of them are expanded back as losers.
+    ``winners`` and ``losers`` together have exactly the rows of ``df`` (as a
+    bag). The latest is the greatest by ``order_cols``, then by all other
+    columns; NULL order values lose to others. A NULL key matches nothing, so
+    such rows never win and go to ``losers`` directly (they never form one
+    oversized group); ``null_keys=False`` says that there are none, which
+    saves the scan for them. Columns must be groupable (no maps).
     """
-    return LatestSplit(df, key, order_cols)
+    return LatestSplit(df, key, order_cols, null_keys)

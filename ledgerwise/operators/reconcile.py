@@ -34,6 +34,17 @@ def unique_ledger(ledger: DataFrame) -> LedgerSplit:
     return LedgerSplit(keep_latest(ledger, "transaction_id", ["cleared_date"]))
 
 
+def surplus_counts(ledger: DataFrame) -> DataFrame:
+    """``dq_flag, n`` of the surplus ledger rows, by counting: rows without an
+    id, and rows with one less the distinct ids."""
+    one = ledger.agg(F.count(F.lit(1)).alias("rows"), F.count("transaction_id").alias("ids"), F.count_distinct("transaction_id").alias("unique"))
+    flags = F.array(
+        F.struct(F.lit(C.FLAG_NULL_ID).alias("dq_flag"), (F.col("rows") - F.col("ids")).alias("n")),
+        F.struct(F.lit(C.FLAG_DUPLICATE).alias("dq_flag"), (F.col("ids") - F.col("unique")).alias("n")),
+    )
+    return one.select(F.explode(flags).alias("c")).select("c.dq_flag", "c.n").filter(F.col("n") > 0)
+
+
 def recon_status(amount_tolerance: float = 0.0):
     """Priority UNRECONCILED > AMOUNT_MISMATCH > STATUS_MISMATCH > MATCHED.
 

@@ -35,8 +35,8 @@ def recon_breaks(df: DataFrame, statuses: Optional[Iterable[str]] = None) -> Dat
     row when nothing but MATCHED is present.
 
     The "anything but MATCHED present?" test is an uncorrelated scalar
-    subquery: Spark runs the one-row aggregate once and uses its value as a
-    constant in the filter (no join).
+    subquery over the status column. ``df`` is meant to be a stored table: on
+    a derived frame the subquery would derive it a second time.
     """
     if statuses:
         return df.filter(F.col("recon_status").isin(list(statuses)))
@@ -46,16 +46,17 @@ def recon_breaks(df: DataFrame, statuses: Optional[Iterable[str]] = None) -> Dat
 
 
 def scd2_history(curated: DataFrame, transaction_id: Optional[str] = None) -> DataFrame:
-    """Versions ordered by start, with a 1-based ``version`` number.
+    """Versions with a 1-based ``version`` number in order of their start.
 
     The window is keyed on the id; one id holds at most one version per run,
-    so a partition of this window is bounded by the number of runs.
+    so a partition of this window is bounded by the number of runs. The history
+    of one id comes back in order (its filter reaches the scan); the history of
+    all ids is in order inside each id, and not sorted as a whole.
     """
     df = curated if transaction_id is None else curated.filter(F.col("transaction_id") == transaction_id)
     w = Window.partitionBy("transaction_id").orderBy("effective_start_date", "effective_end_date")
-    return df.select(
-        "transaction_id", F.row_number().over(w).alias("version"), *HISTORY_COLUMNS
-    ).orderBy("transaction_id", "version")
+    out = df.select("transaction_id", F.row_number().over(w).alias("version"), *HISTORY_COLUMNS)
+    return out if transaction_id is None else out.orderBy("version")
 
 
 def version_counts(curated: DataFrame) -> DataFrame:
@@ -67,9 +68,8 @@ def changed_fields(curated: DataFrame, tracked: Sequence[str] = C.SCD2_TRACKED_F
     than one value across them (NULL counts as a value)."""
     aggs = [F.count(F.lit(1)).alias("versions")]
     for c in tracked:
-        aggs.append(
-            (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int")) > 1).alias(f"_{c}_changed")
-        )
+        some_null = (F.count(c) > 0) & (F.count(c) < F.count(F.lit(1)))
+        aggs.append((F.coalesce(F.min(c) < F.max(c), F.lit(False)) | some_null).alias(f"_{c}_changed"))
     per_id = curated.groupBy("transaction_id").agg(*aggs).filter(F.col("versions") > 1)
     names = [F.when(F.col(f"_{c}_changed"), F.lit(c)) for c in tracked]
     return per_id.select("transaction_id", "versions", F.concat_ws(",", *names).alias("changed_fields"))
@@ -94,15 +94,16 @@ def curated_browse(
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sorted distinct non-NULL values of several columns at once, as
-    ``(field, value)`` text: one scan, one partially aggregated shuffle."""
+    """Distinct non-NULL values of several columns at once, as
+    ``(field, value)`` text: one scan, one partially aggregated shuffle. Not
+    sorted; a list to choose from is :func:`pick_list`."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    return (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.field", "p.value")
-        .filter(F.col("value").isNotNull())
-        .distinct()
-        .orderBy("field", "value")
-    )
+    return df.select(F.explode(pairs).alias("p")).select("p.field", "p.value").filter(F.col("value").isNotNull()).distinct()
+
+
+def pick_list(df: DataFrame, column: str) -> DataFrame:
+    """Sorted distinct non-NULL values of one column (``value``). Only the
+    distinct values are sorted."""
+    return df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct().orderBy("value")

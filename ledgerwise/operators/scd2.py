@@ -24,6 +24,7 @@ from pyspark.sql.types import BooleanType, DateType, DoubleType, StringType, Str
 
 from ledgerwise import constants as C
 from ledgerwise.functions import any_differs, ts_literal
+from ledgerwise.operators.latest import keep_latest
 
 # Change classes of the merge.
 CHANGE_NEW = "NEW"
@@ -61,95 +62,109 @@ def open_versions(incoming: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPE
     )
 
 
-def scd2_initial(incoming: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPEN_END) -> DataFrame:
+def scd2_initial(
+    incoming: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPEN_END, incoming_unique: bool = False
+) -> DataFrame:
     """First load: every incoming row is open."""
-    return open_versions(incoming, run_ts, open_end)
+    return open_versions(incoming if incoming_unique else one_per_id(incoming), run_ts, open_end)
+
+
+def one_per_id(incoming: DataFrame) -> DataFrame:
+    """Incoming rows reduced to one per id: the latest ``updated_at`` where
+    that column is there, then the greatest of all columns. Rows with a NULL
+    id name no transaction and are left out."""
+    order = [c for c in ("updated_at",) if c in incoming.columns]
+    return keep_latest(incoming, "transaction_id", order).winners.select(*INCOMING_COLUMNS)
 
 
 def classify(
-    existing: DataFrame, incoming: DataFrame, tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS
+    existing: DataFrame,
+    incoming: DataFrame,
+    tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
+    incoming_unique: bool = False,
 ) -> DataFrame:
     """Full-outer join of incoming rows and current versions.
 
     Columns: ``change``, ``n_*`` (incoming, NULL when absent) and ``c_*``
-    (current version, NULL when new).
+    (current version, NULL when new). Presence is told by a marker on each
+    side, so a stored version with a NULL id is ABSENT like any other unmatched
+    one. ``incoming_unique`` says that ``incoming`` holds one row per id, as
+    reconciled output does; otherwise it is reduced by :func:`one_per_id`.
     """
-    n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in INCOMING_COLUMNS])
-    cur = existing.filter(F.col("is_current")).select(*[F.col(c).alias(f"c_{c}") for c in C.CURATED_COLUMNS])
+    rows = incoming.select(*INCOMING_COLUMNS) if incoming_unique else one_per_id(incoming)
+    n = rows.select(*[F.col(c).alias(f"n_{c}") for c in INCOMING_COLUMNS], F.lit(True).alias("_in_feed"))
+    cur = existing.filter(F.col("is_current")).select(
+        *[F.col(c).alias(f"c_{c}") for c in C.CURATED_COLUMNS], F.lit(True).alias("_stored")
+    )
     j = n.join(cur, F.col("n_transaction_id") == F.col("c_transaction_id"), "full_outer")
     change = (
-        F.when(F.col("c_transaction_id").isNull(), F.lit(CHANGE_NEW))
-        .when(F.col("n_transaction_id").isNull(), F.lit(CHANGE_ABSENT))
+        F.when(F.col("_stored").isNull(), F.lit(CHANGE_NEW))
+        .when(F.col("_in_feed").isNull(), F.lit(CHANGE_ABSENT))
         .when(any_differs([(f"n_{c}", f"c_{c}") for c in tracked]), F.lit(CHANGE_CHANGED))
         .otherwise(F.lit(CHANGE_UNCHANGED))
     )
-    return j.withColumn("change", change)
+    return j.withColumn("change", change).drop("_in_feed", "_stored")
 
 
-def _version(prefix: str, start: Column, end: Column, current: Column, role: Column) -> Column:
+def _version(prefix: str, start: Column, end: Column, current: Column) -> Column:
     return F.struct(
         *[F.col(f"{prefix}{c}").alias(c) for c in INCOMING_COLUMNS],
         start.alias("effective_start_date"),
         end.alias("effective_end_date"),
         current.alias("is_current"),
-        role.alias("_role"),
     )
 
 
-# Role tags of output rows (see ``merge_classified(tag_col=...)``).
-ROLE_HISTORY = "HISTORY"
-ROLE_CLOSED = "CLOSED"
-
-
-def merge_classified(
-    existing: DataFrame,
-    classified: DataFrame,
-    run_ts: RunTs,
-    open_end: str = C.SCD2_OPEN_END,
-    tag_col: Optional[str] = None,
-) -> DataFrame:
-    """Curated table after the merge: history + versions emitted per class.
-
-    With ``tag_col`` every output row also carries its role: HISTORY, CLOSED,
-    or the change class of the row it came from (NEW / CHANGED for opened
-    versions, UNCHANGED / ABSENT for kept ones). Run counts can then be
-    observed on the final rows of the write itself.
-    """
+def versions_of(classified: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPEN_END) -> DataFrame:
+    """The versions each classified row emits, curated columns only."""
     run = ts_literal(run_ts)
     change = F.col("change")
-    keep = _version("c_", F.col("c_effective_start_date"), F.col("c_effective_end_date"), F.col("c_is_current"), change)
-    close = _version("c_", F.col("c_effective_start_date"), run, F.lit(False), F.lit(ROLE_CLOSED))
-    opened = _version("n_", run, ts_literal(open_end), F.lit(True), change)
+    keep = _version("c_", F.col("c_effective_start_date"), F.col("c_effective_end_date"), F.col("c_is_current"))
+    close = _version("c_", F.col("c_effective_start_date"), run, F.lit(False))
+    opened = _version("n_", run, ts_literal(open_end), F.lit(True))
     versions = (
         F.when(change == CHANGE_NEW, F.array(opened))
         .when(change == CHANGE_CHANGED, F.array(close, opened))
         .otherwise(F.array(keep))
     )
-    touched = classified.select(F.explode(versions).alias("v")).select("v.*")
-    history = existing.filter(~F.col("is_current")).select(*C.CURATED_COLUMNS, F.lit(ROLE_HISTORY).alias("_role"))
-    out = history.unionByName(touched)
-    return out.select(*C.CURATED_COLUMNS, *([F.col("_role").alias(tag_col)] if tag_col else []))
+    return classified.select(F.explode(versions).alias("v")).select("v.*").select(*C.CURATED_COLUMNS)
 
 
-def initial_tagged(incoming: DataFrame, run_ts: RunTs, tag_col: str, open_end: str = C.SCD2_OPEN_END) -> DataFrame:
-    """First load with the role tag (every row NEW)."""
-    return open_versions(incoming, run_ts, open_end).withColumn(tag_col, F.lit(CHANGE_NEW))
+def merge_classified(
+    existing: DataFrame, classified: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPEN_END
+) -> DataFrame:
+    """Curated table after the merge: history + versions emitted per class."""
+    history = existing.filter(~F.col("is_current")).select(*C.CURATED_COLUMNS)
+    return history.unionByName(versions_of(classified, run_ts, open_end))
 
 
-def tagged_counts(tag_col: str):
-    """Aggregates over tagged merge output: the merge counts, the number of
+def class_counts():
+    """Aggregates over a classification: the merge counts, the number of
     incoming rows, and incoming rows per recon status."""
-    role = F.col(tag_col)
-    incoming = role.isin(CHANGE_NEW, CHANGE_CHANGED, CHANGE_UNCHANGED)
+    ch = F.col("change")
+    incoming = ch != CHANGE_ABSENT
     return [
-        F.count_if(role.isin(CHANGE_NEW, CHANGE_CHANGED)).alias("inserted"),
-        F.count_if(role == ROLE_CLOSED).alias("closed"),
-        F.count_if(role == CHANGE_UNCHANGED).alias("unchanged"),
-        F.count_if(role == CHANGE_NEW).alias("new_ids"),
-        F.count_if(role == CHANGE_ABSENT).alias("absent"),
+        F.count_if(ch.isin(CHANGE_NEW, CHANGE_CHANGED)).alias("inserted"),
+        F.count_if(ch == CHANGE_CHANGED).alias("closed"),
+        F.count_if(ch == CHANGE_UNCHANGED).alias("unchanged"),
+        F.count_if(ch == CHANGE_NEW).alias("new_ids"),
+        F.count_if(ch == CHANGE_ABSENT).alias("absent"),
         F.count_if(incoming).alias("incoming"),
-        *[F.count_if(incoming & (F.col("recon_status") == F.lit(s))).alias(s) for s in C.RECON_STATUSES],
-        F.count(F.lit(1)).alias("curated_rows"),
+        *[F.count_if(incoming & (F.col("n_recon_status") == F.lit(s))).alias(s) for s in C.RECON_STATUSES],
+    ]
+
+
+def initial_counts():
+    """The same counts as :func:`class_counts`, over the rows of a first load."""
+    rows, none = F.count(F.lit(1)), F.lit(0).cast("bigint")
+    return [
+        rows.alias("inserted"),
+        F.sum(none).alias("closed"),
+        F.sum(none).alias("unchanged"),
+        rows.alias("new_ids"),
+        F.sum(none).alias("absent"),
+        rows.alias("incoming"),
+        *[F.count_if(F.col("recon_status") == F.lit(s)).alias(s) for s in C.RECON_STATUSES],
     ]
 
 
@@ -159,14 +174,13 @@ def scd2_merge(
     run_ts: RunTs,
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     open_end: str = C.SCD2_OPEN_END,
+    incoming_unique: bool = False,
 ) -> DataFrame:
-    """New curated table. ``existing`` None means first load.
-
-    ``incoming`` must hold at most one row per id (reconciled output does).
-    """
+    """New curated table. ``existing`` None means first load. ``incoming_unique``
+    as in :func:`classify`."""
     if existing is None:
-        return scd2_initial(incoming, run_ts, open_end)
-    return merge_classified(existing, classify(existing, incoming, tracked), run_ts, open_end)
+        return scd2_initial(incoming, run_ts, open_end, incoming_unique)
+    return merge_classified(existing, classify(existing, incoming, tracked, incoming_unique), run_ts, open_end)
 
 
 def scd2_counts(classified: DataFrame) -> DataFrame:
@@ -226,31 +240,26 @@ def kept_current(classified: DataFrame) -> DataFrame:
     return current_of(classified, CHANGE_UNCHANGED, CHANGE_ABSENT)
 
 
-def change_profile(classified: DataFrame) -> DataFrame:
-    """Small summary of a classification, for the affected-partition write.
-
-    One row per (change class, incoming recon status): the row count, the
-    business dates whose partition loses a current version (CHANGED ids'
-    old dates) and the dates that gain a new one (CHANGED and NEW ids' new
-    dates). The date sets are bounded by the calendar span of the data, not
-    by its row count, and are combined map-side.
-    """
-    ch = F.col("change")
-    return classified.groupBy("change", F.col("n_recon_status").alias("recon_status")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.collect_set(F.when(ch == CHANGE_CHANGED, F.col("c_transaction_date"))).alias("old_dates"),
-        F.collect_set(F.when(ch.isin(CHANGE_CHANGED, CHANGE_NEW), F.col("n_transaction_date"))).alias("new_dates"),
-    )
+def affected_dates(changes: DataFrame) -> DataFrame:
+    """Business dates (``transaction_date``, distinct) whose partition changes:
+    the old date of every CHANGED id, the new date of every CHANGED and NEW one."""
+    dates = F.when(
+        F.col("change") == CHANGE_CHANGED, F.array("c_transaction_date", "n_transaction_date")
+    ).otherwise(F.array("n_transaction_date"))
+    return changes.select(F.explode(dates).alias("transaction_date")).distinct()
 
 
-def merge_partitions(
-    existing: DataFrame, classified: DataFrame, run_ts: RunTs, dates, open_end: str = C.SCD2_OPEN_END
+def merge_affected(
+    stored: DataFrame, changes: DataFrame, run_ts: RunTs, open_end: str = C.SCD2_OPEN_END
 ) -> DataFrame:
-    """Full new content of the partitions for ``dates`` only.
-
-    History is read from those partitions alone (a partition filter on the
-    scan); current versions come from the classification. Together with a
-    dynamic partition overwrite this rewrites only what changed.
-    """
-    in_dates = F.col("transaction_date").isin(list(dates))
-    return merge_classified(existing.filter(in_dates), classified, run_ts, open_end).filter(in_dates)
+    """New content of the affected partitions: all their stored rows, where the
+    current version of a CHANGED id is closed, plus the opened versions.
+    ``changes`` holds the CHANGED and NEW rows of a classification; every
+    current version that it changes lies in ``stored``."""
+    closing = ids_to_close(changes).select(F.col("transaction_id").alias("_closing"))
+    current = stored.filter(F.col("is_current")).join(closing, F.col("transaction_id") == F.col("_closing"), "left")
+    hit = F.col("_closing").isNotNull()
+    current = current.withColumn("effective_end_date", F.when(hit, ts_literal(run_ts)).otherwise(F.col("effective_end_date")))
+    current = current.withColumn("is_current", ~hit)
+    history = stored.filter(~F.col("is_current")).select(*C.CURATED_COLUMNS)
+    return history.unionByName(current.select(*C.CURATED_COLUMNS)).unionByName(opened_versions(changes, run_ts, open_end))

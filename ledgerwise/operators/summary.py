@@ -8,13 +8,18 @@ of one-row aggregates unpivoted with ``stack``.
 
 from __future__ import annotations
 
-from typing import Iterable, Optional, Sequence, Tuple
+from functools import reduce
+from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
 
+QUARANTINE_STAGES = [
+    C.STAGE_INGEST_TRANSACTIONS, C.STAGE_INGEST_LEDGER, C.STAGE_TRANSFORM, C.STAGE_RECONCILE_LEDGER,
+]
+
 
 def _long(one_row: DataFrame, section: str, metrics: Sequence[str]) -> DataFrame:
     """Unpivot a one-row frame of BIGINT metrics into (section, metric, value)."""
@@ -24,34 +29,55 @@ def _long(one_row: DataFrame, section: str, metrics: Sequence[str]) -> DataFrame
     )
 
 
-def counts_by_domain(df: DataFrame, column: str, domain: Iterable[str]) -> DataFrame:
-    """One row, one BIGINT column per domain value (zero when absent)."""
-    return df.agg(*[F.count_if(F.col(column) == F.lit(v)).alias(v) for v in domain])
-
-
 def recon_split(reconciled: DataFrame) -> DataFrame:
     """One row: ``reconciled`` (matched or mismatched), ``unreconciled``."""
     unrec = F.col("recon_status") == F.lit(C.RECON_UNRECONCILED)
     return reconciled.agg(F.count_if(~unrec).alias("reconciled"), F.count_if(unrec).alias("unreconciled"))
 
 
-def run_summary(ingested: DataFrame, quarantine: DataFrame, reconciled: DataFrame) -> DataFrame:
+def run_summary(
+    dq_counts: DataFrame,
+    reconciled: DataFrame,
+    txn_parsed: Optional[DataFrame] = None,
+    ledger_parsed: Optional[DataFrame] = None,
+    ledger_surplus: Optional[DataFrame] = None,
+) -> DataFrame:
     """Long table ``(section, metric, value)``.
 
     * ``totals``: ingested_total (transaction input rows, parsed or corrupt),
       dq_passed (rows reconciled), quarantined_total (all quarantine rows,
       ledger defects included);
     * ``quarantined_by_flag``: every flag of the domain, zero-filled;
+    * ``quarantined_by_stage``: every stage, zero-filled;
     * ``recon_status``: every status of the domain, zero-filled;
     * ``reconciliation``: reconciled_total (matched + both mismatches) and
       unreconciled_total.
 
-    One global aggregate per input (three in all), each unpivoted once.
+    ``dq_counts`` is :func:`ledgerwise.operators.dq.dq_counts` of the parsed
+    feed; ``txn_parsed`` and ``ledger_parsed`` are parsed lines of which only
+    the corrupt ones are counted; ``ledger_surplus`` has ``dq_flag, n`` counts
+    of surplus ledger rows. No rejected row is built: every part is a count.
     """
-    totals_ing = ingested.agg(F.count(F.lit(1)).alias("ingested_total"))
-    q = quarantine.agg(
-        F.count(F.lit(1)).alias("quarantined_total"),
-        *[F.count_if(F.col("dq_flag") == F.lit(f)).alias(f) for f in C.QUARANTINE_FLAGS],
+    parts = [dq_counts.select(F.lit(C.STAGE_TRANSFORM).alias("stage"), "dq_flag", "n")]
+    for stage, parsed in ((C.STAGE_INGEST_TRANSACTIONS, txn_parsed), (C.STAGE_INGEST_LEDGER, ledger_parsed)):
+        if parsed is not None:
+            corrupt = parsed.filter(F.col(C.CORRUPT_COL).isNotNull())
+            parts.append(corrupt.agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), F.lit(C.FLAG_CORRUPT_JSON).alias("dq_flag"), "n"))
+    if ledger_surplus is not None:
+        parts.append(ledger_surplus.select(F.lit(C.STAGE_RECONCILE_LEDGER).alias("stage"), "dq_flag", "n"))
+    counts = reduce(DataFrame.unionByName, parts)
+
+    def total(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+
+    rejected = F.col("dq_flag") != F.lit(C.FLAG_OK)
+    of_feed = F.col("stage").isin(C.STAGE_TRANSFORM, C.STAGE_INGEST_TRANSACTIONS)
+    stages = {f"{s} rejected": s for s in QUARANTINE_STAGES}  # names apart from the flags'
+    q = counts.agg(
+        total(of_feed).alias("ingested_total"),
+        total(rejected).alias("quarantined_total"),
+        *[total(F.col("dq_flag") == F.lit(f)).alias(f) for f in C.QUARANTINE_FLAGS],
+        *[total(rejected & (F.col("stage") == F.lit(s))).alias(name) for name, s in stages.items()],
     )
     unrec = F.col("recon_status") == F.lit(C.RECON_UNRECONCILED)
     r = reconciled.agg(
@@ -62,19 +88,16 @@ def run_summary(ingested: DataFrame, quarantine: DataFrame, reconciled: DataFram
     )
     section = {"ingested_total": "totals", "dq_passed": "totals", "quarantined_total": "totals"}
     section.update({f: "quarantined_by_flag" for f in C.QUARANTINE_FLAGS})
+    section.update({name: "quarantined_by_stage" for name in stages})
     section.update({s: "recon_status" for s in C.RECON_STATUSES})
     section.update({"reconciled_total": "reconciliation", "unreconciled_total": "reconciliation"})
-    out = (
-        _long(totals_ing, "", ["ingested_total"])
-        .unionByName(_long(q, "", ["quarantined_total"] + C.QUARANTINE_FLAGS))
-        .unionByName(
-            _long(r, "", ["dq_passed"] + C.RECON_STATUSES + ["reconciled_total", "unreconciled_total"])
-        )
+    out = _long(q, "", ["ingested_total", "quarantined_total"] + C.QUARANTINE_FLAGS + list(stages)).unionByName(
+        _long(r, "", ["dq_passed"] + C.RECON_STATUSES + ["reconciled_total", "unreconciled_total"])
     )
     label = F.lit(None).cast("string")
     for metric, sec in section.items():
         label = F.when(F.col("metric") == F.lit(metric), F.lit(sec)).otherwise(label)
-    return out.select(label.alias("section"), "metric", "value")
+    return out.select(label.alias("section"), F.regexp_replace("metric", " rejected$", "").alias("metric"), "value")
 
 
 def parsed_counts(parsed: DataFrame, stage: str, corrupt_col: str = C.CORRUPT_COL) -> DataFrame:
@@ -101,34 +124,12 @@ def run_headline(summary: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(
-    txn_clean: Optional[DataFrame],
-    txn_corrupt: Optional[DataFrame],
-    ledger_clean: Optional[DataFrame],
-    ledger_corrupt: Optional[DataFrame],
-    dq_passed: DataFrame,
-    dq_quarantined: DataFrame,
-) -> DataFrame:
-    """Long table ``(stage, metric, value)`` of row counts per stage."""
-    parts: list[Tuple[str, str, DataFrame]] = []
-    if txn_clean is not None:
-        parts.append(("ingest_transactions", "clean", txn_clean))
-    if txn_corrupt is not None:
-        parts.append(("ingest_transactions", "corrupt", txn_corrupt))
-    if ledger_clean is not None:
-        parts.append(("ingest_ledger", "clean", ledger_clean))
-    if ledger_corrupt is not None:
-        parts.append(("ingest_ledger", "corrupt", ledger_corrupt))
-    parts += [("dq", "passed", dq_passed), ("dq", "quarantined", dq_quarantined)]
-    out = None
-    for stage, metric, df in parts:
-        one = df.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit(stage).alias("stage"), F.lit(metric).alias("metric"), "value"
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-def observed_counts(stage: str) -> Sequence[Column]:
-    """Metrics to attach with ``DataFrame.observe`` on a written frame."""
-    return [F.count(F.lit(1)).alias(f"{stage}_rows")]
+def dq_stage_counts(dq_counts: DataFrame) -> DataFrame:
+    """``(stage, metric, value)`` rows ``dq / passed`` and ``dq / quarantined``
+    from :func:`ledgerwise.operators.dq.dq_counts`."""
+    ok = F.col("dq_flag") == F.lit(C.FLAG_OK)
+    one = dq_counts.agg(
+        F.coalesce(F.sum(F.when(ok, F.col("n"))), F.lit(0)).alias("passed"),
+        F.coalesce(F.sum(F.when(~ok, F.col("n"))), F.lit(0)).alias("quarantined"),
+    )
+    return _long(one, "dq", ["passed", "quarantined"]).withColumnRenamed("section", "stage")

@@ -1,8 +1,7 @@
 """One batch run: ingest -> DQ -> reconcile -> quarantine -> SCD2 -> summary.
 
-Two Spark jobs write the two tables; every count of the run summary rides on
-those writes as observed metrics, so no extra pass over the data runs. The
-caller owns the session.
+Every count of the run summary rides on a write as observed metrics, so no
+extra pass over the data runs for them. The caller owns the session.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from typing import Dict, Optional, Sequence, Union
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +17,6 @@ from ledgerwise import constants as C
 from ledgerwise.operators import dq, quarantine, reconcile, scd2
 from ledgerwise.sources import ndjson, tables
 
-TAG = "_role"
-
 
 def parse_run_ts(value: Union[None, str, datetime]) -> datetime:
     """Run time as naive UTC. ``None`` means now; naive input is taken as UTC."""
@@ -117,32 +113,23 @@ def run_batch_lines(
     ts = parse_run_ts(run_ts)
     run_date = run_date or ts.date()
 
-    # Both write jobs start from the parsed inputs: keep them (memory, then
-    # local disk) for the run instead of parsing the JSON twice. Lost blocks
-    # are recomputed from the files; both are released when the run ends.
-    txn_parsed = ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
-    ledger_parsed = ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        txn_clean, txn_corrupt = ndjson.split_corrupt(txn_parsed)
-        ledger_clean, ledger_corrupt = ndjson.split_corrupt(ledger_parsed)
-
-        checked = dq.dedup_latest(dq.apply_dq_rules(txn_clean, run_date))
-        ledger_split = reconcile.unique_ledger(ledger_clean)
-        reconciled = reconcile.reconcile(checked.kept, ledger_split.unique, amount_tolerance, dedup_ledger=False)
-
-        # Job 1: quarantine table.
-        q_obs = Observation("quarantine")
-        all_quarantine = quarantine.build_quarantine(
-            txn_corrupt, ledger_corrupt, checked.quarantine(), ledger_split.surplus
-        )
-        tables.write_quarantine(all_quarantine, quarantine_path, scenario, ts, q_obs, _quarantine_metrics())
-        qc = q_obs.get
-
-        # Job 2 (or 2 and 3 for an affected-partition rewrite): curated SCD2 table.
-        cc = scd2_load(spark, reconciled, ts, curated_path, tracked, rewrite)
-    finally:
-        txn_parsed.unpersist()
-        ledger_parsed.unpersist()
+    # Both writes start from the parsed inputs: they are written once to the
+    # shared scratch folder, where a lost executor takes nothing with it.
+    txn_parsed = tables.staged(ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA), "parsed-transactions")
+    ledger_parsed = tables.staged(ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA), "parsed-ledger")
+    txn_clean, txn_corrupt = ndjson.split_corrupt(txn_parsed)
+    ledger_clean, ledger_corrupt = ndjson.split_corrupt(ledger_parsed)
+
+    checked = dq.dedup_latest(dq.apply_dq_rules(txn_clean, run_date))
+    ledger_split = reconcile.unique_ledger(ledger_clean)
+    reconciled = reconcile.reconcile(checked.kept, ledger_split.unique, amount_tolerance, dedup_ledger=False)
+
+    q_obs = Observation("quarantine")
+    all_quarantine = quarantine.build_quarantine(txn_corrupt, ledger_corrupt, checked.quarantine(), ledger_split.surplus)
+    tables.write_quarantine(all_quarantine, quarantine_path, scenario, ts, q_obs, _quarantine_metrics())
+    qc = q_obs.get
+
+    cc = scd2_load(spark, reconciled, ts, curated_path, tracked, rewrite, incoming_unique=True)
 
     counts: Dict[str, int] = {k: int(v) for k, v in {**qc, **cc}.items()}
     counts["dq_passed"] = counts["incoming"]
@@ -154,38 +141,7 @@ def run_batch_lines(
     return BatchResult(counts)
 
 
-# Above this many changed business dates, or this share of the table's date
-# partitions, the merge rewrites the whole table instead.
-MAX_AFFECTED_DATES = 20000
-MAX_AFFECTED_FRACTION = 0.5
-
-
-def _partition_count(df: DataFrame) -> int:
-    """Number of partition folders, from the file listing the driver already
-    holds for the scan (no data is read)."""
-    return len({f.rsplit("/", 1)[0] for f in df.inputFiles()})
-
-
-def _profile_counts(profile_rows) -> Dict[str, int]:
-    counts = {k: 0 for k in ("inserted", "closed", "unchanged", "new_ids", "absent", "incoming")}
-    counts.update({s: 0 for s in C.RECON_STATUSES})
-    for r in profile_rows:
-        change, n = r["change"], int(r["n"])
-        if change == scd2.CHANGE_NEW:
-            counts["new_ids"] += n
-            counts["inserted"] += n
-        elif change == scd2.CHANGE_CHANGED:
-            counts["closed"] += n
-            counts["inserted"] += n
-        elif change == scd2.CHANGE_UNCHANGED:
-            counts["unchanged"] += n
-        else:
-            counts["absent"] += n
-        if change != scd2.CHANGE_ABSENT:
-            counts["incoming"] += n
-            if r["recon_status"] in counts:
-                counts[r["recon_status"]] += n
-    return counts
+REWRITES = ("affected", "full")
 
 
 def scd2_load(
@@ -195,46 +151,46 @@ def scd2_load(
     curated_path: str,
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     rewrite: str = "affected",
-    max_affected_dates: int = MAX_AFFECTED_DATES,
-    max_affected_fraction: float = MAX_AFFECTED_FRACTION,
+    incoming_unique: bool = False,
 ) -> Dict[str, int]:
     """Merge ``incoming`` into the curated table and return the run counts.
 
-    ``rewrite="full"``: one job writes the whole new table to a staging
-    folder and swaps it in; counts are observed on that write.
+    The caller chooses how the table is written, and nothing else decides:
 
-    ``rewrite="affected"`` (existing table only): job 1 collects the change
-    profile (counts + changed business dates, a calendar-bounded list); job 2
-    rewrites just those date partitions in place with a dynamic partition
-    overwrite, reading history only from them. With no change nothing is
-    written; with more than ``max_affected_dates`` dates, or more than
-    ``max_affected_fraction`` of the existing date partitions, it falls back
-    to the full rewrite.
+    The classification (the full-outer join) runs once; only its CHANGED and
+    NEW rows are written to the scratch folder, and all counts are observed in
+    that write's last stage. The new content is the stored rows with the
+    changed versions closed, plus the opened ones:
+
+    * ``rewrite="full"``: of all partitions, as a new whole table;
+    * ``rewrite="affected"``: of the partitions of the changed business dates;
+      the others are neither read again nor written, and without a change
+      nothing is written.
+
+    Both publish one snapshot (see :mod:`ledgerwise.sources.tables`) and return
+    the same counts. The first load writes the whole table at once, and the
+    first load onto a plain Parquet table replaces it.
     """
+    if rewrite not in REWRITES:
+        raise ValueError(f"rewrite is one of {REWRITES}")
+    if not incoming_unique:
+        incoming = scd2.one_per_id(incoming)
     incoming = incoming.select(*scd2.INCOMING_COLUMNS)
     existing = tables.read_curated(spark, curated_path)
-    if existing is not None and rewrite == "affected":
-        classified = scd2.classify(existing, incoming, tracked)
-        profile = scd2.change_profile(classified).collect()
-        dates = set()
-        for r in profile:
-            dates.update(r["old_dates"] or [])
-            dates.update(r["new_dates"] or [])
-        limit = min(max_affected_dates, max_affected_fraction * max(_partition_count(existing), 1))
-        if len(dates) <= limit:
-            counts = _profile_counts(profile)
-            if dates:
-                part = scd2.merge_partitions(existing, classified, ts, sorted(dates))
-                tables.write_partitions(part, curated_path, "transaction_date")
-            counts["affected_dates"] = len(dates)
-            return counts
-    if existing is None:
-        merged = scd2.initial_tagged(incoming, ts, TAG)
-    else:
-        merged = scd2.merge_classified(existing, scd2.classify(existing, incoming, tracked), ts, tag_col=TAG)
     obs = Observation("scd2")
-    tables.write_curated(merged, curated_path, obs, scd2.tagged_counts(TAG), tag_col=TAG)
-    return {k: int(v) for k, v in obs.get.items()}
+    if existing is None:
+        tables.write_curated(scd2.scd2_initial(incoming, ts, incoming_unique=True), curated_path, obs, scd2.initial_counts())
+        return {k: int(v or 0) for k, v in obs.get.items()}
+    classified = scd2.classify(existing, incoming, tracked, incoming_unique=True).observe(obs, *scd2.class_counts())
+    is_change = F.col("change").isin(scd2.CHANGE_CHANGED, scd2.CHANGE_NEW)
+    changes = tables.staged(classified.filter(is_change), "changes")
+    counts = {k: int(v) for k, v in obs.get.items()}
+    if rewrite == "full" or not tables.is_snapshot_table(spark, curated_path):
+        tables.write_curated(scd2.merge_affected(existing, changes, ts), curated_path)
+    elif counts["inserted"]:
+        stored = tables.read_curated(spark, curated_path, scd2.affected_dates(changes))
+        tables.write_snapshot(scd2.merge_affected(stored, changes, ts), curated_path, "transaction_date", replace_all=False)
+    return counts
 
 
 def apply_scd2(
@@ -245,7 +201,7 @@ def apply_scd2(
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     rewrite: str = "affected",
 ) -> Dict[str, int]:
-    """Merge ``incoming`` (reconciled rows, one per id) into the curated table
-    at ``curated_path``; returns ``inserted, closed, unchanged, new_ids``."""
+    """Merge ``incoming`` (reconciled rows) into the curated table at
+    ``curated_path``; returns ``inserted, closed, unchanged, new_ids``."""
     got = scd2_load(spark, incoming, parse_run_ts(run_ts), curated_path, tracked, rewrite)
     return {k: int(got[k]) for k in ("inserted", "closed", "unchanged", "new_ids")}

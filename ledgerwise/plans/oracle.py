@@ -13,6 +13,7 @@ from ledgerwise.sources import feeds
 RUN_DATE = feeds.RUN_DATE
 TS1 = feeds.RUN_TS_INITIAL
 TS2 = feeds.RUN_TS_UPDATED
+TS3 = feeds.RUN_TS_THIRD
 OPEN_END = C.SCD2_OPEN_END
 
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'SETTLED' WHEN 'P' THEN 'PENDING' WHEN 'O' THEN 'FAILED' END"
@@ -22,7 +23,7 @@ _DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
 _TS_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
 
 
-def _flag_ctes(name: str, src: str) -> str:
+def _flag_ctes(name: str, src: str, ledger: str = "ledger") -> str:
     """Parse + flag (``{name}_flag``), dedup (``{name}_dedup``), clean rows."""
     return f"""
 {name}_parsed AS (
@@ -68,10 +69,16 @@ def _flag_ctes(name: str, src: str) -> str:
          WHEN c.amount IS DISTINCT FROM l.ledger_amount THEN 'AMOUNT_MISMATCH'
          WHEN c.status IS DISTINCT FROM l.ledger_status THEN 'STATUS_MISMATCH'
          ELSE 'MATCHED' END AS recon_status
-  FROM {name}_clean c LEFT JOIN ledger l ON c.transaction_id = l.transaction_id
+  FROM {name}_clean c LEFT JOIN {ledger} l ON c.transaction_id = l.transaction_id
 )"""
 
 
+_NO_PAYLOAD = ", ".join(
+    f"CAST(NULL AS {'DOUBLE' if c in ('amount', 'ledger_amount') else 'VARCHAR'}) AS p_{c}"
+    for c in C.TRANSACTION_COLUMNS + [c for c in C.LEDGER_COLUMNS if c not in C.TRANSACTION_COLUMNS]
+)
+
+
 def _cte() -> str:
     return f"""WITH
 feed_k AS (
@@ -113,6 +120,50 @@ ledger AS (
 ),
 {_flag_ctes("f", "feed")},
 {_flag_ctes("u", "upd")},
+third AS (
+  SELECT transaction_id, account_id,
+         CASE WHEN k % 38 = 8 THEN amount + CAST(75.0 AS DOUBLE) WHEN k % 19 = 8 THEN amount + CAST(50.0 AS DOUBLE)
+              WHEN k % 47 = 3 THEN amount + CAST(5.0 AS DOUBLE) ELSE amount END AS amount,
+         currency, transaction_date, status, updated_at
+  FROM feed_all WHERE k % 31 <> 4
+),
+{_flag_ctes("t", "third")},
+ledger_k AS (
+  SELECT CAST(substr(transaction_id, 4, 9) AS BIGINT) AS k, * FROM ledger
+),
+repeated_all AS (
+  SELECT k, transaction_id, cleared_flag, cleared_date, ledger_amount, ledger_status FROM ledger_k
+  UNION ALL
+  SELECT k, transaction_id, cleared_flag, strftime(CAST(cleared_date AS DATE) + INTERVAL 1 MONTH, '%Y-%m-%d'),
+         ledger_amount + CAST(1.0 AS DOUBLE), ledger_status
+  FROM ledger_k WHERE k % 21 = 2
+  UNION ALL
+  SELECT k, transaction_id, cleared_flag, cleared_date, ledger_amount, ledger_status
+  FROM ledger_k WHERE k % 33 = 7 AND k % 21 <> 2
+),
+repeated_ledger AS (
+  SELECT CASE WHEN k % 45 = 11 THEN NULL ELSE transaction_id END AS transaction_id,
+         cleared_flag, cleared_date, ledger_amount, ledger_status
+  FROM repeated_all
+),
+repeated_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY cleared_date DESC NULLS LAST,
+      cleared_flag DESC NULLS LAST, ledger_amount DESC NULLS LAST, ledger_status DESC NULLS LAST) AS rn
+  FROM repeated_ledger
+),
+ledger_unique AS (SELECT * FROM repeated_ranked WHERE rn = 1 AND transaction_id IS NOT NULL),
+ledger_surplus AS (
+  SELECT *, CASE WHEN transaction_id IS NULL THEN 'NULL_ID' ELSE 'DUPLICATE' END AS dq_flag
+  FROM repeated_ranked WHERE rn > 1 OR transaction_id IS NULL
+),
+r_recon AS (
+  SELECT c.transaction_id, c.account_id, c.amount, c.currency, c.transaction_date, c.status, c.updated_at,
+    CASE WHEN l.transaction_id IS NULL THEN 'UNRECONCILED'
+         WHEN c.amount IS DISTINCT FROM l.ledger_amount THEN 'AMOUNT_MISMATCH'
+         WHEN c.status IS DISTINCT FROM l.ledger_status THEN 'STATUS_MISMATCH'
+         ELSE 'MATCHED' END AS recon_status
+  FROM f_clean c LEFT JOIN ledger_unique l ON c.transaction_id = l.transaction_id
+),
 ev_lines AS (
   SELECT CASE
     WHEN event_id % 50 = 7 THEN '{{"transaction_id":"E' || CAST(event_id AS VARCHAR) || '","amount":'
@@ -149,15 +200,19 @@ ledger_lines_parsed AS (
 ),
 quarantine_all AS (
   SELECT CAST(NULL AS VARCHAR) AS transaction_id, 'INGEST_TRANSACTIONS' AS stage, 'CORRUPT_JSON' AS dq_flag,
-         CASE WHEN json_valid(line) THEN line ->> '$.transaction_date' END AS payload_transaction_date,
-         line AS corrupt_payload
+         {_NO_PAYLOAD}, line AS corrupt_payload, false AS has_source
   FROM ev WHERE is_corrupt
   UNION ALL
-  SELECT CAST(NULL AS VARCHAR), 'INGEST_LEDGER', 'CORRUPT_JSON', CAST(NULL AS VARCHAR), line
+  SELECT CAST(NULL AS VARCHAR), 'INGEST_LEDGER', 'CORRUPT_JSON', {_NO_PAYLOAD}, line, false
   FROM ledger_lines_parsed WHERE NOT ok
   UNION ALL
-  SELECT transaction_id, 'TRANSFORM', dq_flag, transaction_date_raw, CAST(NULL AS VARCHAR)
+  SELECT transaction_id, 'TRANSFORM', dq_flag, transaction_id, account_id, amount, currency,
+         transaction_date_raw, status, updated_at_raw, NULL, NULL, NULL, NULL, NULL, false
   FROM f_dedup WHERE dq_flag <> 'OK'
+  UNION ALL
+  SELECT transaction_id, 'RECONCILE_LEDGER', dq_flag, transaction_id, NULL, NULL, NULL, NULL, NULL, NULL,
+         cleared_flag, cleared_date, ledger_amount, ledger_status, NULL, false
+  FROM ledger_surplus
 ),
 cur1 AS (
   SELECT transaction_id, account_id, amount, currency, transaction_date, status, recon_status,
@@ -206,6 +261,26 @@ merged AS (
   UNION ALL SELECT * FROM kept
   UNION ALL SELECT * FROM closed
   UNION ALL SELECT * FROM opened
+),
+current2 AS (SELECT * FROM merged WHERE is_current),
+third_changed AS (
+  SELECT n.* FROM t_recon n JOIN current2 c USING (transaction_id)
+  WHERE n.amount IS DISTINCT FROM c.amount OR n.status IS DISTINCT FROM c.status
+     OR n.recon_status IS DISTINCT FROM c.recon_status
+),
+third_new AS (SELECT * FROM t_recon WHERE transaction_id NOT IN (SELECT transaction_id FROM current2)),
+merged3 AS (
+  SELECT * FROM merged WHERE NOT is_current
+  UNION ALL
+  SELECT * REPLACE (
+      CASE WHEN transaction_id IN (SELECT transaction_id FROM third_changed)
+           THEN CAST(TIMESTAMP '{TS3}' AS TIMESTAMP) ELSE effective_end_date END AS effective_end_date,
+      transaction_id NOT IN (SELECT transaction_id FROM third_changed) AS is_current)
+  FROM current2
+  UNION ALL
+  SELECT transaction_id, account_id, amount, currency, transaction_date, status, recon_status,
+         CAST(TIMESTAMP '{TS3}' AS TIMESTAMP), CAST(TIMESTAMP '{OPEN_END}' AS TIMESTAMP), true
+  FROM (SELECT * FROM third_changed UNION ALL SELECT * FROM third_new)
 )
 """
 
@@ -218,7 +293,9 @@ INC = "transaction_id, account_id, amount, currency, transaction_date, status, r
 BROWSE_DATES = [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in range(1, 13)]
 BROWSE_STATUSES = [C.RECON_AMOUNT_MISMATCH, C.RECON_STATUS_MISMATCH, C.RECON_UNRECONCILED]
 QUARANTINE_BROWSE_FLAGS = [C.FLAG_INVALID_DATE, C.FLAG_DUPLICATE, C.FLAG_CORRUPT_JSON]
-DISTINCT_FIELDS = ["currency", "recon_status", "status", "transaction_date"]
+DISTINCT_FIELDS = ["transaction_id", "recon_status", "transaction_date"]
+CHOSEN_STATUSES = [C.RECON_UNRECONCILED, C.RECON_STATUS_MISMATCH]
+HISTORY_ID = "TXN000000008"
 
 
 def _in(values) -> str:
@@ -231,15 +308,21 @@ def _summary_sql() -> str:
         for s in C.RECON_STATUSES
     )
     flag_rows = " UNION ALL ".join(
-        f"SELECT 'quarantined_by_flag', '{f}', count_if(dq_flag = '{f}') FROM f_dedup WHERE dq_flag <> 'OK'"
-        for f in C.QUARANTINE_FLAGS
+        f"SELECT 'quarantined_by_flag', '{f}', count_if(dq_flag = '{f}') FROM run_quarantine" for f in C.QUARANTINE_FLAGS
+    )
+    stage_rows = " UNION ALL ".join(
+        f"SELECT 'quarantined_by_stage', '{st}', count_if(stage = '{st}') FROM run_quarantine"
+        for st in ("INGEST_TRANSACTIONS", "INGEST_LEDGER", "TRANSFORM", "RECONCILE_LEDGER")
     )
     return f"""
 SELECT section, metric, CAST(value AS BIGINT) AS value FROM (
-  SELECT 'totals' AS section, 'ingested_total' AS metric, count(*) AS value FROM feed
+  WITH run_quarantine AS (SELECT * FROM quarantine_all WHERE stage <> 'RECONCILE_LEDGER')
+  SELECT 'totals' AS section, 'ingested_total' AS metric,
+         (SELECT count(*) FROM feed) + (SELECT count(*) FROM ev WHERE is_corrupt) AS value
   UNION ALL SELECT 'totals', 'dq_passed', count(*) FROM f_recon
-  UNION ALL SELECT 'totals', 'quarantined_total', count(*) FROM f_dedup WHERE dq_flag <> 'OK'
+  UNION ALL SELECT 'totals', 'quarantined_total', count(*) FROM run_quarantine
   UNION ALL {flag_rows}
+  UNION ALL {stage_rows}
   UNION ALL {recon_rows}
   UNION ALL SELECT 'reconciliation', 'reconciled_total', count_if(recon_status <> 'UNRECONCILED') FROM f_recon
   UNION ALL SELECT 'reconciliation', 'unreconciled_total', count_if(recon_status = 'UNRECONCILED') FROM f_recon
@@ -281,6 +364,11 @@ def _bodies() -> dict:
         "quarantine_roundtrip": f"""
             SELECT *, 'initial' AS run_scenario, CAST(TIMESTAMP '{TS1}' AS TIMESTAMP) AS quarantined_at
             FROM quarantine_all""",
+        "quarantine_browse_stored": f"""
+            SELECT *, 'initial' AS run_scenario, CAST(TIMESTAMP '{TS1}' AS TIMESTAMP) AS quarantined_at
+            FROM quarantine_all WHERE dq_flag IN ({_in(QUARANTINE_BROWSE_FLAGS)})""",
+        "ledger_surplus": "SELECT * FROM quarantine_all WHERE stage = 'RECONCILE_LEDGER'",
+        "ledger_surplus_counts": "SELECT dq_flag, count(*) AS n FROM ledger_surplus GROUP BY dq_flag",
         "stage_counts": """
             SELECT stage, metric, CAST(value AS BIGINT) AS value FROM (
               SELECT 'ingest_transactions' AS stage, 'clean' AS metric, count_if(NOT is_corrupt) AS value FROM ev
@@ -293,6 +381,8 @@ def _bodies() -> dict:
         "recon_rows": "SELECT * FROM f_recon",
         "recon_status_counts": "SELECT recon_status, count(*) AS n FROM f_recon GROUP BY recon_status",
         "recon_breaks": "SELECT * FROM f_recon WHERE recon_status <> 'MATCHED'",
+        "recon_repeated_ledger": "SELECT * FROM r_recon",
+        "recon_breaks_chosen": f"SELECT * FROM f_recon WHERE recon_status IN ({_in(CHOSEN_STATUSES)})",
         "recon_split": """
             SELECT count_if(recon_status <> 'UNRECONCILED') AS reconciled,
                    count_if(recon_status = 'UNRECONCILED') AS unreconciled FROM f_recon""",
@@ -317,6 +407,7 @@ def _bodies() -> dict:
         "scd2_closed": f"SELECT {CUR} FROM closed",
         "scd2_kept_current": f"SELECT {CUR} FROM kept",
         "scd2_opened": f"SELECT {CUR} FROM opened",
+        "scd2_third_run": f"SELECT {CUR} FROM merged3",
         "scd2_counts": """
             SELECT count_if(change IN ('NEW', 'CHANGED')) AS inserted, count_if(change = 'CHANGED') AS closed,
                    count_if(change = 'UNCHANGED') AS unchanged, count_if(change = 'NEW') AS new_ids,
@@ -329,6 +420,11 @@ def _bodies() -> dict:
                         ORDER BY effective_start_date, effective_end_date) AS INTEGER) AS version,
                    effective_start_date, effective_end_date, is_current, amount, status, recon_status
             FROM merged""",
+        "scd2_history_single": f"""
+            SELECT transaction_id,
+                   CAST(row_number() OVER (ORDER BY effective_start_date, effective_end_date) AS INTEGER) AS version,
+                   effective_start_date, effective_end_date, is_current, amount, status, recon_status
+            FROM merged WHERE transaction_id = '{HISTORY_ID}'""",
         "scd2_version_counts": "SELECT transaction_id, count(*) AS versions FROM merged GROUP BY transaction_id",
         "scd2_changed_fields": f"""
             SELECT transaction_id, count(*) AS versions, concat_ws(',', {changed_cols}) AS changed_fields
@@ -338,11 +434,16 @@ def _bodies() -> dict:
             SELECT {CUR} FROM merged
             WHERE transaction_date IN ({", ".join(f"DATE '{d}'" for d in BROWSE_DATES)})
               AND recon_status IN ({_in(BROWSE_STATUSES)}) AND is_current""",
+        "curated_browse_stored": f"""
+            SELECT {CUR} FROM merged
+            WHERE transaction_date IN ({", ".join(f"DATE '{d}'" for d in BROWSE_DATES)})
+              AND recon_status IN ({_in(BROWSE_STATUSES)}) AND is_current""",
         "distinct_values": f"""
             {distinct_union}
-            UNION SELECT 'dq_flag', dq_flag FROM quarantine_all""",
+            UNION SELECT 'dq_flag', dq_flag FROM f_dedup WHERE dq_flag <> 'OK'""",
         "curated_roundtrip": f"SELECT {CUR} FROM merged",
         "batch_curated": f"SELECT {CUR} FROM merged",
+        "batch_curated_full": f"SELECT {CUR} FROM merged",
     }
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
 from ledgerwise.operators import quarantine as Q
-from ledgerwise.operators import reports, scd2, summary
+from ledgerwise.operators import reconcile, reports, scd2, summary
 from ledgerwise.plans import oracle
 from ledgerwise.plans.scenario import Scenario
 from ledgerwise.sources import ndjson, tables
@@ -24,24 +24,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 TXN_FLAGGED = C.TRANSACTION_COLUMNS + ["dq_flag"]
 
 
-# Lazy plans (not data) are reused per (session, folder): DataFrames are
-# immutable, so building the shared chain once saves the Python-side plan
-# construction on every later call. Each call still executes in full.
-_SCENARIOS: Dict[tuple, Scenario] = {}
-
-
-def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
-    k = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if k not in _SCENARIOS:
-        if len(_SCENARIOS) > 8:
-            _SCENARIOS.clear()
-        _SCENARIOS[k] = Scenario(spark, sf_dir)
-    return _SCENARIOS[k]
-
-
 def _q(fn: Callable[[Scenario], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(scenario(spark, sf_dir))
+        return fn(Scenario(spark, sf_dir))
 
     run.__doc__ = fn.__doc__
     return run
@@ -52,65 +37,87 @@ def _flag_rows(s: Scenario, flag: str) -> DataFrame:
 
 
 def _quarantine_view(q: DataFrame) -> DataFrame:
-    """Comparable projection of quarantine rows: payload date text for DQ
-    rows, the raw line for corrupt rows."""
+    """Comparable projection of quarantine rows: every payload field of DQ and
+    ledger rows, the raw line for corrupt ones, and whether a source is named."""
     corrupt = F.col("dq_flag") == F.lit(C.FLAG_CORRUPT_JSON)
+
+    def payload(field: str):
+        text = F.when(~corrupt, F.get_json_object("raw_payload", f"$.{field}"))
+        return (text.cast("double") if field in ("amount", "ledger_amount") else text).alias(f"p_{field}")
+
+    fields = C.TRANSACTION_COLUMNS + [c for c in C.LEDGER_COLUMNS if c not in C.TRANSACTION_COLUMNS]
     return q.select(
         "transaction_id",
         "stage",
         "dq_flag",
-        F.get_json_object("raw_payload", "$.transaction_date").alias("payload_transaction_date"),
+        *[payload(c) for c in fields],
         F.when(corrupt, F.col("raw_payload")).alias("corrupt_payload"),
+        F.col("source_file").isNotNull().alias("has_source"),
         *[c for c in ("run_scenario", "quarantined_at") if c in q.columns],
     )
 
 
-def _quarantine_roundtrip(s: Scenario) -> DataFrame:
+def _stored_quarantine(s: Scenario) -> DataFrame:
     path = tables.scratch_path(s.spark, "quarantine")
     tables.write_quarantine(s.quarantine_all, path, "initial", s.run_ts_initial)
-    return _quarantine_view(tables.read_quarantine(s.spark, path))
+    return tables.read_quarantine(s.spark, path)
 
 
-def _curated_roundtrip(s: Scenario) -> DataFrame:
+def _stored_curated(s: Scenario) -> DataFrame:
     path = tables.scratch_path(s.spark, "curated")
     tables.write_curated(s.curated_merged, path)
     return tables.read_curated(s.spark, path)
 
 
-def _batch_curated(s: Scenario) -> DataFrame:
-    """The whole batch twice: the feeds and the ledger are written as NDJSON
-    files, run_batch ingests them (initial, then updated run), and the curated
-    table it maintains is read back."""
-    from ledgerwise.plans.batch import run_batch
+def _batch_curated(rewrite: str) -> Callable[[Scenario], DataFrame]:
+    def run(s: Scenario) -> DataFrame:
+        """The whole batch twice: the feeds and the ledger are written as NDJSON
+        files, run_batch ingests them (initial, then updated run), and the
+        curated table it maintains is read back."""
+        from ledgerwise.plans.batch import run_batch
+
+        spark = s.spark
+        root = tables.scratch_path(spark, "batch")
 
-    spark = s.spark
-    root = tables.scratch_path(spark, "batch")
+        def lines(df: DataFrame) -> DataFrame:
+            return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
-    def lines(df: DataFrame) -> DataFrame:
-        return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+        tables.write_text_lines(lines(s.feed), f"{root}/txn_initial")
+        tables.write_text_lines(lines(s.updated_feed), f"{root}/txn_updated")
+        tables.write_text_lines(lines(s.ledger), f"{root}/ledger")
+        curated, quarantine_path = f"{root}/curated", f"{root}/quarantine"
+        for name, ts in (("initial", s.run_ts_initial), ("updated", s.run_ts_updated)):
+            run_batch(spark, f"{root}/txn_{name}", f"{root}/ledger", curated, quarantine_path, ts, name, rewrite=rewrite)
+        return tables.read_curated(spark, curated)
+
+    return run
 
-    tables.write_text_lines(lines(s.feed), f"{root}/txn_initial")
-    tables.write_text_lines(lines(s.updated_feed), f"{root}/txn_updated")
-    tables.write_text_lines(lines(s.ledger), f"{root}/ledger")
-    curated, quarantine_path = f"{root}/curated", f"{root}/quarantine"
-    run_batch(spark, f"{root}/txn_initial", f"{root}/ledger", curated, quarantine_path, s.run_ts_initial, "initial")
-    run_batch(spark, f"{root}/txn_updated", f"{root}/ledger", curated, quarantine_path, s.run_ts_updated, "updated")
-    return tables.read_curated(spark, curated)
+
+def _third_run(s: Scenario) -> DataFrame:
+    """A merge onto a stored table that already has closed versions."""
+    return scd2.scd2_merge(_stored_curated(s), s.third_reconciled, s.run_ts_third, incoming_unique=True)
 
 
 def _stage_counts(s: Scenario) -> DataFrame:
-    dq_counts = summary.stage_counts(None, None, None, None, s.clean, s.dq_quarantine)
     return (
         summary.parsed_counts(s.event_lines_parsed, "ingest_transactions")
         .unionByName(summary.parsed_counts(s.ledger_lines_parsed, "ingest_ledger"))
-        .unionByName(dq_counts)
+        .unionByName(summary.dq_stage_counts(s.dq_counts))
     )
 
 
+def _dq_flag_counts(s: Scenario) -> DataFrame:
+    """Quarantined rows per flag, most frequent first, by counting."""
+    rejected = s.dq_counts.filter(F.col("dq_flag") != F.lit(C.FLAG_OK))
+    return rejected.orderBy(F.desc("n"), F.asc("dq_flag"))
+
+
 def _distinct_values(s: Scenario) -> DataFrame:
-    curated = reports.distinct_values(s.curated_merged, oracle.DISTINCT_FIELDS)
-    flags = reports.distinct_values(s.quarantine_all, ["dq_flag"])
-    return curated.unionByName(flags)
+    """The pick-lists: ids, statuses and dates of the curated table, and the
+    flags of the DQ stage."""
+    flags = s.dq_counts.filter(F.col("dq_flag") != F.lit(C.FLAG_OK))
+    flags = flags.select(F.lit("dq_flag").alias("field"), F.col("dq_flag").alias("value"))
+    return reports.distinct_values(s.curated_merged, oracle.DISTINCT_FIELDS).unionByName(flags)
 
 
 _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
@@ -129,18 +136,25 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "dedup_latest": lambda s: s.dedup.all_rows().select(*TXN_FLAGGED),
     "dq_clean": lambda s: s.clean.select(*TXN_FLAGGED),
     "dq_quarantine": lambda s: s.dq_quarantine.select(*TXN_FLAGGED),
-    "dq_flag_counts": lambda s: reports.flag_counts(s.dq_quarantine),
+    "dq_flag_counts": _dq_flag_counts,
     # quarantine
     "quarantine_union": lambda s: _quarantine_view(s.quarantine_all),
     "quarantine_browse": lambda s: _quarantine_view(
         Q.browse_quarantine(s.quarantine_all, oracle.QUARANTINE_BROWSE_FLAGS)
     ),
-    "quarantine_roundtrip": _quarantine_roundtrip,
+    "quarantine_roundtrip": lambda s: _quarantine_view(_stored_quarantine(s)),
+    "quarantine_browse_stored": lambda s: _quarantine_view(
+        Q.browse_quarantine(_stored_quarantine(s), oracle.QUARANTINE_BROWSE_FLAGS)
+    ),
+    "ledger_surplus": lambda s: _quarantine_view(Q.build_quarantine(None, None, None, s.repeated_ledger_split.surplus)),
+    "ledger_surplus_counts": lambda s: reconcile.surplus_counts(s.repeated_ledger),
     "stage_counts": _stage_counts,
     # reconciliation and summary
     "recon_rows": lambda s: s.reconciled,
     "recon_status_counts": lambda s: reports.status_counts(s.reconciled),
-    "recon_breaks": lambda s: reports.recon_breaks(s.reconciled),
+    "recon_repeated_ledger": lambda s: s.reconciled_repeated,
+    "recon_breaks": lambda s: reports.recon_breaks(tables.staged(s.reconciled, "reconciled")),
+    "recon_breaks_chosen": lambda s: reports.recon_breaks(s.reconciled, oracle.CHOSEN_STATUSES),
     "recon_split": lambda s: summary.recon_split(s.reconciled),
     "run_summary": lambda s: s.summary,
     "run_headline": lambda s: summary.run_headline(s.summary),
@@ -155,19 +169,25 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "scd2_closed": lambda s: scd2.closed_versions(s.classified, s.run_ts_updated),
     "scd2_kept_current": lambda s: scd2.kept_current(s.classified),
     "scd2_opened": lambda s: scd2.opened_versions(s.classified, s.run_ts_updated),
+    "scd2_third_run": _third_run,
     "scd2_counts": lambda s: scd2.scd2_counts(s.classified),
     # reports over the merged history
     "scd2_history": lambda s: reports.scd2_history(s.curated_merged),
+    "scd2_history_single": lambda s: reports.scd2_history(_stored_curated(s), oracle.HISTORY_ID),
     "scd2_version_counts": lambda s: reports.version_counts(s.curated_merged),
     "scd2_changed_fields": lambda s: reports.changed_fields(s.curated_merged),
     "curated_status_counts": lambda s: reports.status_counts(s.curated_merged),
     "curated_browse": lambda s: reports.curated_browse(
         s.curated_merged, oracle.BROWSE_DATES, oracle.BROWSE_STATUSES, current_only=True
     ),
+    "curated_browse_stored": lambda s: reports.curated_browse(
+        _stored_curated(s), oracle.BROWSE_DATES, oracle.BROWSE_STATUSES, current_only=True
+    ),
     "distinct_values": _distinct_values,
-    "curated_roundtrip": _curated_roundtrip,
+    "curated_roundtrip": _stored_curated,
     # end to end: NDJSON files -> run_batch (initial, updated) -> curated table
-    "batch_curated": _batch_curated,
+    "batch_curated": _batch_curated("affected"),
+    "batch_curated_full": _batch_curated("full"),
 }
 
 

@@ -21,6 +21,7 @@ class Scenario:
     run_date = feeds.RUN_DATE
     run_ts_initial = feeds.RUN_TS_INITIAL
     run_ts_updated = feeds.RUN_TS_UPDATED
+    run_ts_third = feeds.RUN_TS_THIRD
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -86,35 +87,60 @@ class Scenario:
     def updated_dedup(self) -> dq.DedupResult:
         return dq.dedup_latest(dq.apply_dq_rules(self.updated_feed, self.run_date))
 
+    @cached_property
+    def dq_counts(self) -> DataFrame:
+        return dq.dq_counts(self.flagged)
+
     # --- reconciliation -----------------------------------------------------
     @cached_property
     def reconciled(self) -> DataFrame:
-        return reconcile.reconcile(self.clean, self.ledger)
+        return reconcile.reconcile(self.clean, self.ledger, dedup_ledger=False)
 
     @cached_property
     def updated_reconciled(self) -> DataFrame:
-        return reconcile.reconcile(self.updated_dedup.kept, self.ledger)
+        return reconcile.reconcile(self.updated_dedup.kept, self.ledger, dedup_ledger=False)
+
+    @cached_property
+    def third_reconciled(self) -> DataFrame:
+        third = dq.dedup_latest(dq.apply_dq_rules(feeds.third_transaction_feed(self.orders), self.run_date))
+        return reconcile.reconcile(third.kept, self.ledger, dedup_ledger=False)
+
+    @cached_property
+    def repeated_ledger(self) -> DataFrame:
+        return feeds.repeated_ledger_feed(self.orders)
+
+    @cached_property
+    def repeated_ledger_split(self) -> reconcile.LedgerSplit:
+        return reconcile.unique_ledger(self.repeated_ledger)
+
+    @cached_property
+    def reconciled_repeated(self) -> DataFrame:
+        """The clean rows against a ledger with repeated and missing ids."""
+        return reconcile.reconcile(self.clean, self.repeated_ledger)
 
     # --- quarantine ------------------------------------------------------------
     @cached_property
     def quarantine_all(self) -> DataFrame:
-        """Corrupt event lines + corrupt ledger lines + DQ rejects of the feed."""
-        return quarantine.build_quarantine(self.event_split[1], self.ledger_lines_split[1], self.dq_quarantine)
+        """Corrupt event lines + corrupt ledger lines + DQ rejects of the feed
+        + surplus rows of the repeated ledger."""
+        return quarantine.build_quarantine(
+            self.event_split[1], self.ledger_lines_split[1], self.dq_quarantine, self.repeated_ledger_split.surplus
+        )
 
     # --- summary -----------------------------------------------------------------
     @cached_property
     def summary(self) -> DataFrame:
-        dq_only = quarantine.build_quarantine(None, None, self.dq_quarantine)
-        return summary.run_summary(self.feed, dq_only, self.reconciled)
+        """Of a run that has corrupt transaction and ledger lines."""
+        return summary.run_summary(self.dq_counts, self.reconciled, self.event_lines_parsed, self.ledger_lines_parsed)
 
     # --- SCD2 ---------------------------------------------------------------------
     @cached_property
     def curated_initial(self) -> DataFrame:
-        return scd2.scd2_initial(self.reconciled, self.run_ts_initial)
+        return scd2.scd2_initial(self.reconciled, self.run_ts_initial, incoming_unique=True)
 
     @cached_property
     def classified(self) -> DataFrame:
-        return scd2.classify(self.curated_initial, self.updated_reconciled)
+        return scd2.classify(self.curated_initial, self.updated_reconciled, incoming_unique=True)
 
     @cached_property
     def curated_merged(self) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 # Run date of every query over the test tables, and the two
-# SCD2 run times (first load, then the updated feed).
+# SCD2 run times (first load, the updated feed, a third feed).
 RUN_DATE = "2001-07-01"
 RUN_TS_INITIAL = "2001-07-01 09:00:00"
 RUN_TS_UPDATED = "2001-07-01 15:00:00"
+RUN_TS_THIRD = "2001-07-02 09:00:00"
 
 # Schema the event NDJSON lines are parsed with.
 EVENT_LINE_SCHEMA = StructType([StructField("transaction_id", StringType()), StructField("amount", DoubleType())])
@@ -104,6 +105,44 @@ def updated_transaction_feed(orders: DataFrame) -> DataFrame:
     )
 
 
+def third_transaction_feed(orders: DataFrame) -> DataFrame:
+    """A third feed: other rows absent (those absent from the second feed are
+    back), amounts of the second feed changed again, further ones anew."""
+    f = _feed_with_key(orders).filter(F.col("_k") % 31 != 4)
+    return f.select(
+        "transaction_id",
+        "account_id",
+        F.when(F.col("_k") % 38 == 8, F.col("amount") + F.lit(75.0))
+        .when(F.col("_k") % 19 == 8, F.col("amount") + F.lit(50.0))
+        .when(F.col("_k") % 47 == 3, F.col("amount") + F.lit(5.0))
+        .otherwise(F.col("amount"))
+        .alias("amount"),
+        "currency",
+        "transaction_date",
+        "status",
+        "updated_at",
+    )
+
+
+def repeated_ledger_feed(orders: DataFrame) -> DataFrame:
+    """The ledger with defects of its own: some ids occur a second time, a
+    month on and with another amount, some as an exact copy, and some rows have
+    no id."""
+    k = F.substring("transaction_id", 4, 9).cast("bigint")
+    led = ledger_feed(orders).withColumn("_k", k)
+    later = F.col("_k") % 21 == 2
+    kinds = F.when(later, F.array(F.lit(0), F.lit(1))).when(F.col("_k") % 33 == 7, F.array(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
+    rows = led.withColumn("_kind", F.explode(kinds))
+    moved = F.date_format(F.add_months(F.col("cleared_date").cast("date"), 1), "yyyy-MM-dd")
+    return rows.select(
+        F.when(F.col("_k") % 45 == 11, F.lit(None).cast("string")).otherwise(F.col("transaction_id")).alias("transaction_id"),
+        "cleared_flag",
+        F.when(F.col("_kind") == 1, moved).otherwise(F.col("cleared_date")).alias("cleared_date"),
+        F.when(F.col("_kind") == 1, F.col("ledger_amount") + F.lit(1.0)).otherwise(F.col("ledger_amount")).alias("ledger_amount"),
+        "ledger_status",
+    )
+
+
 def ledger_feed(orders: DataFrame) -> DataFrame:
     """Ledger rows: most orders, some amounts off by 10, some statuses off."""
     o = orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate").filter(~_mod(11, 9))

@@ -19,6 +19,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerwise import constants as C
 
 
+# A line of characters up to U+0020 only is blank to the JSON source.
+NOT_BLANK = r"[^\x00-\x20]"
+
+
 def with_corrupt_column(schema: StructType, corrupt_col: str = C.CORRUPT_COL) -> StructType:
     """Append the corrupt-record column to a schema."""
     return StructType(list(schema.fields) + [StructField(corrupt_col, StringType(), True)])
@@ -42,7 +46,7 @@ def parse_json_lines(
     # The parse runs inside a one-element explode: Catalyst does not push a
     # filter on a generator's output below it, so a later "corrupt or not"
     # filter cannot make every line be parsed twice.
-    parsed = lines.filter(F.trim(F.col(line_col)) != "").select(
+    parsed = lines.filter(F.col(line_col).rlike(NOT_BLANK)).select(
         F.explode(F.array(F.from_json(F.col(line_col), full, options))).alias("_j"),
         F.col(line_col).alias("_line"),
         *other,

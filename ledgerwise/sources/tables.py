@@ -1,16 +1,33 @@
 """Reading and writing the curated and quarantine Parquet tables.
 
-File-system calls go through Hadoop's ``FileSystem`` so paths on any
-cluster store work (not only local disk). Scratch space is taken from the
-shared folder the session names in ``spark.checkpoint.dir``; only when that
-is unset (local tests) is a private temp folder set as the checkpoint dir.
+A table is a folder of immutable snapshots and small published manifests:
+
+    <table>/_data/snap=<id>/<partition>=<value>/part-*.parquet
+    <table>/_published/<version>
+
+A write puts its files into a new ``snap=`` folder and then publishes one
+manifest, which names the folder of every partition. A manifest is one small
+file whose last line marks it as complete, so a table is always exactly what
+its highest complete manifest says: a write that dies at any step changes
+nothing, and the next write starts from the published state. Partitions that a
+write does not touch stay where they are. Files no longer named are deleted
+only after the next manifest is published, and the previous one is kept, so a
+reader of it is not cut off.
+
+A folder without manifests that holds Parquet files or partitions is read as a
+plain Parquet table (and becomes a snapshot table on the next write). Any other
+non-empty folder is an error: it never counts as "no table yet".
+
+File-system calls go through Hadoop's ``FileSystem``, so paths on any cluster
+store work. Scratch space is taken from the shared folder the session names in
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from typing import Optional
+from typing import Dict, Iterable, List, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +35,11 @@ from pyspark.sql import functions as F
 from ledgerwise import constants as C
 from ledgerwise.functions import ts_literal
 
+DATA, PUBLISHED, COMPLETE = "_data", "_published", "complete"
+
+
+# --- file system -------------------------------------------------------------
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -30,16 +52,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def has_table(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed Parquet table (``_SUCCESS``)."""
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+def _names(spark: SparkSession, path: str) -> List[str]:
+    """Names of a folder's entries; none if it is absent."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [entry.getName() for entry in spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))]
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    if not fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)):
-        raise IOError(f"rename {src} -> {dst} failed")
+def _read_small(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    size = int(fs.getFileStatus(p).getLen())
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def _write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Create a new file; an existing one is an error (two writers)."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -48,11 +86,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared scratch folder: ``spark.checkpoint.dir`` from the session."""
+    """The shared scratch folder of ``spark.checkpoint.dir``. A session that
+    names none is an error, except one on this machine only (tests), which
+    gets a private folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ledgerwise-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="ledgerwise-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -62,73 +103,161 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/ledgerwise/{name}-{uuid.uuid4().hex}"
 
 
-def read_curated(spark: SparkSession, path: str) -> Optional[DataFrame]:
-    """The curated table in its column order, or None before the first load.
-    The schema is given, so no file footer is read to infer it."""
-    if not has_table(spark, path):
-        return None
-    from ledgerwise.operators.scd2 import CURATED_SCHEMA
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --- manifests ---------------------------------------------------------------
+
+
+class Manifest:
+    """A published state: ``version`` and the snapshot of each partition folder."""
+
+    def __init__(self, version: int, folders: Dict[str, str]):
+        self.version, self.folders = version, folders
+
+    def text(self) -> str:
+        return "".join(f"{folder}\t{snap}\n" for folder, snap in sorted(self.folders.items())) + f"{COMPLETE}\n"
+
+    @staticmethod
+    def parse(version: int, text: str) -> Optional["Manifest"]:
+        lines = text.split("\n")
+        if lines[-2:] != [COMPLETE, ""]:
+            return None
+        return Manifest(version, dict(line.split("\t") for line in lines[:-2]))
+
+
+def _manifests(spark: SparkSession, path: str) -> List[Manifest]:
+    """Complete manifests, the newest first; an incomplete one was never
+    published."""
+    versions = sorted((int(n) for n in _names(spark, f"{path}/{PUBLISHED}") if n.isdigit()), reverse=True)
+    found = (Manifest.parse(v, _read_small(spark, f"{path}/{PUBLISHED}/{v:010d}")) for v in versions)
+    return [m for m in found if m is not None]
 
-    return spark.read.schema(CURATED_SCHEMA).parquet(path).select(*C.CURATED_COLUMNS)
 
+def _plain_table(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is a plain Parquet table; raises when it is neither
+    that nor free for a new table."""
+    visible = [n for n in _names(spark, path) if not n.startswith(("_", "."))]
+    if not visible:
+        return False
+    if all("=" in n or n.endswith(".parquet") for n in visible):
+        return True
+    raise ValueError(f"{path} is neither empty nor a table: {', '.join(visible[:5])}")
 
-def write_swap(
-    df: DataFrame, path: str, partition_by: str, observation=None, metrics=None, drop=()
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a table; raises on a doubtful state."""
+    path = path.rstrip("/")
+    if _manifests(spark, path):
+        return True
+    return _plain_table(spark, path)
+
+
+def is_snapshot_table(spark: SparkSession, path: str) -> bool:
+    return bool(_manifests(spark, path.rstrip("/")))
+
+
+def _read(spark: SparkSession, path: str, schema, folders: Optional[Iterable[str]] = None) -> Optional[DataFrame]:
+    """The table, or only its named partition folders; None without a table."""
+    path = path.rstrip("/")
+    if not has_table(spark, path):
+        return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    published = _manifests(spark, path)
+    if not published:
+        wanted = [f"{path}/{f}" for f in folders] if folders is not None else [path]
+        return reader.option("basePath", path).parquet(*[w for w in wanted if path_exists(spark, w)])
+    own = published[0].folders
+    wanted = [f for f in folders if f in own] if folders is not None else list(own)
+    if not wanted:
+        return None
+    missing = {s for s in own.values()} - set(_names(spark, f"{path}/{DATA}"))
+    if missing:
+        raise ValueError(f"{path}: the published version names missing data: {', '.join(sorted(missing)[:5])}")
+    snaps = set(own.values())
+    if folders is None and len(snaps) == 1:  # nothing in it is superseded: a later snapshot would be named too
+        roots = [f"{path}/{DATA}/{s}" for s in snaps]
+    else:
+        roots = [f"{path}/{DATA}/{own[f]}/{f}" for f in wanted]
+    return reader.option("basePath", f"{path}/{DATA}").parquet(*roots).drop("snap")
+
+
+def _publish(spark: SparkSession, path: str, snap: str, replace_all: bool) -> None:
+    """Name the snapshot's partitions in a new manifest, then delete what
+    neither it nor the one before names."""
+    before = _manifests(spark, path)
+    version = max([int(n) for n in _names(spark, f"{path}/{PUBLISHED}") if n.isdigit()], default=0) + 1
+    folders = {n: snap for n in _names(spark, f"{path}/{DATA}/{snap}") if "=" in n}
+    if not replace_all and before:
+        folders = {**before[0].folders, **folders}
+    now = Manifest(version, folders)
+    _write_small(spark, f"{path}/{PUBLISHED}/{version:010d}", now.text())
+    _clean(spark, path, now, before[:1])
+
+
+def _clean(spark: SparkSession, path: str, now: Manifest, before: List[Manifest]) -> None:
+    keep = {s for m in [now, *before] for s in m.folders.values()}
+    for name in _names(spark, f"{path}/{DATA}"):
+        if name not in keep:
+            _delete(spark, f"{path}/{DATA}/{name}")
+    for name in _names(spark, f"{path}/{PUBLISHED}"):
+        if name.isdigit() and int(name) < min(m.version for m in [now, *before]):
+            _delete(spark, f"{path}/{PUBLISHED}/{name}")
+    for name in _names(spark, path):  # a plain table that the manifest has replaced
+        if not name.startswith(("_", ".")):
+            _delete(spark, f"{path}/{name}")
+
+
+def write_snapshot(
+    df: DataFrame, path: str, partition_by: str, observation=None, metrics=None, replace_all: bool = True
 ) -> None:
-    """Write ``df`` as the new content of ``path`` without ever deleting files
-    the write is still reading: the table goes to a sibling staging folder,
-    and only after the job commits is it swapped in by two renames.
-
-    Rows are rebalanced on the partition column first: AQE splits a hot
-    partition value over several tasks and merges small ones, so file sizes
-    stay even without a fixed partition count.
-
-    ``observation`` (a ``pyspark.sql.Observation``) is filled with ``metrics``
-    (default: row count) by the write itself. It sits after the rebalance
-    exchange, in the final stage, so a re-run of an earlier stage can never
-    count rows twice. Columns in ``drop`` are removed after the observation
-    (helper tags used only for counting).
+    """Write ``df`` into a new snapshot and publish it: as the whole table, or
+    (``replace_all=False``) as the new content of the partitions it has.
+
+    ``df`` may read the same table. Rows are rebalanced on the partition column
+    first: AQE splits a hot partition value over several tasks and merges small
+    ones. ``observation`` (a ``pyspark.sql.Observation``) is filled with
+    ``metrics`` (default: row count) after that exchange, in the final stage,
+    so a re-run of an earlier stage can never count rows twice.
     """
-    spark = df.sparkSession
-    token = uuid.uuid4().hex
-    staging = f"{path.rstrip('/')}.__staging-{token}"
-    old = f"{path.rstrip('/')}.__old-{token}"
+    spark, path = df.sparkSession, path.rstrip("/")
+    plain = not _manifests(spark, path) and has_table(spark, path)
+    if plain and not replace_all:
+        raise ValueError("a plain Parquet table has to be replaced as a whole first")
+    snap = f"snap={uuid.uuid4().hex}"
     out = df.hint("rebalance", partition_by)
     if observation is not None:
         out = out.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")]))
-    if drop:
-        out = out.drop(*drop)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(partition_by)
-        .parquet(staging)
-    )
-    if path_exists(spark, path):
-        _rename(spark, path, old)
-    _rename(spark, staging, path)
-    if path_exists(spark, old):
-        _delete(spark, old)
-
-
-def write_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite); others are left as they are. Spark stages the new files and
-    swaps partition folders at job commit, after every read of the job is
-    done, so ``df`` may read the same table."""
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    out.write.partitionBy(partition_by).parquet(f"{path}/{DATA}/{snap}")
+    _publish(spark, path, snap, replace_all)
 
 
-def write_curated(df: DataFrame, path: str, observation=None, metrics=None, tag_col=None) -> None:
+# --- curated and quarantine --------------------------------------------------
+
+
+def read_curated(spark: SparkSession, path: str, dates: Optional[DataFrame] = None) -> Optional[DataFrame]:
+    """The curated table in its column order, or None before the first load.
+    The schema is given, so no file footer is read to infer it. ``dates``
+    (``transaction_date``, distinct: bounded by the calendar) picks partition
+    folders; no other is listed or read."""
+    from ledgerwise.operators.scd2 import CURATED_SCHEMA
+
+    folders = None
+    if dates is not None:
+        folders = [f"transaction_date={r[0] or '__HIVE_DEFAULT_PARTITION__'}" for r in dates.select(F.col("transaction_date").cast("string")).collect()]
+    df = _read(spark, path, CURATED_SCHEMA, folders)
+    if df is None and dates is not None:
+        return spark.createDataFrame([], CURATED_SCHEMA).select(*C.CURATED_COLUMNS)
+    return None if df is None else df.select(*C.CURATED_COLUMNS)
+
+
+def write_curated(df: DataFrame, path: str, observation=None, metrics=None) -> None:
     """Replace the curated table, partitioned by business date."""
-    cols = C.CURATED_COLUMNS + ([tag_col] if tag_col else [])
-    write_swap(df.select(*cols), path, "transaction_date", observation, metrics, [tag_col] if tag_col else ())
+    write_snapshot(df.select(*C.CURATED_COLUMNS), path, "transaction_date", observation, metrics)
 
 
 def with_run_columns(quarantine: DataFrame, run_scenario: str, run_ts) -> DataFrame:
@@ -142,13 +271,15 @@ def write_quarantine(
 ) -> None:
     """Replace the quarantine table, partitioned by flag. The whole table is
     replaced, so flags of an earlier run that are absent now do not linger."""
-    write_swap(with_run_columns(quarantine, run_scenario, run_ts), path, "dq_flag", observation, metrics)
+    write_snapshot(with_run_columns(quarantine, run_scenario, run_ts), path, "dq_flag", observation, metrics)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> Optional[DataFrame]:
-    if not has_table(spark, path):
-        return None
-    return spark.read.parquet(path)
+    df = _read(spark, path, QUARANTINE_SCHEMA)
+    return None if df is None else df.select(*C.QUARANTINE_COLUMNS, "run_scenario", "quarantined_at")
+
+
+QUARANTINE_SCHEMA = "transaction_id string, raw_payload string, source_file string, stage string, run_scenario string, quarantined_at timestamp_ntz, dq_flag string"
 
 
 def write_text_lines(lines: DataFrame, path: str, line_col: str = "value") -> None:

@@ -1,175 +1,115 @@
-from datetime import date
+"""Data-quality rules and keep-latest, as tables of cases."""
 
-from pyspark.sql import Row
+import itertools
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
 from ledgerwise.operators import dq
 from ledgerwise.operators.latest import expand_copies, keep_latest
-
-RUN_DATE = date(2026, 7, 1)
-
-
-def row(
-    transaction_id="T1",
-    account_id="ACC1",
-    amount=100.0,
-    currency="USD",
-    transaction_date="2026-06-01",
-    status="SETTLED",
-    updated_at="2026-06-01T10:00:00",
-):
-    return Row(
-        transaction_id=transaction_id,
-        account_id=account_id,
-        amount=amount,
-        currency=currency,
-        transaction_date=transaction_date,
-        status=status,
-        updated_at=updated_at,
-    )
-
-
-def flags(spark, rows):
-    df = spark.createDataFrame(rows, schema=C.TRANSACTION_SCHEMA)
-    return [r["dq_flag"] for r in dq.apply_dq_rules(df, RUN_DATE).collect()]
-
-
-def test_null_id(spark):
-    assert flags(spark, [row(transaction_id=None)]) == [C.FLAG_NULL_ID]
-
-
-def test_negative_amount(spark):
-    assert flags(spark, [row(amount=-50.0)]) == [C.FLAG_NEGATIVE_AMOUNT]
-
-
-def test_zero_and_null_amount_are_negative(spark):
-    assert flags(spark, [row(amount=0.0), row(amount=None)]) == [C.FLAG_NEGATIVE_AMOUNT] * 2
-
-
-def test_future_date(spark):
-    assert flags(spark, [row(transaction_date="2026-12-31")]) == [C.FLAG_INVALID_DATE]
-
-
-def test_same_day_is_ok(spark):
-    assert flags(spark, [row(transaction_date="2026-07-01")]) == [C.FLAG_OK]
-
-
-def test_unparseable_dates(spark):
-    bad = ["not-a-date", "2026-6-1", "2026-02-30", " 2026-06-01", "20260601", "", "2026-06-01T10:00:00"]
-    assert flags(spark, [row(transaction_date=d) for d in bad]) == [C.FLAG_INVALID_DATE] * len(bad)
-
-
-def test_bad_or_missing_updated_at(spark):
-    bad = [None, "2026-06-01 10:00:00", "2026-06-01T24:00:00", "2026-02-30T01:00:00", "2026-06-01T10:00:00Z"]
-    assert flags(spark, [row(updated_at=t) for t in bad]) == [C.FLAG_INVALID_DATE] * len(bad)
+from tests.conftest import SF_SMALL
+
+RUN_DAY = "2020-02-15"
+# field values of an acceptable transaction
+FINE = ("id-1", "acct", 12.5, "CHF", "2020-01-31", "OPEN", "2020-02-01T08:30:00")
+ID, AMOUNT, DAY, STAMP = 0, 2, 4, 6
+
+# (changes to FINE, expected flag)
+RULES = [
+    ({}, C.FLAG_OK),
+    ({ID: None}, C.FLAG_NULL_ID),
+    ({ID: ""}, C.FLAG_OK),
+    ({AMOUNT: 0.0}, C.FLAG_NEGATIVE_AMOUNT),
+    ({AMOUNT: -0.01}, C.FLAG_NEGATIVE_AMOUNT),
+    ({AMOUNT: None}, C.FLAG_NEGATIVE_AMOUNT),
+    ({AMOUNT: float("nan")}, C.FLAG_OK),
+    ({DAY: RUN_DAY}, C.FLAG_OK),
+    ({DAY: "2020-02-16"}, C.FLAG_INVALID_DATE),
+    ({DAY: None}, C.FLAG_INVALID_DATE),
+    ({STAMP: None}, C.FLAG_INVALID_DATE),
+    ({ID: None, AMOUNT: -4.0, DAY: "?"}, C.FLAG_NULL_ID),
+    ({AMOUNT: -4.0, DAY: "?"}, C.FLAG_NEGATIVE_AMOUNT),
+]
+RULES += [({DAY: d}, C.FLAG_INVALID_DATE) for d in ("", "31.01.2020", "2020-1-31", "2019-02-29", "20200131", " 2020-01-31", "2020-01-31T00:00:00")]
+RULES += [({STAMP: t}, C.FLAG_INVALID_DATE) for t in ("", "2020-02-01 08:30:00", "2020-02-01T24:00:00", "2019-02-29T08:30:00", "2020-02-01T08:30:00+01:00")]
+
+
+def feed(spark, changes):
+    rows = [tuple(change.get(i, v) for i, v in enumerate(FINE)) for change in changes]
+    return spark.createDataFrame(rows, C.TRANSACTION_SCHEMA)
+
+
+def test_one_flag_per_row(spark):
+    df = feed(spark, [{**c, 1: f"case {i}"} for i, (c, _) in enumerate(RULES)])
+    got = {r["account_id"]: r["dq_flag"] for r in dq.apply_dq_rules(df, RUN_DAY).collect()}
+    assert got == {f"case {i}": flag for i, (_, flag) in enumerate(RULES)}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = dq.apply_dq_rules(feed(spark, [{STAMP: "2020-03-08T02:30:00", DAY: "2020-01-01"}]), RUN_DAY)
+        row = df.select(F.col("updated_at").cast("string").alias("t"), F.col("transaction_date").cast("string").alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row["t"], row["d"]) == ("2020-03-08 02:30:00", "2020-01-01")
 
 
-def test_priority(spark):
-    got = flags(
-        spark,
-        [
-            row(transaction_id=None, amount=-1.0, transaction_date="x"),
-            row(amount=-1.0, transaction_date="x"),
-        ],
-    )
-    assert got == [C.FLAG_NULL_ID, C.FLAG_NEGATIVE_AMOUNT]
+def expected_split(rows):
+    """Winner per id by (updated_at, then the other fields, nulls last), the
+    rest losers: by sorting in Python."""
 
+    def rank(r):
+        rest = [r[i] for i in (STAMP, 1, AMOUNT, 3, DAY, 5)]
+        return [(v is not None, v) if v is not None else (False, 0) for v in rest]
 
-def test_empty_id_and_nan_pass(spark):
-    assert flags(spark, [row(transaction_id=""), row(amount=float("nan"))]) == [C.FLAG_OK, C.FLAG_OK]
+    best, lost = [], []
+    for _, group in itertools.groupby(sorted(rows, key=lambda r: r[ID]), key=lambda r: r[ID]):
+        *losers, winner = sorted(group, key=rank)
+        best.append(winner)
+        lost += losers
+    return sorted(map(repr, best)), sorted(map(repr, lost))
 
 
-def test_parsing_is_zone_free(spark):
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+@pytest.mark.parametrize("parts,shuffle", [(1, "2"), (6, "5")])
+def test_keep_latest_equals_sorting(spark, parts, shuffle):
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(400):
+        key = rnd.choice(["hot"] * 6 + [f"k{rnd.randrange(60)}"])
+        rows.append((key, rnd.choice("ab"), rnd.choice([1.0, 2.0]), "EUR", "2020-01-01", rnd.choice(["X", None]), f"2020-01-0{rnd.randrange(1, 4)}T00:00:00"))
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle)
     try:
-        df = spark.createDataFrame([row(updated_at="2026-03-08T02:30:00")], schema=C.TRANSACTION_SCHEMA)
-        got = dq.apply_dq_rules(df, RUN_DATE).select(F.col("updated_at").cast("string")).first()[0]
+        result = dq.dedup_latest(dq.apply_dq_rules(spark.createDataFrame(rows, C.TRANSACTION_SCHEMA).repartition(parts), RUN_DAY, keep_raw=False))
+        text = [*C.TRANSACTION_COLUMNS[:4], F.date_format("transaction_date", "yyyy-MM-dd"), "status", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss")]
+        got = [sorted(repr(tuple(r)) for r in df.select(*text).collect()) for df in (result.kept, result.duplicates)]
     finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == "2026-03-08 02:30:00"
-
-
-def test_dedup_keeps_latest(spark):
-    df = spark.createDataFrame(
-        [
-            row(transaction_id="T4", amount=100.0, updated_at="2026-06-01T10:00:00"),
-            row(transaction_id="T4", amount=200.0, updated_at="2026-06-02T10:00:00"),
-        ],
-        schema=C.TRANSACTION_SCHEMA,
-    )
-    out = {r["amount"]: r["dq_flag"] for r in dq.apply_dedup(dq.apply_dq_rules(df, RUN_DATE)).collect()}
-    assert out == {200.0: C.FLAG_OK, 100.0: C.FLAG_DUPLICATE}
-
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert tuple(got) == expected_split(rows)
 
-def test_dedup_tie_is_deterministic(spark):
-    rows = [row(transaction_id="T7", amount=a, updated_at="2026-06-01T10:00:00") for a in (5.0, 9.0, 7.0)]
-    for parts in (1, 3):
-        df = spark.createDataFrame(rows, schema=C.TRANSACTION_SCHEMA).repartition(parts)
-        kept = dq.dedup_latest(dq.apply_dq_rules(df, RUN_DATE)).kept.collect()
-        assert [r["amount"] for r in kept] == [9.0]
 
-
-def test_exact_copies_keep_one(spark):
-    df = spark.createDataFrame([row(transaction_id="T9")] * 3 + [row(transaction_id="T8")], C.TRANSACTION_SCHEMA)
-    out = dq.apply_dedup(dq.apply_dq_rules(df, RUN_DATE))
-    got = sorted((r["transaction_id"], r["dq_flag"]) for r in out.collect())
-    assert got == [("T8", "OK"), ("T9", "DUPLICATE"), ("T9", "DUPLICATE"), ("T9", "OK")]
+def test_copies_and_null_keys(spark):
+    df = spark.createDataFrame([("a", 1)] * 4 + [("a", 0), ("b", 7), (None, 1), (None, 1)], "k string, v int")
+    split = keep_latest(df, "k", ["v"])
+    assert sorted(map(tuple, split.winners.collect())) == [("a", 1), ("b", 7)]
+    assert sorted(map(str, map(tuple, split.losers.collect()))) == sorted(map(str, [("a", 1)] * 3 + [("a", 0), (None, 1), (None, 1)]))
+    empty = keep_latest(df.filter("v > 100"), "k", ["v"])
+    assert empty.winners.count() == empty.losers.count() == 0
 
 
-def test_rejected_rows_untouched(spark):
-    df = spark.createDataFrame(
-        [row(transaction_id=None), row(transaction_id=None), row(amount=-1.0)], C.TRANSACTION_SCHEMA
-    )
-    out = dq.apply_dedup(dq.apply_dq_rules(df, RUN_DATE))
-    assert sorted(r["dq_flag"] for r in out.collect()) == [C.FLAG_NEGATIVE_AMOUNT, C.FLAG_NULL_ID, C.FLAG_NULL_ID]
+def test_expand_copies_in_chunks(spark):
+    counts = spark.createDataFrame([("p", 11), ("q", 1), ("r", 0)], "x string, n long")
+    got = sorted(r["x"] for r in expand_copies(counts, "n", chunk=4).collect())
+    assert got == ["p"] * 11 + ["q"]
 
 
-def test_flags_partition_the_input(spark):
+def test_counts_need_no_rows(spark):
     from ledgerwise.plans.scenario import Scenario
-    from tests.conftest import SF_SMALL
 
     s = Scenario(spark, SF_SMALL)
-    assert s.dedup.all_rows().count() == s.feed.count()
-    ids = s.clean.groupBy("transaction_id").count().filter("count > 1").count()
-    assert ids == 0
-
-
-def test_hot_key_and_copy_expansion(spark):
-    # One key holds most rows, with many exact copies; expansion in chunks.
-    base = spark.range(0, 5000).select(
-        F.lit("HOT").alias("k"), (F.col("id") % 7).alias("v"), F.lit(1).alias("w")
-    )
-    other = spark.range(0, 50).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"), F.lit(1).alias("w"))
-    df = base.unionByName(other)
-    split = keep_latest(df, "k", ["v"])
-    assert split.winners.count() == 51
-    assert split.winners.filter("k = 'HOT'").first()["v"] == 6
-    assert split.losers.count() == 5049 - 50
-    counts = spark.createDataFrame([("a", 10), ("b", 1), ("c", 0)], "x string, n long")
-    expanded = expand_copies(counts, "n", chunk=3)
-    assert sorted((r["x"]) for r in expanded.collect()) == ["a"] * 10 + ["b"]
-
-
-def test_results_do_not_depend_on_partitioning(spark):
-    from ledgerwise.operators import reconcile
-    from ledgerwise.sources import feeds
-    from tests.conftest import SF_SMALL
-
-    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    outs = []
-    for parts, shuffle in ((1, "3"), (7, "16")):
-        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
-        try:
-            o = orders.repartition(parts)
-            result = dq.dedup_latest(dq.apply_dq_rules(feeds.transaction_feed(o), "2001-07-01"))
-            rec = reconcile.reconcile(result.kept, feeds.ledger_feed(o))
-            outs.append(
-                (
-                    sorted(repr(tuple(r)) for r in result.all_rows().select(*C.TRANSACTION_COLUMNS, "dq_flag").collect()),
-                    sorted(repr(tuple(r)) for r in rec.collect()),
-                )
-            )
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert outs[0] == outs[1]
+    by_rows = {r["dq_flag"]: r["count"] for r in s.dedup.all_rows().groupBy("dq_flag").count().collect()}
+    assert {r["dq_flag"]: r["n"] for r in s.dq_counts.collect()} == by_rows
+    assert sum(by_rows.values()) == s.feed.count()

@@ -1,72 +1,70 @@
-import os
+"""Strict NDJSON ingest: which lines are kept, and which verdict each gets."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
 from ledgerwise.sources import ndjson
 
-GOOD = '{"transaction_id":"T1","account_id":"A","amount":1.5,"currency":"USD","transaction_date":"2026-06-01","status":"SETTLED","updated_at":"2026-06-01T10:00:00"}'
-# Malformed shapes: truncated after "amount":, non-numeric amount, plain text,
-# trailing comma, doubled opening brace.
-BAD = [
-    '{"transaction_id":"T2","amount":',
-    '{"transaction_id":"T3","amount":"N/A"}',
-    "this is not json",
-    '{"transaction_id":"T4","amount":3.0,}',
-    '{{"transaction_id":"T5","amount":3.0}',
+# (line, verdict): True parsed, False corrupt, None skipped as blank
+LINES = [
+    (json.dumps({"transaction_id": "p", "amount": 8}), True),
+    (json.dumps({"transaction_id": 12, "amount": 8.25}), True),  # a number in a text field is kept as text
+    (json.dumps({"unknown": 1}), True),
+    ("{}", True),
+    ('{"amount":1,"amount":2}', True),  # of a repeated key the last counts
+    (json.dumps({"amount": "8"}), False),
+    (json.dumps({"amount": False}), False),
+    ("null", False),
+    ("[]", False),
+    ("17", False),
+    ("{", False),
+    ('{"amount"', False),
+    ("amount=8", False),
+    ('{"amount":8} and more', True),  # what follows the first object is not looked at
+    ("\u00a0", False),  # not white space to the JSON source
+    ("", None),
+    ("   ", None),
+    ("\t", None),
+    (" \t ", None),
 ]
 
 
-def write_lines(tmp_path, name, lines):
-    d = tmp_path / name
-    d.mkdir()
-    (d / "part-0.json").write_text("\n".join(lines) + "\n")
-    return str(d)
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "day.json").write_text("\n".join(line for line, _ in LINES) + "\n", encoding="utf-8")
+    return str(tmp_path / "feed")
 
 
-def test_corrupt_lines_are_kept(spark, tmp_path):
-    path = write_lines(tmp_path, "txn", [GOOD] + BAD + ["", "   "])
-    clean, corrupt = ndjson.load_transactions(spark, path)
-    assert clean.count() == 1
+def test_every_line_gets_its_verdict(spark, folder):
+    parsed = ndjson.read_json_strict(spark, folder, C.TRANSACTION_SCHEMA)
+    assert parsed.count() == sum(v is not None for _, v in LINES)
+    clean, corrupt = ndjson.split_corrupt(parsed)
+    assert clean.count() == sum(v is True for _, v in LINES)
     rows = corrupt.collect()
-    assert sorted(r["raw_payload"] for r in rows) == sorted(BAD)
-    assert all(r["source_file"].endswith("part-0.json") for r in rows)
-    assert clean.first()["amount"] == 1.5
+    assert sorted(r["raw_payload"] for r in rows) == sorted(line for line, v in LINES if v is False)
+    assert all(r["source_file"].endswith("/day.json") for r in rows)
 
 
-def test_verdict_does_not_depend_on_pruning(spark, tmp_path):
-    path = write_lines(tmp_path, "txn", [GOOD] * 3 + BAD)
-    df = ndjson.read_json_strict(spark, path, C.TRANSACTION_SCHEMA)
-    only_corrupt = df.filter(F.col(C.CORRUPT_COL).isNotNull()).count()
-    full = [r for r in df.collect() if r[C.CORRUPT_COL] is not None]
-    assert only_corrupt == len(full) == len(BAD)
-    assert df.filter(F.col(C.CORRUPT_COL).isNull()).select("transaction_id").count() == 3
+def test_values(spark, folder):
+    clean, _ = ndjson.load_transactions(spark, folder)
+    got = {(r["transaction_id"], r["amount"]) for r in clean.collect()}
+    assert {("p", 8.0), ("12", 8.25), (None, 2.0)} <= got
 
 
-def test_lenient_and_strict_cases(spark):
-    lines = spark.createDataFrame(
-        [
-            ('{"transaction_id":"a","amount":"3.0"}',),  # numeric text: corrupt
-            ('{"transaction_id":"b","amount":true}',),  # boolean: corrupt
-            ('{"transaction_id":7,"amount":1}',),  # number in a string field: kept as text
-            ("{}",),  # empty object: clean, every field NULL
-            ("null",),  # JSON null: corrupt
-            ('[{"transaction_id":"c"}]',),  # array line: corrupt
-            ('{"transaction_id":"d","transaction_id":"e","amount":2}',),  # duplicate key: last wins
-        ],
-        "value string",
-    )
-    got = ndjson.parse_json_lines(lines, C.TRANSACTION_SCHEMA).collect()
-    corrupt = [r[C.CORRUPT_COL] is not None for r in got]
-    assert corrupt == [True, True, False, False, True, True, False]
-    assert got[2]["transaction_id"] == "7"
-    assert got[6]["transaction_id"] == "e"
+def test_verdict_does_not_depend_on_the_columns_read(spark, folder):
+    df = ndjson.read_json_strict(spark, folder, C.TRANSACTION_SCHEMA)
+    alone = df.select(F.col(C.CORRUPT_COL).isNotNull().alias("bad")).filter("bad").count()
+    ids = df.filter(F.col(C.CORRUPT_COL).isNull()).select("transaction_id").count()
+    assert (alone, ids) == (sum(v is False for _, v in LINES), sum(v is True for _, v in LINES))
 
 
-def test_ledger_load(spark, tmp_path):
-    good = '{"transaction_id":"T6","cleared_flag":"Y","cleared_date":"2026-06-01","ledger_amount":250.0,"ledger_status":"SETTLED"}'
-    path = write_lines(tmp_path, "ledger", [good, "{oops"])
-    clean, corrupt = ndjson.load_ledger(spark, path)
-    assert [r["ledger_amount"] for r in clean.collect()] == [250.0]
-    assert [r["raw_payload"] for r in corrupt.collect()] == ["{oops"]
-    assert set(clean.columns) == set(C.LEDGER_COLUMNS) | {"source_file"}
+def test_ledger_schema(spark, tmp_path):
+    row = dict(zip(C.LEDGER_COLUMNS, ["q", "N", "2020-05-05", 3.5, None]))
+    (tmp_path / "ledger.json").write_text(json.dumps(row) + "\nledger\n")
+    clean, corrupt = ndjson.load_ledger(spark, str(tmp_path))
+    assert [tuple(r)[:5] for r in clean.select(*C.LEDGER_COLUMNS).collect()] == [tuple(row.values())]
+    assert corrupt.count() == 1

@@ -40,7 +40,7 @@ def _exchanges(plan: str) -> int:
 def test_reconcile_join_reuses_key_partitioning(spark, no_broadcast):
     plan = _plan(E.queries()["recon_rows"](spark, SF_SMALL))
     assert "SortMergeJoin" in plan
-    # Only the two map-side-combined keep-latest aggregates shuffle.
+    # Only the keep-latest of the feed and the ledger side shuffle.
     assert _exchanges(plan) == 2
     join_at = plan.index("SortMergeJoin")
     assert not re.match(r"\s*[:+| -]*Exchange", plan[join_at:].splitlines()[1])
@@ -49,13 +49,17 @@ def test_reconcile_join_reuses_key_partitioning(spark, no_broadcast):
 def test_two_run_history_shuffles_little(spark, no_broadcast):
     plan = _plan(E.queries()["scd2_merge"](spark, SF_SMALL))
     assert _exchanges(plan) <= 4
-    assert "Window" not in plan
 
 
-def test_dedup_has_no_window(spark):
+def test_keep_latest_ships_one_row_per_key_and_task(spark):
+    plan = _plan(Scenario(spark, SF_SMALL).dedup.kept)
+    assert "WindowGroupLimit" in plan and "Partial" in plan  # before the shuffle
+
+
+def test_only_repeated_ids_are_ranked_as_losers(spark, no_broadcast):
     plan = _plan(Scenario(spark, SF_SMALL).dedup.all_rows())
-    assert "Window" not in plan
-    assert "partial_max" in plan  # map-side combine before the shuffle
+    assert len(re.findall("FileScan parquet", plan)) <= 4  # winners, counts, rows of repeated ids, rejected rows
+    assert plan.count("SortMergeJoin") == 1
 
 
 def test_scan_prunes_columns(spark):
@@ -94,8 +98,9 @@ def test_hot_key_join_is_split(spark, no_broadcast):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        hot = spark.range(0, 20000).select(F.lit("HOT").alias("k"), F.col("id").alias("v"))
-        cold = spark.range(0, 2000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+        wide = F.repeat(F.sha2(F.col("id").cast("string"), 256), 4)
+        hot = spark.range(0, 20000).select(F.lit("HOT").alias("k"), F.col("id").alias("v"), wide.alias("w"))
+        cold = spark.range(0, 2000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"), wide.alias("w"))
         split = keep_latest(hot.unionByName(cold), "k", ["v"])
         losers = split.losers.select("*")
         assert len(losers.collect()) == 22000 - 2001

@@ -16,7 +16,7 @@ def test_union_shape_and_payload(spark):
     )
     assert bad_date.filter(F.col("d") == "not-a-date").count() > 0
     stages = {r["stage"] for r in q.select("stage").distinct().collect()}
-    assert stages == {C.STAGE_INGEST_TRANSACTIONS, C.STAGE_INGEST_LEDGER, C.STAGE_TRANSFORM}
+    assert stages == {C.STAGE_INGEST_TRANSACTIONS, C.STAGE_INGEST_LEDGER, C.STAGE_TRANSFORM, C.STAGE_RECONCILE_LEDGER}
 
 
 def test_rewrite_drops_stale_flags(spark, tmp_path):
@@ -37,4 +37,4 @@ def test_browse_prunes_partitions(spark, tmp_path):
     view = quarantine.browse_quarantine(tables.read_quarantine(spark, path), [C.FLAG_NULL_ID])
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dq_flag" in plan and "NULL_ID" in plan
-    assert view.count() == s.dq_quarantine.filter(F.col("dq_flag") == C.FLAG_NULL_ID).count()
+    assert view.count() == s.quarantine_all.filter(F.col("dq_flag") == C.FLAG_NULL_ID).count()
