@@ -10,11 +10,14 @@ Jaccard similarity, and only points up to the time that fills all components
 are ever made.
 
 Bands of components give candidates. Within a bucket nobody is paired with
-everybody: each member meets one hashed member of the bucket (another one in
-every band), exact multiset overlap decides, and links are united. Buckets
+everybody: each member meets the bucket's smallest id, and where the two share
+two bands or more, exact multiset overlap decides; links are united. Buckets
 that still hold several components are compared in blocks by their signatures,
-between components only, and what passes is verified as well. Texts that are
-equal take part once.
+between components only: a block with few agreeing pairs names them, a block
+with many is verified as a whole, its overlaps counted together, and gives
+links that span its components. Texts that are equal take part once. Texts are
+read again only for documents that a fixed-size bitmap of the candidates lets
+through, so they are never shuffled.
 """
 
 from __future__ import annotations
@@ -37,7 +40,13 @@ BANDS = COMPONENTS // ROWS
 #: Signature agreement from which a pair is verified: five standard deviations
 #: below the similarity.
 AGREEMENT = 0.62
-BLOCK_MEMBERS = 512
+BLOCK_MEMBERS = 2048
+#: A block names its pairs up to this many per member; beyond, it is dense.
+PAIRS_PER_MEMBER = 8
+#: Bits of the candidates' bitmap: 8 MB, whatever the input. A fuller bitmap
+#: lets more documents through than needed, never fewer.
+FILTER_BITS = 1 << 26
+BITMAP_BITS = 32768
 BLOCK_BYTES = 1 << 20
 
 U = np.uint64
@@ -160,11 +169,12 @@ def _points(owner, element, weight, until, out, m) -> None:
 
 
 def band_keys(times: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """n x bands hashes of consecutive components."""
+    """n x bands hashes of consecutive components and the band's number."""
     ids = mix64(times.view(U))
     parts = ids.reshape(len(ids), -1, rows)
     salt = mix64(np.arange(1, rows + 1, dtype=U) * C3) | U(1)
-    return mix64((parts * salt).sum(axis=2, dtype=U))
+    band = mix64(np.arange(1, parts.shape[1] + 1, dtype=U) * C2)
+    return mix64((parts * salt).sum(axis=2, dtype=U) + band)
 
 
 def _groups(texts: Sequence[str]) -> Iterator[Tuple[int, int]]:
@@ -180,8 +190,8 @@ def _groups(texts: Sequence[str]) -> Iterator[Tuple[int, int]]:
 
 
 def signature_table(docs: DataFrame, m: int = COMPONENTS, rows: int = ROWS) -> DataFrame:
-    """doc_id, h1, h2 (hash of the text), bands, sig (m little-endian uint32)
-    for documents with a word and an id."""
+    """doc_id, h1, h2 (hash of the text), bands (none for a text without words)
+    and sig (m little-endian uint32) for documents with an id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -192,10 +202,10 @@ def signature_table(docs: DataFrame, m: int = COMPONENTS, rows: int = ROWS) -> D
                 some = np.isfinite(times[:, 0])
                 keys = band_keys(times, rows).view(np.int64)
                 sig = (mix64(times.view(U)) & U(0xFFFFFFFF)).astype("<u4")
-                own = batch.iloc[lo:hi][some]
+                own = batch.iloc[lo:hi]
                 yield pd.DataFrame({
                     "doc_id": own["doc_id"].to_numpy(), "h1": own["h1"].to_numpy(), "h2": own["h2"].to_numpy(),
-                    "bands": list(keys[some]), "sig": [s.tobytes() for s in sig[some]],
+                    "bands": [k if s else k[:0] for k, s in zip(keys, some)], "sig": [s.tobytes() for s in sig],
                 })
 
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -205,10 +215,21 @@ def signature_table(docs: DataFrame, m: int = COMPONENTS, rows: int = ROWS) -> D
     return src.mapInPandas(run, "doc_id long, h1 long, h2 long, bands array<long>, sig binary")
 
 
+def candidate_filter(ids: DataFrame) -> DataFrame:
+    """``bucket, bitmap`` of hashed ids: at most FILTER_BITS / BITMAP_BITS rows
+    of 4 KB."""
+    spread = _spread(F.col("doc_id"))
+    return ids.groupBy(F.bitmap_bucket_number(spread).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spread)).alias("bitmap"))
+
+
+def _spread(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS)) + 1
+
+
 def bag_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, bag: the documents of ``ids`` as sorted arrays in which the n-th
-    occurrence of a shingle is an element of its own. Rows that share an id
-    are one document, compared by the least of its bags."""
+    """doc_id, bag: at least the documents of ``ids`` as sorted arrays in which
+    the n-th occurrence of a shingle is an element of its own. Documents come
+    through a broadcast bitmap of fixed size, so no text is shuffled."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -220,8 +241,12 @@ def bag_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 cuts = np.searchsorted(np.repeat(owner, weight), np.arange(hi - lo + 1))
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[lo:hi].to_numpy(), "bag": [coded[a:b] for a, b in zip(cuts[:-1], cuts[1:])]})
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return own.mapInPandas(run, "doc_id long, bag array<long>").groupBy("doc_id").agg(F.min("bag").alias("bag"))
+    own = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    place = F.bitmap_bit_position(_spread(F.col("doc_id")))
+    met = own.join(F.broadcast(candidate_filter(ids)), F.bitmap_bucket_number(_spread(F.col("doc_id"))) == F.col("bucket"))
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    there = byte.bitwiseAND(F.expr("1").cast("int") * F.pow(F.lit(2), place % 8).cast("int")) != 0
+    return met.filter(there).select("doc_id", "text").mapInPandas(run, "doc_id long, bag array<long>")
 
 
 def verified(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
@@ -234,81 +259,163 @@ def verified(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     return both.filter(common >= F.lit(similarity) * union).select("a", "b")
 
 
-def between_components(rows: DataFrame, agreement: float) -> DataFrame:
-    """(a, b) of different components in one block whose signatures agree;
-    ``rows`` has band, key, i, j, doc_id, chunk, component, sig, and blocks come
-    one after another, each of 2 * BLOCK_MEMBERS rows or so."""
+def _blocks(run_block, key: Sequence[str]):
+    """Runs ``run_block`` on every group of consecutive rows with one key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_rows: List[pd.DataFrame] = []
+        waiting: List[pd.DataFrame] = []
         for batch in batches:
-            block = batch[["band", "key", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1 if len(block) else []
-            parts = [batch.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, len(batch)]) if b > a]
-            for part in parts:
-                if open_rows and tuple(open_rows[-1][["band", "key", "i", "j"]].iloc[0]) != tuple(part[["band", "key", "i", "j"]].iloc[0]):
-                    yield compare(pd.concat(open_rows))
-                    open_rows = []
-                open_rows.append(part)
-        if open_rows:
-            yield compare(pd.concat(open_rows))
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        i, j = block["i"].iloc[0], block["j"].iloc[0]
+            if not len(batch):
+                continue
+            block = batch[key].to_numpy()
+            cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1), len(block)]
+            done: List[pd.DataFrame] = []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if waiting and (waiting[-1][key].iloc[0].to_numpy() != block[lo]).any():
+                    done.append(run_block(pd.concat(waiting)))
+                    waiting = []
+                waiting.append(batch.iloc[lo:hi])
+            if done:
+                yield pd.concat(done)
+        if waiting:
+            yield run_block(pd.concat(waiting))
+
+    return run
+
+
+BLOCK = ["key", "i", "j"]
+FOUND = "kind string, key long, i int, j int, a long, b long"
+
+
+def agreeing(agreement: float):
+    """One block of a bucket (chunks i and j of its members, with component
+    and signature) to its agreeing pairs of different components (kind
+    ``pair``), or, where they are many, to the members that have one (kind
+    ``dense``, id in ``a``, chunk in ``b``)."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.drop_duplicates(["doc_id"])
+        i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
         left, right = block[block["chunk"] == i], block[block["chunk"] == j]
-        a, b = (np.stack([np.frombuffer(s, "<u4") for s in x["sig"]]) if len(x) else np.zeros((0, 1), "<u4") for x in (left, right))
-        found = []
+        head = {"key": np.int64(block["key"].iloc[0]), "i": np.int32(i), "j": np.int32(j)}
+        columns = ["kind", *BLOCK, "a", "b"]
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=columns)
+        a, b = (np.stack([np.frombuffer(s, "<u4") for s in x["sig"]]) for x in (left, right))
+        agree = np.zeros((len(a), len(b)), dtype=np.int16)
+        for c in range(a.shape[1]):
+            agree += a[:, c][:, None] == b[:, c][None, :]
+        hit = (agree >= agreement * a.shape[1]) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
+        if i == j:
+            hit = np.triu(hit, 1)
         ids_a, ids_b = left["doc_id"].to_numpy(), right["doc_id"].to_numpy()
-        comp_a, comp_b = left["component"].to_numpy(), right["component"].to_numpy()
-        for x in range(len(a)):
-            hit = ((b == a[x]).sum(axis=1) >= agreement * a.shape[1]) & (comp_b != comp_a[x])
-            if hit.any():
-                lo, hi = np.minimum(ids_a[x], ids_b[hit]), np.maximum(ids_a[x], ids_b[hit])
-                found.append(np.stack([lo, hi], axis=1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-        return pd.DataFrame(out, columns=["a", "b"]).drop_duplicates()
+        if hit.sum() <= PAIRS_PER_MEMBER * (len(a) + len(b)):
+            r, c = np.nonzero(hit)
+            x, y = ids_a[r], ids_b[c]
+            return pd.DataFrame({"kind": "pair", **head, "a": np.minimum(x, y), "b": np.maximum(x, y)})[columns]
+        sides = [(ids_a[hit.any(axis=1)], i), (ids_b[hit.any(axis=0)], j)]
+        return pd.concat([pd.DataFrame({"kind": "dense", **head, "a": x, "b": np.int64(n)})[columns] for x, n in sides])
+
+    return run
+
+
+def overlaps(owner: np.ndarray, element: np.ndarray, n: int) -> np.ndarray:
+    """n x n counts of common elements. Elements of few bags add their pairs,
+    elements of many go through a matrix product, some columns at a time."""
+    order = np.lexsort((owner, element))
+    owner, element = owner[order], element[order]
+    first = np.flatnonzero(np.concatenate(([True], element[1:] != element[:-1])))
+    size = np.diff(np.append(first, len(element)))
+    out = np.zeros((n, n), dtype=np.float32)
+    for length in np.unique(size):
+        at = first[size == length]
+        if length < 2:
+            continue
+        if length <= 32:
+            step = max(1, (1 << 22) // int(length) ** 2)
+            for lo in range(0, len(at), step):
+                who = owner[at[lo : lo + step, None] + np.arange(length)]
+                flat = (who[:, :, None] * n + who[:, None, :]).ravel()
+                out += np.bincount(flat, minlength=n * n).reshape(n, n)
+        else:
+            for lo in range(0, len(at), 1024):
+                cols = at[lo : lo + 1024]
+                m = np.zeros((n, len(cols)), dtype=np.float32)
+                m[owner[cols[:, None] + np.arange(length)], np.arange(len(cols))[:, None]] = 1
+                out += m @ m.T
+    return out
 
-    return rows.mapInPandas(run, "a long, b long")
+
+def spanning(similarity: float):
+    """One dense block, with bags, to links that span what its exact
+    similarities connect."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.drop_duplicates(["doc_id"])
+        ids = block["doc_id"].to_numpy()
+        length = block["bag"].map(len).to_numpy()
+        element = np.concatenate([np.asarray(x, dtype=np.int64) for x in block["bag"]])
+        common = overlaps(np.repeat(np.arange(len(ids)), length), element, len(ids))
+        hit = common >= similarity * (length[:, None] + length[None, :] - common)
+        seen, a, b = np.zeros(len(ids), dtype=bool), [], []
+        for root in range(len(ids)):
+            if seen[root]:
+                continue
+            seen[root], front = True, [root]
+            while front:
+                x = front.pop()
+                fresh = np.flatnonzero(hit[x] & ~seen)
+                seen[fresh] = True
+                front += fresh.tolist()
+                a += [ids[x]] * len(fresh)
+                b += ids[fresh].tolist()
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}, dtype="int64")
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, m: int = COMPONENTS, rows: int = ROWS) -> DataFrame:
     """``doc_id, class_id, kept`` for every row of ``docs(doc_id, text)``:
     class_id is the smallest doc_id that links reach, and kept marks it.
 
-    Documents without a word are linked with nothing; equal texts are always
-    one class (words or none apart); rows sharing a doc_id are one document. A
-    null doc_id is a class of its own, null, and kept."""
+    Equal texts are always one class; a text without words is linked with no
+    other text; rows sharing a doc_id are one document. A null doc_id is a class
+    of its own, null, and kept."""
     table = stage(signature_table(docs, m, rows), "signatures")
     first = table.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     members = stage(table.select("doc_id", "h1", "h2").join(first, ["h1", "h2"]).select("doc_id", "rep").distinct(), "members")
     reps = members.select(F.col("rep").alias("doc_id")).distinct()
 
-    wide = table.select("doc_id", "bands").join(reps, "doc_id", "left_semi").select("doc_id", F.posexplode("bands").alias("band", "key")).distinct()
-    buckets = wide.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("doc_id", "band"), "doc_id")).getField("doc_id").alias("centre")
-    ).filter(F.col("n") > 1)
-    shared = stage(wide.join(buckets, ["band", "key"]), "buckets")
+    wide = table.select("doc_id", "bands").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("key"))
+    buckets = wide.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"))
+    buckets = buckets.filter(F.col("centre") < F.col("last")).drop("last")
+    shared = stage(wide.join(buckets, "key"), "buckets")
 
-    star = shared.filter(F.col("doc_id") != F.col("centre"))
-    star = star.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
-    bag = stage(bag_table(docs, shared.select("doc_id").distinct()), "bags")
-    links = stage(verified(star, bag, similarity), "links")
+    star = shared.filter(F.col("doc_id") != F.col("centre")).groupBy(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
+    star = star.agg(F.count(F.lit(1)).alias("bands")).filter(F.col("bands") > 1)
+    star = stage(star.select("a", "b"), "stars")
+    links = stage(verified(star, bag_table(docs, _ends(star)), similarity), "links")
     nodes = reps.select(F.col("doc_id").alias("id"))
     found = connected_components(nodes, links)
 
-    # what is left: buckets of three or more with several components
-    placed = shared.filter(F.col("n") > 2).join(found.withColumnRenamed("id", "doc_id"), "doc_id")
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(F.col("lo") < F.col("hi"))
+    # what is left: buckets with several components
+    placed = shared.join(found.withColumnRenamed("id", "doc_id"), "doc_id")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(F.col("lo") < F.col("hi"))
     chunks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    rest = placed.join(mixed.select("band", "key"), ["band", "key"]).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), chunks - 1))
-    rest = rest.withColumn("other", other).join(table.select("doc_id", "sig").dropDuplicates(["doc_id"]), "doc_id")
-    rest = rest.select("band", "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "doc_id", "chunk", "component", "sig")
-    block = ["band", "key", "i", "j"]
-    late = between_components(rest.repartition(*block).sortWithinPartitions(*block, "doc_id"), AGREEMENT).distinct()
-    late = late.join(star, ["a", "b"], "left_anti")
-    links = stage(links.unionByName(verified(late, bag, similarity)), "links")
-    found = connected_components(nodes, links.unionByName(_shared_ids(members)))
+    rest = placed.join(mixed.select("key"), "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1))).join(table.select("doc_id", "sig"), "doc_id")
+    rest = rest.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "doc_id", "chunk", "component", "sig")
+    rest = rest.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "doc_id")
+    late = stage(rest.mapInPandas(_blocks(agreeing(AGREEMENT), BLOCK), FOUND), "late")
+
+    pairs = late.filter("kind = 'pair'").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    dense = late.filter("kind = 'dense'")
+    bag = stage(bag_table(docs, _ends(pairs).unionByName(dense.select(F.col("a").alias("doc_id")))), "bags")
+    blocks = dense.select(*BLOCK, F.col("a").alias("doc_id")).join(bag, "doc_id").select(*BLOCK, "doc_id", "bag")
+    blocks = blocks.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "doc_id")
+    spans = blocks.mapInPandas(_blocks(spanning(similarity), BLOCK), "a long, b long")
+    links = links.unionByName(verified(pairs, bag, similarity)).unionByName(spans).unionByName(_shared_ids(members))
+    found = connected_components(nodes, links)
 
     classes = members.join(found.select(F.col("id").alias("rep"), "component"), "rep").groupBy("doc_id").agg(F.min("component").alias("class_id"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(classes, "doc_id", "left")
@@ -316,6 +423,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, m: int = CO
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+
+
 def _shared_ids(members: DataFrame) -> DataFrame:
     """Links between the texts of a repeated doc_id."""
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).filter(F.col("a") < F.col("top"))
