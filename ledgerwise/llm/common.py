@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from typing import List, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerwise.sources.tables import scratch_root
+
 #: The characters of ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``. Only a local session that
-    names none gets a private folder; a cluster without one is an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerwise-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the
     lineage, survives lost executors, and columns can be pruned on reading.
@@ -35,10 +24,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 4; fold 2 is held out. A null id is in
     fold 0 (crc32 of the empty text)."""
@@ -99,7 +84,3 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     roots = e.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "id")
     return nodes.join(roots, "id", "left").select("id", F.coalesce("m", "id").alias("component"))
 
-
-def rename_clashing(df: DataFrame, keep: List[str]) -> DataFrame:
-    """Only the columns an operator reads, so that extra ones cannot clash."""
-    return df.select(*[F.col(f"`{c}`") for c in keep])
