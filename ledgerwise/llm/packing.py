@@ -99,10 +99,10 @@ def token_pieces(docs: DataFrame, vocab: Optional[str] = None, capacity: int = C
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             rows: List[tuple] = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, known, text in zip(batch["doc_id"], batch["known"], batch["text"]):
                 ids = encoder.ids(text or "") + end
                 n, start = len(ids) // 4, 0
-                key = None if pd.isna(doc_id) else int(doc_id)
+                key = int(doc_id) if known else None
                 for length in cut_document(n, capacity):
                     own = ids[4 * start : 4 * (start + length)]
                     row = (key, start, length, zlib.crc32(own), n)
@@ -114,10 +114,12 @@ def token_pieces(docs: DataFrame, vocab: Optional[str] = None, capacity: int = C
             yield frame(rows)
 
     def frame(rows: List[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
-        return out.astype({"doc_id": "Int64"})
+        out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids, dtype=object)
+        return out.astype({"doc_id": "Int64", **{c: "int64" for c in ("start", "length", "ids_crc32", "doc_tokens")}})
 
-    return docs.select("doc_id", "text").mapInPandas(cut, PIECES + ", ids array<int>" * with_ids)
+    # without nulls, ids stay integers on their way through pandas
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
+    return keyed.mapInPandas(cut, PIECES + ", ids array<int>" * with_ids)
 
 
 def pack_leftovers(capacity: int):
@@ -173,8 +175,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         ((F.col("__no") % per_bin) * F.col("length")).cast("long").alias("offset"),
     )
     rest = placed.filter(F.col("__bin") >= F.col("__bins")).select(*cols, F.col("__all").cast("long").alias("base"))
+    rest = rest.withColumn("doc_id", F.col("doc_id").cast("string"))  # a null would make the ids floats in pandas
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
     rest = rest.groupBy("base").applyInPandas(pack_leftovers(capacity), f"{schema}, sequence_id long, offset long")
+    rest = rest.withColumn("doc_id", F.col("doc_id").cast("long"))
     return full.unionByName(rest.select(*cols, "sequence_id", "offset"))
 
 

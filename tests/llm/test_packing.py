@@ -89,5 +89,8 @@ def test_odd_tables(spark, tokenizer):
     assert P.pack(P.token_pieces(spark.createDataFrame([], schema))).count() == 0
     rows = P.pack(P.token_pieces(spark.createDataFrame([(None, "a b c"), (5, "same"), (5, "same"), (6, None)], schema))).collect()
     assert len(rows) == 4 and sum(r["length"] for r in rows) == 4 + 2 + 2 + 1
+    large = 2**60 + 1
+    rows = P.pack(P.token_pieces(spark.createDataFrame([(None, "a"), (large, "b")], schema).coalesce(1))).collect()
+    assert {r["doc_id"] for r in rows} == {None, large}
     with_ids = P.token_pieces(spark.createDataFrame([(1, "a b")], schema), with_ids=True).first()
     assert list(with_ids["ids"]) == tokenizer.encode("a b").ids + [0]
