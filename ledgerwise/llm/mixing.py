@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwise.llm.common import running_offsets, stage
+from ledgerwise.llm.common import partitions, running_offsets, stage
 from ledgerwise.llm.sharding import permute, unpermute
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -94,7 +94,7 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTP
     s = s.select("*", F.posexplode("drawn").alias("shard", "count"))
     w = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     s = s.withColumn("from", F.coalesce(F.sum("count").over(w), F.lit(0))).filter(F.col("count") > 0)
-    s = s.repartition(F.col("source"), F.col("shard")).withColumn("slot", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("count") - 1)))
+    s = s.repartition(partitions(s), "source", "shard").withColumn("slot", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("count") - 1)))
     s = s.withColumn("epoch", F.floor(F.col("slot") / F.col("blocks"))).withColumn("turn", F.col("slot") % F.col("blocks"))
     s = s.withColumn("block", permute(F.col("turn"), F.col("blocks"), key(F.col("epoch"))))
     length = F.lit(block_words) - F.when(F.col("block") == F.col("blocks") - 1, F.col("short")).otherwise(0)
@@ -126,7 +126,8 @@ def taken_ranges(streams: DataFrame, plan: DataFrame, block_words: int = BLOCK_W
         "block", F.explode(F.sequence(F.floor(F.col("first_word") / block_words), F.floor(last / block_words)))
     )
     p = plan.select(F.col("source").alias("__source"), F.col("block").alias("__block"), "epoch", "take")
-    met = parts.join(p, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")))
+    # both sides grow with the input, which Spark cannot see before the slots are made
+    met = parts.hint("merge").join(p.hint("merge"), F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")))
     start = F.col("block") * block_words
     lo = F.greatest(start - F.col("first_word"), F.lit(0))
     hi = F.least(start + F.col("take") - F.col("first_word"), F.col("size"))
