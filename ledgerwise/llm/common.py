@@ -24,6 +24,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Whole texts per Arrow batch. Spark's default of 10,000 rows is meant for
+#: short rows; a batch of texts is held several times over by a Python worker.
+TEXT_BATCH_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to TEXT_BATCH_ROWS rows (a
+    smaller setting stays): bounds what a Python worker holds of whole texts."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= TEXT_BATCH_ROWS:
+        conf.set(key, str(TEXT_BATCH_ROWS))
+    return df
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 4; fold 2 is held out. A null id is in
     fold 0 (crc32 of the empty text)."""

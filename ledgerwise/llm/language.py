@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwise.llm.common import fold
+from ledgerwise.llm.common import fold, text_batches
 
 #: Bounds of the training sample: documents per language, segments of a
 #: document and characters of a segment.
@@ -420,7 +420,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.withColumn("__found", run(F.col(text)))
+    found = text_batches(docs).withColumn("__found", run(F.col(text)))
     return found.select(*kept, F.col("__found.lang_pred").alias("lang_pred"), F.col("__found.score").alias("score"))
 
 
@@ -440,7 +440,7 @@ def language_spans(docs: DataFrame, model: Model, text: str = "text") -> DataFra
                     out[i].append((int(first[lo]), int(end[hi - 1]), model.languages[label[lo]], float(post[lo:hi, label[lo]].mean())))
         return pd.Series(out, dtype=object)
 
-    return docs.drop("spans").withColumn("spans", run(F.col(text)))
+    return text_batches(docs).drop("spans").withColumn("spans", run(F.col(text)))
 
 
 def op3_language(spark, sf_dir: str) -> DataFrame:

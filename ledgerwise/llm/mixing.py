@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwise.llm.common import partitions, running_offsets, stage
+from ledgerwise.llm.common import partitions, running_offsets, stage, text_batches
 from ledgerwise.llm.sharding import permute, unpermute
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -194,7 +194,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     texts = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", row).dropDuplicates(KEY)
     met = texts.alias("d").join(by_epoch.alias("e"), _same("d", "e"))
-    cut = met.select("__row", cut_text("d.text", "e.at.lo", "e.at.hi").alias("__cut"))
+    cut = text_batches(met).select("__row", cut_text("d.text", "e.at.lo", "e.at.hi").alias("__cut"))
     changed = {"text": F.col("__cut"), "n_chars": F.char_length("__cut").cast("long")}
     return cut.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in docs.columns])
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import connected_components, stage
+from ledgerwise.llm.common import connected_components, stage, text_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -212,7 +212,7 @@ def signature_table(docs: DataFrame, m: int = COMPONENTS, rows: int = ROWS) -> D
     src = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"), text.alias("text")
     )
-    return src.mapInPandas(run, "doc_id long, h1 long, h2 long, bands array<long>, sig binary")
+    return text_batches(src).mapInPandas(run, "doc_id long, h1 long, h2 long, bands array<long>, sig binary")
 
 
 def candidate_filter(ids: DataFrame) -> DataFrame:
@@ -246,7 +246,7 @@ def bag_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
     met = own.join(F.broadcast(candidate_filter(ids)), F.bitmap_bucket_number(_spread(F.col("doc_id"))) == F.col("bucket"))
     byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     there = byte.bitwiseAND(F.expr("1").cast("int") * F.pow(F.lit(2), place % 8).cast("int")) != 0
-    return met.filter(there).select("doc_id", "text").mapInPandas(run, "doc_id long, bag array<long>")
+    return text_batches(met).filter(there).select("doc_id", "text").mapInPandas(run, "doc_id long, bag array<long>")
 
 
 def verified(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:

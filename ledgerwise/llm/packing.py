@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import partitions, running_offsets, stage
+from ledgerwise.llm.common import partitions, running_offsets, stage, text_batches
 from ledgerwise.llm.vocab import default_path, encoding
 
 CAPACITY = 1024
@@ -119,7 +119,7 @@ def token_pieces(docs: DataFrame, vocab: Optional[str] = None, capacity: int = C
 
     # without nulls, ids stay integers on their way through pandas
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
-    return keyed.mapInPandas(cut, PIECES + ", ids array<int>" * with_ids)
+    return text_batches(keyed).mapInPandas(cut, PIECES + ", ids array<int>" * with_ids)
 
 
 def pack_leftovers(capacity: int):

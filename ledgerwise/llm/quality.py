@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwise.llm.common import fold
+from ledgerwise.llm.common import fold, text_batches
 
 #: Labelled rows per class for the dictionaries, and for the calibration.
 DICTIONARY_ROWS = 1500
@@ -147,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary_rows: int = DICTIONARY_RO
         parts = [w.encode("utf-8", "surrogatepass") for r in rows for w in r["cut"] if w]
         built[q] = _dictionary(parts)
     model = Model(built[1], built[0], (), prior)
-    rows = sample.filter(~F.col("for_dict")).select("doc_id", "quality", features_udf(model)("text").alias("x")).collect()
+    rows = text_batches(sample).filter(~F.col("for_dict")).select("doc_id", "quality", features_udf(model)("text").alias("x")).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"]))
     y = np.array([r["quality"] for r in rows], dtype="float64")
     if len(set(y.tolist())) < 2:
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(probability(np.array([features(t, model) for t in texts]).reshape(-1, 3), model))
 
-    return docs.withColumn("score", run(F.col(text)))
+    return text_batches(docs).withColumn("score", run(F.col(text)))
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

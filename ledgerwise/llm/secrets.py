@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerwise.llm.common import text_batches
 from ledgerwise.llm.vocab import default_path, encoding
 
 KINDS = ("assign", "access", "hex", "random")
@@ -111,7 +112,7 @@ def find_secrets(docs: DataFrame, text: str = "text", vocab: Optional[str] = Non
         part = F.split(s, ":")
         return F.struct(part[0].alias("kind"), part[1].cast("long").alias("start"), part[2].cast("long").alias("end"))
 
-    return docs.withColumn("secrets", raw).withColumn("secrets", F.transform("secrets", span))
+    return text_batches(docs).withColumn("secrets", raw).withColumn("secrets", F.transform("secrets", span))
 
 
 def _joined(spans: Column) -> Column:
