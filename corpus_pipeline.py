@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerwise.llm import language, line_dedup, mixing, near_dup, packing
 from ledgerwise.llm.common import stage
+from ledgerwise.llm.vocab import default_path
 
 #: Mean posterior under which no language is dominant.
 MIN_SCORE = 0.3
@@ -62,7 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences."""
-    return packing.pack(packing.token_pieces(docs))
+    return packing.pack(packing.token_pieces(docs, tokenizer=default_path("byte_bpe_50k.json")))
 
 
 STAGES = [

@@ -11,6 +11,7 @@ the lengths (at most one per length, whatever the input) are packed together.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -53,16 +54,35 @@ class WordIds(dict):
         return ids
 
 
+def added_tokens(tokenizer: str) -> Dict[str, int]:
+    """The tokens that a tokenizer's json matches as they are, anywhere in a text."""
+    with open(tokenizer, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    plain = {t["content"]: t["id"] for t in added if not (t["single_word"] or t["lstrip"] or t["rstrip"])}
+    if len(plain) < len(added):
+        raise ValueError(f"{tokenizer}: added tokens that take blanks or whole words only are not supported")
+    return plain
+
+
 class Encoder:
     """Whole texts to ids. A single space between non-blanks always starts a
     new pre-token of this vocabulary's pattern, so words can be encoded one by
-    one and remembered."""
+    one and remembered. Texts are cut at ``added`` tokens, leftmost and longest
+    first, and the stretches between are texts of their own."""
 
-    def __init__(self, vocab: str):
+    def __init__(self, vocab: str, added: Optional[Dict[str, int]] = None):
         self.enc = encoding(vocab)
         self.first, self.later = WordIds(self.enc, ""), WordIds(self.enc, " ")
+        self.added = {t: np.array([i], dtype="<u4").tobytes() for t, i in (added or {}).items()}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def ids(self, text: str) -> bytes:
+        if not any(t in text for t in self.added):
+            return self.plain(text)
+        # every other stretch is an added token
+        return b"".join(self.added[t] if i % 2 else self.plain(t) for i, t in enumerate(self.cuts.split(text)) if t)
+
+    def plain(self, text: str) -> bytes:
         if IRREGULAR.search(text):
             return np.array(self.enc.encode_ordinary(text), dtype="<u4").tobytes()
         head, *rest = text.split(" ")
@@ -89,13 +109,18 @@ def cut_document(n: int, capacity: int = CAPACITY) -> List[int]:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def token_pieces(docs: DataFrame, vocab: Optional[str] = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, vocab: Optional[str] = None, capacity: int = CAPACITY, with_ids: bool = False, tokenizer: Optional[str] = None
+) -> DataFrame:
     """The pieces of every document (null text: empty), END_ID closing each;
-    with ``ids`` as array<int> when asked for."""
+    with ``ids`` as array<int> when asked for. The added tokens of the
+    ``tokenizer`` json are matched in texts, as tokenizers does by default;
+    without it, they are text like any other."""
     path = vocab or default_path("byte_bpe_50k.tiktoken")
+    added = added_tokens(tokenizer) if tokenizer else {}
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, added)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             rows: List[tuple] = []
@@ -184,6 +209,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pack(token_pieces(docs)).select(
+    return pack(token_pieces(docs, tokenizer=default_path("byte_bpe_50k.json"))).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

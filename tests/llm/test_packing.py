@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from ledgerwise.llm import packing as P
 from ledgerwise.llm.vocab import default_path
 
@@ -94,3 +95,23 @@ def test_odd_tables(spark, tokenizer):
     assert {r["doc_id"] for r in rows} == {None, large}
     with_ids = P.token_pieces(spark.createDataFrame([(1, "a b")], schema), with_ids=True).first()
     assert list(with_ids["ids"]) == tokenizer.encode("a b").ids + [0]
+
+
+def test_added_tokens_as_the_tokenizer_has_them_by_default(spark, tmp_path):
+    default = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    added = P.added_tokens(default_path("byte_bpe_50k.json"))
+    assert added == {"<|endoftext|>": 50256}
+    encoder = P.Encoder(default_path("byte_bpe_50k.tiktoken"), added)
+    end = "<|endoftext|>"
+    rnd = random.Random(6)
+    texts = ODD + [end, end * 3, f"end of text {end} next", f"a{end}b", f" {end} ", f"\n{end}\n\n", f"<|endoftext{end}|>", "<|endoftext|", end.upper(), f"{end[:-1]}{end}"]
+    texts += ["".join(rnd.choice(ODD + [" ", ".", "\n", end, end]) for _ in range(6)) for _ in range(300)]
+    for t in texts:
+        assert np.frombuffer(encoder.ids(t), "<u4").tolist() == default.encode(t, add_special_tokens=False).ids, repr(t)
+    assert np.frombuffer(encoder.ids(f"end of text {end} next"), "<u4").tolist() == [437, 286, 2420, 220, 50256, 1306]
+
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = P.op5_packing(spark, str(tmp_path)).collect()
+    check(rows, dict(enumerate(texts)), default)
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    check(corpus_pipeline.pack_sequences(spark, docs, "").collect(), dict(enumerate(texts)), default)
