@@ -295,20 +295,20 @@ def training_segments(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAG
 
 
 def fit_segments(segments: Sequence[Tuple[str, str]], seed: int = 11) -> Model:
-    """Maximum likelihood by Adam on spliced sequences of SEQUENCE_WORDS words."""
-    languages = tuple(sorted({lang for lang, _ in segments}))
-    k = len(languages)
-    empty = Model(languages, np.zeros((FEATURES, k), np.float32), (np.zeros(0, np.uint32), np.zeros((0, k))), np.zeros((k, k)), np.zeros((k, k)), np.zeros(k))
-    if k < 2:
-        return empty
+    """Maximum likelihood by Adam on spliced sequences of SEQUENCE_WORDS words,
+    over the languages that have words."""
     pad = np.zeros(3, np.uint32)
-    pool: List[List[Words]] = [[] for _ in languages]
+    words: Dict[str, List[Words]] = {}
     for lang, s in segments:
         w = words_of(np.concatenate([pad, codes(s), pad]))
         if len(w.first):
-            pool[languages.index(lang)].append(w)
-    if any(not p for p in pool):
-        return empty
+            words.setdefault(lang, []).append(w)
+    # a label without a single word tells nothing: the others are learned
+    languages = tuple(sorted(words))
+    k = len(languages)
+    if k < 2:
+        return Model(languages, np.zeros((FEATURES, k), np.float32), (np.zeros(0, np.uint32), np.zeros((0, k))), np.zeros((k, k)), np.zeros((k, k)), np.zeros(k))
+    pool = [words[lang] for lang in languages]
 
     lists = []
     for p in pool:

@@ -2,11 +2,13 @@
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerwise.llm import language as L
 from ledgerwise.llm.common import fold
 
@@ -90,6 +92,19 @@ def test_held_out_labels_are_not_learned(spark, rows):
     assert "only-here" not in L.fit(held).languages
 
 
+def test_labels_without_words_are_left_out(spark, rows, model):
+    kept = [i for i in range(9000, 9040) if zlib.crc32(str(i).encode()) % 4 != L.HELD_OUT]
+    junk = [(i, t, lang) for i, t, lang in zip(kept, ["12345", "12345", "", "--- 7 ---", None], ["zxx", "zxx", "aa0", "und", "no"])]
+    df = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    assert {"zxx", "und"} <= {lang for lang, _ in L.training_segments(df)}
+    got = L.fit(df)
+    assert got.languages == model.languages and np.array_equal(got.weights, model.weights) and np.array_equal(got.transitions, model.transitions)
+    whole = corpus_pipeline.identify_language(spark, df, "")
+    assert {r["doc_id"] for r in whole.select("doc_id").collect()} == {i for i, _, _ in rows}
+    only = spark.createDataFrame(junk, "doc_id long, text string, lang string")
+    assert L.fit(only).languages == ()
+
+
 def test_odd_texts(spark, model):
     long = "ka lo mi " * 60_000  # longer than a block
     texts = [None, "", "123 !!", "\x00", "É", "ka", "İİ ka lo", "x" * 300_000, long, long]
