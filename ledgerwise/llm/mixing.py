@@ -8,7 +8,7 @@ stay at their targets while every shard is a random sample of the mix. Slot i
 of a source is block ``permutation(i mod blocks)`` in epoch ``i div blocks``:
 every epoch uses each block once, and no block is used more often than the
 epochs, so no document exceeds the cap. Blocks and documents meet by block
-number.
+number, and every range of words keeps the output shard and slot it is for.
 """
 
 from __future__ import annotations
@@ -119,19 +119,19 @@ def word_streams(sized: DataFrame) -> DataFrame:
 
 
 def taken_ranges(streams: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """KEY, copy, epoch, lo, hi: the word ranges that the mix takes from each
-    document, joined by (source, block)."""
+    """KEY, copy, epoch, shard, slot, lo, hi: the word ranges that the mix takes
+    from each document, and where they go, joined by (source, block)."""
     last = F.col("first_word") + F.col("size") - 1
     parts = streams.filter(F.col("size") > 0).withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("first_word") / block_words), F.floor(last / block_words)))
     )
-    p = plan.select(F.col("source").alias("__source"), F.col("block").alias("__block"), "epoch", "take")
+    p = plan.select(F.col("source").alias("__source"), F.col("block").alias("__block"), "epoch", "shard", "slot", "take")
     # both sides grow with the input, which Spark cannot see before the slots are made
     met = parts.hint("merge").join(p.hint("merge"), F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")))
     start = F.col("block") * block_words
     lo = F.greatest(start - F.col("first_word"), F.lit(0))
     hi = F.least(start + F.col("take") - F.col("first_word"), F.col("size"))
-    return met.select(*KEY, "copy", "epoch", lo.alias("lo"), hi.alias("hi")).filter(F.col("hi") > F.col("lo"))
+    return met.select(*KEY, "copy", "epoch", "shard", "slot", lo.alias("lo"), hi.alias("hi")).filter(F.col("hi") > F.col("lo"))
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
@@ -153,15 +153,17 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SH
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` per document row.
+    """``doc_id, source, size, source_size, target, taken, places`` per document
+    row; places are the (shard, slot, lo, hi) its words go to, in that order.
     Null text has no words; an empty table stays empty."""
     streams, sources, ranges = mix(docs, **options)
-    taken = ranges.groupBy(*KEY, "copy").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
+    places = F.sort_array(F.collect_list(F.struct(F.col("shard").cast("int").alias("shard"), "slot", "lo", "hi"))).alias("places")
+    taken = ranges.groupBy(*KEY, "copy").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"), places)
     rows = streams.alias("d").join(taken.alias("t"), _same("d", "t") & (F.col("d.copy") == F.col("t.copy")), "left")
-    rows = rows.select("d.doc_id", "d.source", "d.size", F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken"))
+    rows = rows.select("d.doc_id", "d.source", "d.size", F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("t.places", F.array()).alias("places"))
     # one row per source
     out = rows.alias("r").join(sources.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")), "left")
-    return out.select("r.doc_id", "r.source", "r.size", "s.source_size", "s.target", "r.taken")
+    return out.select("r.doc_id", "r.source", "r.size", "s.source_size", "s.target", "r.taken", "r.places")
 
 
 def cut_words(text: str, ranges: List[Tuple[int, int]]) -> str:
@@ -184,6 +186,15 @@ def cut_text(text: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
     return pd.Series([cut_words(t, list(zip(a, b))) for t, a, b in zip(text, lo, hi)], dtype=object)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def cut_parts(text: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
+    out = []
+    for t, a, b in zip(text, lo, hi):
+        spans = [m.span() for m in WORD.finditer(t)]
+        out.append([t[spans[x][0] : spans[y - 1][1]] for x, y in zip(a, b)])
+    return pd.Series(out, dtype=object)
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: one row per document row
     and epoch that the mix takes words from, ``text`` cut down to them (whole
@@ -199,6 +210,28 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     return cut.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in docs.columns])
 
 
+def mix_shards(docs: DataFrame, **options) -> DataFrame:
+    """The mix by output shard: ``shard, slot, source, epoch, doc_id, lo, hi,
+    text``, one row per slot and document that it takes words ``lo`` to ``hi``
+    of. A shard lies in one partition, in the order of its slots; within a slot
+    number the sources follow by code point, and the words of a block as they
+    stand in the source's stream."""
+    streams, _, ranges = mix(docs, **options)
+    ranges = ranges.alias("r").join(streams.alias("s"), _same("r", "s") & (F.col("r.copy") == F.col("s.copy")))
+    at = F.struct("r.shard", "r.slot", "r.epoch", "r.lo", "r.hi", "s.first_word")
+    by_text = ranges.groupBy(*[F.col(f"r.{c}") for c in KEY], F.col("r.copy")).agg(F.collect_list(at).alias("at"))
+    texts = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").dropDuplicates(KEY)
+    met = texts.alias("d").join(by_text.alias("e"), _same("d", "e")).select("d.doc_id", "d.source", "d.text", "e.at")
+    cut = text_batches(met).select("doc_id", "source", "at", cut_parts("text", "at.lo", "at.hi").alias("part"))
+    rows = cut.select("doc_id", "source", F.explode(F.arrays_zip("at", "part")).alias("p"))
+    rows = rows.select("p.at.shard", "p.at.slot", "source", "p.at.epoch", "doc_id", "p.at.lo", "p.at.hi", F.col("p.part").alias("text"), "p.at.first_word")
+    ordered = rows.repartition(partitions(rows), "shard").sortWithinPartitions("shard", "slot", "source", F.col("first_word") + F.col("lo"))
+    return ordered.drop("first_word")
+
+
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return mix_report(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix_report(docs).select(
+        "doc_id", "size", "source_size", "target", "taken", "source",
+        F.array_join(F.transform("places", lambda p: F.concat_ws(":", p["shard"], p["slot"], p["lo"], p["hi"])), ",").alias("places"),
+    )

@@ -104,6 +104,34 @@ def test_texts_hold_the_words_taken(spark):
     assert M.mix_documents(df.limit(0)).count() == 0 and M.mix_report(df.limit(0)).count() == 0
 
 
+def test_output_shards_hold_the_drawn_slots(spark):
+    rows = corpus()
+    df = frame(spark, rows).repartition(3)
+    options = {"block_words": 20, "shards": 6}
+    rows_of = lambda seed: [tuple(r) for r in M.mix_shards(df, seed=seed, **options).collect()]
+    out = rows_of(7)
+    assert {r[0] for r in out} == set(range(6))
+    shards = [s for s, *_ in out]
+    assert len([1 for a, b in zip([None] + shards, shards) if a != b]) == 6  # each shard in one piece
+    for shard in range(6):
+        own = [slot for s, slot, *_ in out if s == shard]
+        assert own == sorted(own)
+    sources = M.source_targets(M.sized_documents(df))
+    plan = {(r["source"], r["slot"]): (r["shard"], r["epoch"], r["take"]) for r in M.slots(sources, 20, 6).collect()}
+    held = Counter()
+    texts = {(i, s): t for i, s, t in rows}
+    for shard, slot, source, epoch, doc_id, lo, hi, text in out:
+        assert plan[source, slot][:2] == (shard, epoch)
+        assert WORD.findall(text) == WORD.findall(texts[doc_id, source])[lo:hi]
+        held[source, slot] += hi - lo
+    assert held == Counter({k: take for k, (_, _, take) in plan.items()})
+    report = M.mix_report(df, **options).collect()
+    places = sorted((r["doc_id"] or -1, r["source"] or "", *p) for r in report for p in r["places"])
+    assert places == sorted((r[4] or -1, r[2] or "", r[0], r[1], r[5], r[6]) for r in out)
+    assert sorted(out, key=str) == sorted(rows_of(7), key=str) != sorted(rows_of(8), key=str)
+    assert Counter(r[0] for r in out) != Counter(r[0] for r in rows_of(8))  # the draw itself
+
+
 def test_cut_words_keeps_blanks_inside():
     text = " a  b\tc\nd e "
     assert M.cut_words(text, [(0, 5)]) == text
