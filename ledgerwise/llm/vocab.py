@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from typing import Dict
 
 
 def default_path(name: str) -> str:
@@ -12,12 +13,16 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def ranks(path: str) -> Dict[bytes, int]:
+    """Token bytes to ids of a ``.tiktoken`` file."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
 @lru_cache(maxsize=4)
 def encoding(path: str):
     """The byte-level BPE of a ``.tiktoken`` file, without special tokens."""
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
