@@ -7,7 +7,7 @@ from typing import Callable, Dict
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwise.llm import embedding_dedup, language, line_dedup, mixing, near_dup, packing, quality, secrets, sharding, topk
+from ledgerwise.llm import alignment, bpe, embedding_dedup, language, line_dedup, merkle, mixing, near_dup, packing, quality, secrets, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,9 @@ def queries() -> Dict[str, Query]:
         "op8_mixing": mixing.op8_mixing,
         "op9_topk": topk.op9_topk,
         "op10_near_dup": near_dup.op10_near_dup,
+        "op11_alignment": alignment.op11_alignment,
+        "op12_merkle": merkle.op12_merkle,
+        "op13_bpe": bpe.op13_bpe,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -34,4 +37,5 @@ def oracle_sql() -> Dict[str, str]:
         "op4_line_dedup": line_dedup.SQL,
         "op7_embedding_dedup": embedding_dedup.SQL,
         "op9_topk": topk.SQL,
+        "op12_merkle": merkle.SQL,
     }
