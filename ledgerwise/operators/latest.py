@@ -4,8 +4,10 @@
   into a group limit that also runs before the shuffle, so each map task ships
   at most one row per key, however hot. The result is hash-partitioned and
   sorted by ``key``, which the joins downstream reuse as it is.
+* ``counted``: the winners and how many rows each key has, from one partial
+  aggregate, for callers that need both.
 * ``losers``: only keys seen more than once (one narrow, map-side combined
-  count) enter. Their rows are collapsed to distinct rows with a copy count,
+  count, or what the caller knows from ``counted``) enter. Their rows are collapsed to distinct rows with a copy count,
   and ranked in two windows: per (key, salt), then among the best of each
   salt. So neither a hot key nor a large group of copies lands whole in one
   task, and no row is joined to its winner.
@@ -17,7 +19,7 @@ column, so the choice does not depend on partitioning or input order.
 from __future__ import annotations
 
 from functools import cached_property
-from typing import List, Sequence
+from typing import List, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +37,8 @@ class LatestSplit:
 
     def __init__(self, df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True):
         self._df, self._key, self._columns, self._null_keys = df, key, df.columns, null_keys
-        ordered = list(order_cols) + [c for c in df.columns if c not in order_cols and c != key]
-        self._latest_first: List[Column] = [F.col(c).desc_nulls_last() for c in ordered]
+        self._ordered = list(order_cols) + [c for c in df.columns if c not in order_cols and c != key]
+        self._latest_first: List[Column] = [F.col(c).desc_nulls_last() for c in self._ordered]
 
     @property
     def _keyed(self) -> DataFrame:
@@ -47,16 +49,34 @@ class LatestSplit:
         w = Window.partitionBy(self._key).orderBy(*self._latest_first)
         return self._keyed.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).select(*self._columns)
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        """The winners plus ``_rows``, the number of rows of their key. One pass:
+        each map task keeps one row per key, and the result is partitioned and
+        sorted by key like ``winners``."""
+        ordered, key = self._ordered, self._key
+        best = F.max(F.struct(*ordered)).alias("_best")
+        per_key = self._keyed.groupBy(key).agg(best, F.count(F.lit(1)).alias("_rows"))
+        return per_key.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in self._columns], "_rows")
+
     @cached_property
     def losers(self) -> DataFrame:
+        return self.losers_among()
+
+    def losers_among(self, repeated: Optional[DataFrame] = None) -> DataFrame:
+        """All rows but the winners. ``repeated`` has the keys (one column of the
+        key's name, each once) that have more than one row, if that is known."""
         key, columns = self._key, self._columns
         # On both sides the key travels under a second name: neither the
         # count's nor the join's partitioning by key is then taken over by what
         # follows, so AQE may split a hot key in the join, and the rows of a
         # key spread over tasks below it.
         named = self._keyed.select(*columns, F.col(key).alias("_key"))
-        counted = named.groupBy(key, "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        rows = named.join(counted.select(F.col("_key").alias("_repeated")), F.col(key) == F.col("_repeated"))
+        if repeated is None:
+            repeated = named.groupBy(key, "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(F.col("_key").alias("_repeated"))
+        else:
+            repeated = repeated.select(F.col(key).alias("_repeated"))
+        rows = named.join(repeated, F.col(key) == F.col("_repeated"))
         rows = rows.select(*[F.col("_key").alias(c) if c == key else F.col(c) for c in columns])
         distinct = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,11 +70,13 @@ def recon_status(amount_tolerance: float = 0.0):
     )
 
 
-def reconcile(clean: DataFrame, ledger: DataFrame, amount_tolerance: float = 0.0, dedup_ledger: bool = True):
+def reconcile(
+    clean: DataFrame, ledger: DataFrame, amount_tolerance: float = 0.0, dedup_ledger: bool = True, carry: Sequence[str] = ()
+) -> DataFrame:
     """Left-join clean transactions to the ledger on ``transaction_id`` and add
     ``recon_status``. Output: the seven transaction columns + ``recon_status``;
-    ledger columns are not carried. Ledger-only ids are not
-    reported.
+    ledger columns are not carried, further columns of ``clean`` only if named in
+    ``carry``. Ledger-only ids are not reported.
 
     With ``dedup_ledger`` the ledger is first reduced to one row per id, so a
     repeated ledger id can never multiply transactions. The unique ledger is
@@ -83,4 +87,4 @@ def reconcile(clean: DataFrame, ledger: DataFrame, amount_tolerance: float = 0.0
     right = unique_ledger(ledger).unique if dedup_ledger else ledger.filter(F.col("transaction_id").isNotNull())
     right = right.select(F.col("transaction_id").alias("_ledger_id"), "ledger_amount", "ledger_status")
     joined = clean.join(right, clean["transaction_id"] == right["_ledger_id"], "left")
-    return joined.select(*[clean[c] for c in C.TRANSACTION_COLUMNS], recon_status(amount_tolerance).alias("recon_status"))
+    return joined.select(*[clean[c] for c in C.TRANSACTION_COLUMNS], recon_status(amount_tolerance).alias("recon_status"), *[clean[c] for c in carry])

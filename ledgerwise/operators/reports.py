@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from typing import Iterable, Optional, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
+from ledgerwise.sources import tables
 
 HISTORY_COLUMNS = ["effective_start_date", "effective_end_date", "is_current", "amount", "status", "recon_status"]
 
@@ -34,15 +35,16 @@ def recon_breaks(df: DataFrame, statuses: Optional[Iterable[str]] = None) -> Dat
     """Rows of the chosen statuses. Default: everything but MATCHED, or every
     row when nothing but MATCHED is present.
 
-    The "anything but MATCHED present?" test is an uncorrelated scalar
-    subquery over the status column. ``df`` is meant to be a stored table: on
-    a derived frame the subquery would derive it a second time.
+    The "anything but MATCHED present?" test is an uncorrelated EXISTS, which
+    Spark runs as a subquery of one row: each task of its last stage stops at
+    the first break it meets, and nothing is counted or written. On a frame that
+    is not stored, the exchanges below are shared with the main query where
+    they carry the same columns.
     """
     if statuses:
         return df.filter(F.col("recon_status").isin(list(statuses)))
     is_break = ~F.col("recon_status").eqNullSafe(F.lit(C.RECON_MATCHED))
-    n_breaks = df.agg(F.count_if(is_break)).scalar()
-    return df.filter(is_break | (n_breaks == F.lit(0)))
+    return df.filter(is_break | ~df.filter(is_break).exists())
 
 
 def scd2_history(curated: DataFrame, transaction_id: Optional[str] = None) -> DataFrame:
@@ -93,6 +95,19 @@ def curated_browse(
     return df
 
 
+def browse_stored_curated(
+    spark: SparkSession,
+    path: str,
+    dates: Optional[Iterable] = None,
+    statuses: Optional[Iterable[str]] = None,
+    current_only: bool = True,
+) -> DataFrame:
+    """:func:`curated_browse` of the stored table. The folders of the chosen
+    dates are picked from the pointer, and no other is listed or opened."""
+    chosen = tables.read_curated(spark, path, dates or None)
+    return curated_browse(chosen, None, statuses, current_only)
+
+
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct non-NULL values of several columns at once, as
     ``(field, value)`` text: one scan, one partially aggregated shuffle. Not

@@ -1,7 +1,11 @@
 """Slowly-changing (Type 2) history for reconciled transactions.
 
-The merge is one full-outer join of the incoming rows with the *current*
-versions on ``transaction_id``. Each joined row is classified once and emits
+A load is bounded by its feed: :func:`classify_feed` left-joins the incoming
+rows to the *current* versions, of which a filter of the feed's ids lets pass
+little more than the ids that match, so what is shuffled grows with the feed and
+not with the table. The merge as one expression (:func:`scd2_merge`), which has
+to give back every row anyway, is one full-outer join of the incoming rows with
+the current versions on ``transaction_id``. Each joined row is classified once and emits
 its output versions through ``explode`` of a small array: NEW -> [open],
 CHANGED -> [close, open], UNCHANGED / ABSENT -> [keep]. Historical versions
 are not touched and are unioned back without a shuffle. This replaces a
@@ -16,7 +20,7 @@ unchanged id are not refreshed.
 from __future__ import annotations
 
 from datetime import datetime
-from typing import Optional, Sequence, Union
+from typing import Dict, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +28,7 @@ from pyspark.sql.types import BooleanType, DateType, DoubleType, StringType, Str
 
 from ledgerwise import constants as C
 from ledgerwise.functions import any_differs, ts_literal
+from ledgerwise.operators import id_filter
 from ledgerwise.operators.latest import keep_latest
 
 # Change classes of the merge.
@@ -92,11 +97,13 @@ def classify(
     reconciled output does; otherwise it is reduced by :func:`one_per_id`.
     """
     rows = incoming.select(*INCOMING_COLUMNS) if incoming_unique else one_per_id(incoming)
+    return _classified(rows, existing.filter(F.col("is_current")), "full_outer", tracked)
+
+
+def _classified(rows: DataFrame, current: DataFrame, how: str, tracked: Sequence[str]) -> DataFrame:
     n = rows.select(*[F.col(c).alias(f"n_{c}") for c in INCOMING_COLUMNS], F.lit(True).alias("_in_feed"))
-    cur = existing.filter(F.col("is_current")).select(
-        *[F.col(c).alias(f"c_{c}") for c in C.CURATED_COLUMNS], F.lit(True).alias("_stored")
-    )
-    j = n.join(cur, F.col("n_transaction_id") == F.col("c_transaction_id"), "full_outer")
+    cur = current.select(*[F.col(c).alias(f"c_{c}") for c in C.CURATED_COLUMNS], F.lit(True).alias("_stored"))
+    j = n.join(cur, F.col("n_transaction_id") == F.col("c_transaction_id"), how)
     change = (
         F.when(F.col("_stored").isNull(), F.lit(CHANGE_NEW))
         .when(F.col("_in_feed").isNull(), F.lit(CHANGE_ABSENT))
@@ -106,6 +113,27 @@ def classify(
     return j.withColumn("change", change).drop("_in_feed", "_stored")
 
 
+def classify_feed(
+    existing: DataFrame, incoming: DataFrame, feed_rows: int, tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS
+) -> DataFrame:
+    """The incoming rows of :func:`classify`, without the ABSENT versions.
+
+    ``incoming`` holds one row per id and is a stored frame of ``feed_rows`` rows
+    (it is read twice: its ids make the filter). Before the current versions
+    are shuffled, those whose id cannot be in the feed are dropped in their
+    scan's stage. The number of ABSENT versions is :func:`absent_count`."""
+    bits = id_filter.filter_bits(feed_rows)
+    ids = id_filter.id_filter(incoming, "transaction_id", bits)
+    current = id_filter.maybe_in(existing.filter(F.col("is_current")), "transaction_id", ids, bits)
+    return _classified(incoming.select(*INCOMING_COLUMNS), current, "left", tracked)
+
+
+def absent_count(existing: DataFrame, counts: Dict[str, int]) -> int:
+    """Current versions less those that the feed met: one scan of one column."""
+    met = counts["closed"] + counts["unchanged"]
+    return existing.filter(F.col("is_current")).count() - met
+
+
 def _version(prefix: str, start: Column, end: Column, current: Column) -> Column:
     return F.struct(
         *[F.col(f"{prefix}{c}").alias(c) for c in INCOMING_COLUMNS],
@@ -139,31 +167,22 @@ def merge_classified(
 
 
 def class_counts():
-    """Aggregates over a classification: the merge counts, the number of
-    incoming rows, and incoming rows per recon status."""
+    """Aggregates over a classification of incoming rows."""
     ch = F.col("change")
-    incoming = ch != CHANGE_ABSENT
     return [
         F.count_if(ch.isin(CHANGE_NEW, CHANGE_CHANGED)).alias("inserted"),
         F.count_if(ch == CHANGE_CHANGED).alias("closed"),
         F.count_if(ch == CHANGE_UNCHANGED).alias("unchanged"),
         F.count_if(ch == CHANGE_NEW).alias("new_ids"),
-        F.count_if(ch == CHANGE_ABSENT).alias("absent"),
-        F.count_if(incoming).alias("incoming"),
-        *[F.count_if(incoming & (F.col("n_recon_status") == F.lit(s))).alias(s) for s in C.RECON_STATUSES],
     ]
 
 
-def initial_counts():
-    """The same counts as :func:`class_counts`, over the rows of a first load."""
-    rows, none = F.count(F.lit(1)), F.lit(0).cast("bigint")
+def incoming_counts():
+    """Aggregates over incoming rows: how many, on how many dates (about), and
+    per recon status."""
     return [
-        rows.alias("inserted"),
-        F.sum(none).alias("closed"),
-        F.sum(none).alias("unchanged"),
-        rows.alias("new_ids"),
-        F.sum(none).alias("absent"),
-        rows.alias("incoming"),
+        F.count(F.lit(1)).alias("incoming"),
+        F.approx_count_distinct("transaction_date").alias("dates"),
         *[F.count_if(F.col("recon_status") == F.lit(s)).alias(s) for s in C.RECON_STATUSES],
     ]
 
@@ -188,14 +207,7 @@ def scd2_counts(classified: DataFrame) -> DataFrame:
 
     A global aggregate: each task pre-aggregates, one tiny final merge.
     """
-    ch = F.col("change")
-    return classified.agg(
-        F.count_if(ch.isin(CHANGE_NEW, CHANGE_CHANGED)).alias("inserted"),
-        F.count_if(ch == CHANGE_CHANGED).alias("closed"),
-        F.count_if(ch == CHANGE_UNCHANGED).alias("unchanged"),
-        F.count_if(ch == CHANGE_NEW).alias("new_ids"),
-        F.count_if(ch == CHANGE_ABSENT).alias("absent"),
-    )
+    return classified.agg(*class_counts(), F.count_if(F.col("change") == CHANGE_ABSENT).alias("absent"))
 
 
 def incoming_of(classified: DataFrame, *changes: str) -> DataFrame:

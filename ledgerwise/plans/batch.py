@@ -1,20 +1,20 @@
 """One batch run: ingest -> DQ -> reconcile -> quarantine -> SCD2 -> summary.
 
-Every count of the run summary rides on a write as observed metrics, so no
-extra pass over the data runs for them. The caller owns the session.
+Every count of the run summary rides on a write as observed metrics; only the
+number of ids absent from the feed takes a scan of one column. The caller owns the session.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
-from typing import Dict, Optional, Sequence, Union
+from typing import Dict, Optional, Sequence, Tuple, Union
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
-from ledgerwise.operators import dq, quarantine, reconcile, scd2
+from ledgerwise.operators import quarantine, reconcile, routing, scd2
 from ledgerwise.sources import ndjson, tables
 
 
@@ -113,23 +113,24 @@ def run_batch_lines(
     ts = parse_run_ts(run_ts)
     run_date = run_date or ts.date()
 
-    # Both writes start from the parsed inputs: they are written once to the
-    # shared scratch folder, where a lost executor takes nothing with it.
-    txn_parsed = tables.staged(ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA), "parsed-transactions")
-    ledger_parsed = tables.staged(ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA), "parsed-ledger")
-    txn_clean, txn_corrupt = ndjson.split_corrupt(txn_parsed)
-    ledger_clean, ledger_corrupt = ndjson.split_corrupt(ledger_parsed)
+    # One pass over each input: every row is parsed, flagged and routed once.
+    txn = routing.route_transactions(ndjson.parse_json_lines(txn_lines, C.TRANSACTION_SCHEMA), run_date)
+    ledger = routing.route_ledger(ndjson.parse_json_lines(ledger_lines, C.LEDGER_SCHEMA))
+    latest, latest_ledger = routing.latest_transactions(txn), routing.latest_ledger(ledger)
 
-    checked = dq.dedup_latest(dq.apply_dq_rules(txn_clean, run_date))
-    ledger_split = reconcile.unique_ledger(ledger_clean)
-    reconciled = reconcile.reconcile(checked.kept, ledger_split.unique, amount_tolerance, dedup_ledger=False)
+    # One aggregate by id gives both sinks their start: the reconciled latest
+    # rows for the curated table, and for the quarantine the ids that have others.
+    reconciled = reconcile.reconcile(latest.counted, latest_ledger.winners, amount_tolerance, dedup_ledger=False, carry=["_rows"])
+    incoming, seen = stage_incoming(reconciled, F.count_if(F.col("_rows") > 1).alias("repeated"))
 
-    q_obs = Observation("quarantine")
-    all_quarantine = quarantine.build_quarantine(txn_corrupt, ledger_corrupt, checked.quarantine(), ledger_split.surplus)
-    tables.write_quarantine(all_quarantine, quarantine_path, scenario, ts, q_obs, _quarantine_metrics())
-    qc = q_obs.get
+    rejected = txn.rejected.unionByName(ledger.rejected)
+    rejected = rejected.unionByName(quarantine.ledger_to_quarantine(latest_ledger.losers))
+    if seen.pop("repeated"):
+        losers = latest.losers_among(incoming.filter(F.col("_rows") > 1).select("transaction_id"))
+        rejected = rejected.unionByName(routing.duplicates_to_quarantine(losers))
+    qc = tables.write_quarantine(rejected, quarantine_path, scenario, ts, *_quarantine_metrics())
 
-    cc = scd2_load(spark, reconciled, ts, curated_path, tracked, rewrite, incoming_unique=True)
+    cc = scd2_load(spark, incoming, ts, curated_path, tracked, rewrite, staged_counts=seen)
 
     counts: Dict[str, int] = {k: int(v) for k, v in {**qc, **cc}.items()}
     counts["dq_passed"] = counts["incoming"]
@@ -144,6 +145,14 @@ def run_batch_lines(
 REWRITES = ("affected", "full")
 
 
+def stage_incoming(incoming: DataFrame, *metrics) -> Tuple[DataFrame, Dict[str, int]]:
+    """Incoming rows (one per id) written once to the scratch folder, and their
+    counts, observed in that write's last stage."""
+    seen = Observation()
+    stored = tables.staged(incoming.observe(seen, *scd2.incoming_counts(), *metrics), "incoming")
+    return stored, {k: int(v) for k, v in seen.get.items()}
+
+
 def scd2_load(
     spark: SparkSession,
     incoming: DataFrame,
@@ -151,45 +160,46 @@ def scd2_load(
     curated_path: str,
     tracked: Sequence[str] = C.SCD2_TRACKED_FIELDS,
     rewrite: str = "affected",
-    incoming_unique: bool = False,
+    staged_counts: Optional[Dict[str, int]] = None,
 ) -> Dict[str, int]:
     """Merge ``incoming`` into the curated table and return the run counts.
 
-    The caller chooses how the table is written, and nothing else decides:
+    The table is opened at one version, and all that is read and published
+    refers to it; :class:`ledgerwise.sources.tables.ConcurrentWrite` means that
+    another run came in between and nothing was changed.
 
-    The classification (the full-outer join) runs once; only its CHANGED and
-    NEW rows are written to the scratch folder, and all counts are observed in
-    that write's last stage. The new content is the stored rows with the
-    changed versions closed, plus the opened ones:
+    ``incoming`` is reduced to one row per id and staged, unless
+    ``staged_counts`` says that it comes from :func:`stage_incoming`. The
+    classification is a left join bounded by the feed
+    (:func:`ledgerwise.operators.scd2.classify_feed`); its CHANGED and NEW rows are
+    written to the scratch folder, with the counts observed there. The new content
+    is the stored rows with the changed versions closed, plus the opened ones:
 
     * ``rewrite="full"``: of all partitions, as a new whole table;
     * ``rewrite="affected"``: of the partitions of the changed business dates;
       the others are neither read again nor written, and without a change
       nothing is written.
 
-    Both publish one snapshot (see :mod:`ledgerwise.sources.tables`) and return
-    the same counts. The first load writes the whole table at once, and the
-    first load onto a plain Parquet table replaces it.
+    The caller chooses, and both return the same counts. A first load is a load
+    into an empty table; one onto a plain Parquet table replaces it as a whole.
     """
     if rewrite not in REWRITES:
         raise ValueError(f"rewrite is one of {REWRITES}")
-    if not incoming_unique:
-        incoming = scd2.one_per_id(incoming)
-    incoming = incoming.select(*scd2.INCOMING_COLUMNS)
-    existing = tables.read_curated(spark, curated_path)
-    obs = Observation("scd2")
-    if existing is None:
-        tables.write_curated(scd2.scd2_initial(incoming, ts, incoming_unique=True), curated_path, obs, scd2.initial_counts())
-        return {k: int(v or 0) for k, v in obs.get.items()}
-    classified = scd2.classify(existing, incoming, tracked, incoming_unique=True).observe(obs, *scd2.class_counts())
-    is_change = F.col("change").isin(scd2.CHANGE_CHANGED, scd2.CHANGE_NEW)
-    changes = tables.staged(classified.filter(is_change), "changes")
-    counts = {k: int(v) for k, v in obs.get.items()}
-    if rewrite == "full" or not tables.is_snapshot_table(spark, curated_path):
-        tables.write_curated(scd2.merge_affected(existing, changes, ts), curated_path)
+    if staged_counts is None:
+        incoming, staged_counts = stage_incoming(scd2.one_per_id(incoming))
+    # a date's rows: about as many ids as a file of the date has
+    table = tables.curated_table(spark, curated_path, staged_counts["incoming"] // max(staged_counts["dates"], 1))
+    existing = table.frame()
+    seen = Observation()
+    classified = scd2.classify_feed(existing, incoming, staged_counts["incoming"], tracked).observe(seen, *scd2.class_counts())
+    changes = tables.staged(classified.filter(F.col("change").isin(scd2.CHANGE_CHANGED, scd2.CHANGE_NEW)), "changes")
+    counts = {**staged_counts, **{k: int(v) for k, v in seen.get.items()}}
+    counts["absent"] = scd2.absent_count(existing, counts)
+    if rewrite == "full" or not table.folders:
+        table.replace(scd2.merge_affected(existing, changes, ts))
     elif counts["inserted"]:
-        stored = tables.read_curated(spark, curated_path, scd2.affected_dates(changes))
-        tables.write_snapshot(scd2.merge_affected(stored, changes, ts), curated_path, "transaction_date", replace_all=False)
+        dates = [r[0] for r in scd2.affected_dates(changes).collect()]  # bounded by the calendar
+        table.update(scd2.merge_affected(table.frame(dates), changes, ts))
     return counts
 
 

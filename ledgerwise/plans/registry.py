@@ -57,16 +57,20 @@ def _quarantine_view(q: DataFrame) -> DataFrame:
     )
 
 
-def _stored_quarantine(s: Scenario) -> DataFrame:
+def _quarantine_path(s: Scenario) -> str:
     path = tables.scratch_path(s.spark, "quarantine")
     tables.write_quarantine(s.quarantine_all, path, "initial", s.run_ts_initial)
-    return tables.read_quarantine(s.spark, path)
+    return path
 
 
-def _stored_curated(s: Scenario) -> DataFrame:
+def _curated_path(s: Scenario) -> str:
     path = tables.scratch_path(s.spark, "curated")
     tables.write_curated(s.curated_merged, path)
-    return tables.read_curated(s.spark, path)
+    return path
+
+
+def _stored_curated(s: Scenario) -> DataFrame:
+    return tables.read_curated(s.spark, _curated_path(s))
 
 
 def _batch_curated(rewrite: str) -> Callable[[Scenario], DataFrame]:
@@ -142,9 +146,9 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "quarantine_browse": lambda s: _quarantine_view(
         Q.browse_quarantine(s.quarantine_all, oracle.QUARANTINE_BROWSE_FLAGS)
     ),
-    "quarantine_roundtrip": lambda s: _quarantine_view(_stored_quarantine(s)),
+    "quarantine_roundtrip": lambda s: _quarantine_view(tables.read_quarantine(s.spark, _quarantine_path(s))),
     "quarantine_browse_stored": lambda s: _quarantine_view(
-        Q.browse_quarantine(_stored_quarantine(s), oracle.QUARANTINE_BROWSE_FLAGS)
+        Q.browse_stored_quarantine(s.spark, _quarantine_path(s), oracle.QUARANTINE_BROWSE_FLAGS)
     ),
     "ledger_surplus": lambda s: _quarantine_view(Q.build_quarantine(None, None, None, s.repeated_ledger_split.surplus)),
     "ledger_surplus_counts": lambda s: reconcile.surplus_counts(s.repeated_ledger),
@@ -153,7 +157,7 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "recon_rows": lambda s: s.reconciled,
     "recon_status_counts": lambda s: reports.status_counts(s.reconciled),
     "recon_repeated_ledger": lambda s: s.reconciled_repeated,
-    "recon_breaks": lambda s: reports.recon_breaks(tables.staged(s.reconciled, "reconciled")),
+    "recon_breaks": lambda s: reports.recon_breaks(s.reconciled),
     "recon_breaks_chosen": lambda s: reports.recon_breaks(s.reconciled, oracle.CHOSEN_STATUSES),
     "recon_split": lambda s: summary.recon_split(s.reconciled),
     "run_summary": lambda s: s.summary,
@@ -180,8 +184,8 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "curated_browse": lambda s: reports.curated_browse(
         s.curated_merged, oracle.BROWSE_DATES, oracle.BROWSE_STATUSES, current_only=True
     ),
-    "curated_browse_stored": lambda s: reports.curated_browse(
-        _stored_curated(s), oracle.BROWSE_DATES, oracle.BROWSE_STATUSES, current_only=True
+    "curated_browse_stored": lambda s: reports.browse_stored_curated(
+        s.spark, _curated_path(s), oracle.BROWSE_DATES, oracle.BROWSE_STATUSES, current_only=True
     ),
     "distinct_values": _distinct_values,
     "curated_roundtrip": _stored_curated,

@@ -7,13 +7,13 @@ operators. Nothing is executed until a caller runs an action.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwise import constants as C
-from ledgerwise.operators import dq, quarantine, reconcile, scd2, summary
+from ledgerwise.operators import dq, quarantine, reconcile, routing, scd2, summary
 from ledgerwise.sources import feeds, ndjson
 
 
@@ -119,13 +119,26 @@ class Scenario:
         return reconcile.reconcile(self.clean, self.repeated_ledger)
 
     # --- quarantine ------------------------------------------------------------
+    @cached_property
+    def routed_feed(self) -> routing.Routed:
+        """The feed after one pass over it (staged)."""
+        return routing.route_transactions(self.feed, self.run_date)
+
+    @cached_property
+    def routed_ledger(self) -> routing.Routed:
+        """The repeated ledger after one pass over it (staged)."""
+        return routing.route_ledger(self.repeated_ledger)
+
     @cached_property
     def quarantine_all(self) -> DataFrame:
         """Corrupt event lines + corrupt ledger lines + DQ rejects of the feed
-        + surplus rows of the repeated ledger."""
-        return quarantine.build_quarantine(
-            self.event_split[1], self.ledger_lines_split[1], self.dq_quarantine, self.repeated_ledger_split.surplus
-        )
+        + surplus rows of the repeated ledger. Each input is scanned once; only
+        the repeated ids of the routed OK rows are looked at again."""
+        corrupt = quarantine.build_quarantine(self.event_split[1], self.ledger_lines_split[1], None)
+        duplicates = routing.duplicates_to_quarantine(routing.latest_transactions(self.routed_feed).losers)
+        surplus = quarantine.ledger_to_quarantine(routing.latest_ledger(self.routed_ledger).losers)
+        parts = [self.routed_feed.rejected, duplicates, self.routed_ledger.rejected, surplus]
+        return reduce(DataFrame.unionByName, parts, corrupt)
 
     # --- summary -----------------------------------------------------------------
     @cached_property

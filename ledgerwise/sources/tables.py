@@ -1,83 +1,86 @@
 """Reading and writing the curated and quarantine Parquet tables.
 
-A table is a folder of immutable snapshots and small published manifests:
-
-    <table>/_data/snap=<id>/<partition>=<value>/part-*.parquet
+    <table>/_data/snap=<time>-<id>/<partition>=<value>/part-*.parquet
     <table>/_published/<version>
 
-A write puts its files into a new ``snap=`` folder and then publishes one
-manifest, which names the folder of every partition. A manifest is one small
-file whose last line marks it as complete, so a table is always exactly what
-its highest complete manifest says: a write that dies at any step changes
-nothing, and the next write starts from the published state. Partitions that a
-write does not touch stay where they are. Files no longer named are deleted
-only after the next manifest is published, and the previous one is kept, so a
-reader of it is not cut off.
-
-A folder without manifests that holds Parquet files or partitions is read as a
-plain Parquet table (and becomes a snapshot table on the next write). Any other
-non-empty folder is an error: it never counts as "no table yet".
-
-File-system calls go through Hadoop's ``FileSystem``, so paths on any cluster
-store work. Scratch space is taken from the shared folder the session names in
-``spark.checkpoint.dir``.
+A write puts its files into a new ``snap=`` folder, by Spark's partitioned
+Parquet writer, and then publishes one small pointer file that names the
+snapshot of every partition. A table is what its highest version says, so a
+write that dies at any step changes nothing.
+
+A :class:`Table` is opened at one version and writes against it: publishing
+fails with :class:`ConcurrentWrite` if any other version came in between, and
+the caller runs again on the new state. The pointer appears by a rename that
+does not replace, which is atomic on HDFS and alike; on a store without such a
+rename, writers of one table have to take turns. A snapshot that does not hold
+every partition value its write has seen is not published. Files that no recent
+version names are deleted only once they are GRACE_SECONDS old, so neither a
+slow writer nor a reader of the version before loses any.
+
+A folder with Parquet files or partitions and no pointer is read as a plain
+table, and replaced as a whole by the next write. Any other non-empty folder is
+an error; an absent or empty one is an empty table.
 """
 
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
-from typing import Dict, Iterable, List, Optional
+from typing import Dict, Iterable, List, Optional, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from ledgerwise import constants as C
 from ledgerwise.functions import ts_literal
 
-DATA, PUBLISHED, COMPLETE = "_data", "_published", "complete"
+DATA, PUBLISHED, NULL_VALUE = "_data", "_published", "__HIVE_DEFAULT_PARTITION__"
+#: More than the longest write of a table takes.
+GRACE_SECONDS = 24 * 3600
 
 
 # --- file system -------------------------------------------------------------
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _entries(spark: SparkSession, path: str) -> Dict[str, float]:
+    """A folder's entries and their times in seconds; none if it is absent."""
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _names(spark: SparkSession, path: str) -> List[str]:
-    """Names of a folder's entries; none if it is absent."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [entry.getName() for entry in spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))]
+    return {e.getPath().getName(): e.getModificationTime() / 1000 for e in fs.listStatus(p)} if fs.exists(p) else {}
 
 
 def _read_small(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
-    size = int(fs.getFileStatus(p).getLen())
     stream = fs.open(p)
     try:
-        return bytes(stream.readNBytes(size)).decode("utf-8")
+        return bytes(stream.readAllBytes()).decode("utf-8")
     finally:
         stream.close()
 
 
-def _write_small(spark: SparkSession, path: str, text: str) -> None:
-    """Create a new file; an existing one is an error (two writers)."""
-    fs, p = _fs(spark, path)
-    stream = fs.create(p, False)
+def _create(spark: SparkSession, path: str, name: str, text: str) -> bool:
+    """A new file, complete from the moment it has its name; False if the name
+    is taken."""
+    fs, hidden = _fs(spark, f"{path}/.{uuid.uuid4().hex}")
+    stream = fs.create(hidden, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    never_replace = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
+        context.rename(hidden, jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), never_replace)
+    except Exception:
+        if name in _entries(spark, path):
+            return False
+        raise
+    return True
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -103,183 +106,168 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/ledgerwise/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# --- manifests ---------------------------------------------------------------
-
-
-class Manifest:
-    """A published state: ``version`` and the snapshot of each partition folder."""
-
-    def __init__(self, version: int, folders: Dict[str, str]):
-        self.version, self.folders = version, folders
-
-    def text(self) -> str:
-        return "".join(f"{folder}\t{snap}\n" for folder, snap in sorted(self.folders.items())) + f"{COMPLETE}\n"
-
-    @staticmethod
-    def parse(version: int, text: str) -> Optional["Manifest"]:
-        lines = text.split("\n")
-        if lines[-2:] != [COMPLETE, ""]:
-            return None
-        return Manifest(version, dict(line.split("\t") for line in lines[:-2]))
-
-
-def _manifests(spark: SparkSession, path: str) -> List[Manifest]:
-    """Complete manifests, the newest first; an incomplete one was never
-    published."""
-    versions = sorted((int(n) for n in _names(spark, f"{path}/{PUBLISHED}") if n.isdigit()), reverse=True)
-    found = (Manifest.parse(v, _read_small(spark, f"{path}/{PUBLISHED}/{v:010d}")) for v in versions)
-    return [m for m in found if m is not None]
-
-
-def _plain_table(spark: SparkSession, path: str) -> bool:
-    """Whether the folder is a plain Parquet table; raises when it is neither
-    that nor free for a new table."""
-    visible = [n for n in _names(spark, path) if not n.startswith(("_", "."))]
-    if not visible:
-        return False
-    if all("=" in n or n.endswith(".parquet") for n in visible):
-        return True
-    raise ValueError(f"{path} is neither empty nor a table: {', '.join(visible[:5])}")
-
-
-def has_table(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a table; raises on a doubtful state."""
-    path = path.rstrip("/")
-    if _manifests(spark, path):
-        return True
-    return _plain_table(spark, path)
-
-
-def is_snapshot_table(spark: SparkSession, path: str) -> bool:
-    return bool(_manifests(spark, path.rstrip("/")))
-
-
-def _read(spark: SparkSession, path: str, schema, folders: Optional[Iterable[str]] = None) -> Optional[DataFrame]:
-    """The table, or only its named partition folders; None without a table."""
-    path = path.rstrip("/")
-    if not has_table(spark, path):
-        return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    published = _manifests(spark, path)
-    if not published:
-        wanted = [f"{path}/{f}" for f in folders] if folders is not None else [path]
-        return reader.option("basePath", path).parquet(*[w for w in wanted if path_exists(spark, w)])
-    own = published[0].folders
-    wanted = [f for f in folders if f in own] if folders is not None else list(own)
-    if not wanted:
-        return None
-    missing = {s for s in own.values()} - set(_names(spark, f"{path}/{DATA}"))
-    if missing:
-        raise ValueError(f"{path}: the published version names missing data: {', '.join(sorted(missing)[:5])}")
-    snaps = set(own.values())
-    if folders is None and len(snaps) == 1:  # nothing in it is superseded: a later snapshot would be named too
-        roots = [f"{path}/{DATA}/{s}" for s in snaps]
-    else:
-        roots = [f"{path}/{DATA}/{own[f]}/{f}" for f in wanted]
-    return reader.option("basePath", f"{path}/{DATA}").parquet(*roots).drop("snap")
-
-
-def _publish(spark: SparkSession, path: str, snap: str, replace_all: bool) -> None:
-    """Name the snapshot's partitions in a new manifest, then delete what
-    neither it nor the one before names."""
-    before = _manifests(spark, path)
-    version = max([int(n) for n in _names(spark, f"{path}/{PUBLISHED}") if n.isdigit()], default=0) + 1
-    folders = {n: snap for n in _names(spark, f"{path}/{DATA}/{snap}") if "=" in n}
-    if not replace_all and before:
-        folders = {**before[0].folders, **folders}
-    now = Manifest(version, folders)
-    _write_small(spark, f"{path}/{PUBLISHED}/{version:010d}", now.text())
-    _clean(spark, path, now, before[:1])
-
-
-def _clean(spark: SparkSession, path: str, now: Manifest, before: List[Manifest]) -> None:
-    keep = {s for m in [now, *before] for s in m.folders.values()}
-    for name in _names(spark, f"{path}/{DATA}"):
-        if name not in keep:
-            _delete(spark, f"{path}/{DATA}/{name}")
-    for name in _names(spark, f"{path}/{PUBLISHED}"):
-        if name.isdigit() and int(name) < min(m.version for m in [now, *before]):
-            _delete(spark, f"{path}/{PUBLISHED}/{name}")
-    for name in _names(spark, path):  # a plain table that the manifest has replaced
-        if not name.startswith(("_", ".")):
-            _delete(spark, f"{path}/{name}")
-
-
-def write_snapshot(
-    df: DataFrame, path: str, partition_by: str, observation=None, metrics=None, replace_all: bool = True
-) -> None:
-    """Write ``df`` into a new snapshot and publish it: as the whole table, or
-    (``replace_all=False``) as the new content of the partitions it has.
-
-    ``df`` may read the same table. Rows are rebalanced on the partition column
-    first: AQE splits a hot partition value over several tasks and merges small
-    ones. ``observation`` (a ``pyspark.sql.Observation``) is filled with
-    ``metrics`` (default: row count) after that exchange, in the final stage,
-    so a re-run of an earlier stage can never count rows twice.
-    """
-    spark, path = df.sparkSession, path.rstrip("/")
-    plain = not _manifests(spark, path) and has_table(spark, path)
-    if plain and not replace_all:
-        raise ValueError("a plain Parquet table has to be replaced as a whole first")
-    snap = f"snap={uuid.uuid4().hex}"
-    out = df.hint("rebalance", partition_by)
-    if observation is not None:
-        out = out.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")]))
-    out.write.partitionBy(partition_by).parquet(f"{path}/{DATA}/{snap}")
-    _publish(spark, path, snap, replace_all)
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, in a way that the optimizer knows it."""
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+# --- tables --------------------------------------------------------------------
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published since the table was opened."""
+
+
+class Table:
+    """A stored table at the version it had when it was opened (0: none yet).
+
+    ``folders`` names the snapshot of every partition. ``order`` sorts rows
+    inside files; ``options`` go to the Parquet writer."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, partition_by: str, order: Sequence[str] = (), options: Optional[Dict[str, str]] = None
+    ):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_by, self.order, self.options = partition_by, order, options or {}
+        versions = self._versions()
+        self.version, self.folders = (versions[-1], self._pointer(versions[-1])) if versions else (0, {})
+        visible = [n for n in _entries(spark, self.path) if not n.startswith(("_", "."))]
+        self.plain = not versions and bool(visible)
+        if self.plain and not all("=" in n or n.endswith(".parquet") for n in visible):
+            raise ValueError(f"{path} is neither empty nor a table: {', '.join(visible[:5])}")
+
+    def _versions(self) -> List[int]:
+        return sorted(int(n) for n in _entries(self.spark, f"{self.path}/{PUBLISHED}") if n.isdigit())
+
+    def _pointer(self, version: int) -> Dict[str, str]:
+        lines = _read_small(self.spark, f"{self.path}/{PUBLISHED}/{version:010d}").split("\n")
+        return dict(line.split("\t") for line in lines if "\t" in line)
+
+    def frame(self, values: Optional[Iterable] = None) -> DataFrame:
+        """The rows, or those of some partition values: other partitions are
+        neither listed nor opened. Without a row, an empty frame of the schema.
+        The schema is given, so no file footer is read to infer it."""
+        wanted = None if values is None else {f"{self.partition_by}={NULL_VALUE if v is None else v}" for v in values}
+        if self.plain:
+            base = self.path
+            roots = [base] if wanted is None else [f"{base}/{n}" for n in _entries(self.spark, base) if n in wanted]
+        else:
+            base = f"{self.path}/{DATA}"
+            own = {f: s for f, s in self.folders.items() if wanted is None or f in wanted}
+            snaps = set(own.values())
+            missing = snaps - set(_entries(self.spark, base)) if snaps else set()
+            if missing:
+                raise ValueError(f"{self.path}: version {self.version} names missing data: {', '.join(sorted(missing)[:5])}")
+            # a snapshot that is named alone has no superseded partition
+            whole = wanted is None and len(snaps) == 1
+            roots = [f"{base}/{s}" for s in snaps] if whole else [f"{base}/{s}/{f}" for f, s in own.items()]
+        if not roots:
+            return empty(self.spark, self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", base).parquet(*roots).select(*self.schema.fieldNames())
+
+    def replace(self, df: DataFrame, *metrics: Column) -> Dict:
+        """Make ``df`` (which may read this table) the whole table; the observed ``metrics``."""
+        return self._write(df, {}, metrics)
+
+    def update(self, df: DataFrame, *metrics: Column) -> Dict:
+        """Make ``df`` the new content of the partitions it has."""
+        if self.plain:
+            raise ValueError("a plain Parquet table has to be replaced as a whole first")
+        return self._write(df, self.folders, metrics)
+
+    def _write(self, df: DataFrame, kept: Dict[str, str], metrics: Sequence[Column]) -> Dict:
+        # Rows are rebalanced on the partition column: AQE splits a hot value
+        # over several tasks and merges small ones. Metrics are observed after
+        # that, in the final stage, which cannot count a row twice.
+        snap, seen = f"snap={int(time.time())}-{uuid.uuid4().hex}", Observation()
+        value = F.coalesce(F.nullif(F.col(self.partition_by).cast("string"), F.lit("")), F.lit(NULL_VALUE))
+        out = df.select(*self.schema.fieldNames()).hint("rebalance", self.partition_by)
+        out = out.observe(seen, F.collect_set(value).alias("__values"), *metrics).sortWithinPartitions(self.partition_by, *self.order)
+        out.write.options(**self.options).partitionBy(self.partition_by).parquet(f"{self.path}/{DATA}/{snap}")
+        counts = dict(seen.get)
+        written = [n for n in _entries(self.spark, f"{self.path}/{DATA}/{snap}") if "=" in n]
+        if len(written) != len(counts.pop("__values")):
+            raise ValueError(f"{self.path}: {snap} lacks partitions that were written")
+        self._publish({**kept, **{f: snap for f in written}})
+        return counts
+
+    def _publish(self, folders: Dict[str, str]) -> None:
+        text = "".join(f"{f}\t{s}\n" for f, s in sorted(folders.items()))
+        newest = max(self._versions(), default=0)
+        if newest != self.version or not _create(self.spark, f"{self.path}/{PUBLISHED}", f"{self.version + 1:010d}", text):
+            raise ConcurrentWrite(f"{self.path}: version {self.version} was read, and another was published since")
+        before, self.version, self.folders, self.plain = self.folders, self.version + 1, folders, False
+        self._clean({*before.values(), *folders.values()})
+
+    def _clean(self, named: Iterable[str]) -> None:
+        old = time.time() - GRACE_SECONDS
+        for name in _entries(self.spark, f"{self.path}/{DATA}"):
+            begun = name.removeprefix("snap=").split("-")[0]
+            if name not in named and begun.isdigit() and int(begun) < old:
+                _delete(self.spark, f"{self.path}/{DATA}/{name}")
+        for name, changed in _entries(self.spark, f"{self.path}/{PUBLISHED}").items():
+            if changed < old and not (name.isdigit() and int(name) >= self.version - 1):
+                _delete(self.spark, f"{self.path}/{PUBLISHED}/{name}")
+        for name in _entries(self.spark, self.path):  # a plain table that the pointer has replaced
+            if not name.startswith(("_", ".")):
+                _delete(self.spark, f"{self.path}/{name}")
 
 
 # --- curated and quarantine --------------------------------------------------
 
+#: Distinct ids that a file's Bloom filter is made for, unless the writer knows
+#: better: 1.2 KB; and the most, that is 1.2 MB a row group.
+FILE_IDS, MAX_FILE_IDS = 1 << 10, 1 << 20
+
+
+QUARANTINE_SCHEMA = StructType(
+    [StructField(c, StringType()) for c in [*C.QUARANTINE_COLUMNS, "run_scenario"]] + [StructField("quarantined_at", TimestampNTZType())]
+)
+
 
-def read_curated(spark: SparkSession, path: str, dates: Optional[DataFrame] = None) -> Optional[DataFrame]:
-    """The curated table in its column order, or None before the first load.
-    The schema is given, so no file footer is read to infer it. ``dates``
-    (``transaction_date``, distinct: bounded by the calendar) picks partition
-    folders; no other is listed or read."""
+def curated_table(spark: SparkSession, path: str, file_ids: int = FILE_IDS) -> Table:
+    """The curated table, partitioned by business date. Files are sorted by id
+    and carry a Bloom filter of their ids, made for ``file_ids`` of them: a lookup
+    of one id skips the row groups that cannot have it."""
     from ledgerwise.operators.scd2 import CURATED_SCHEMA
 
-    folders = None
-    if dates is not None:
-        folders = [f"transaction_date={r[0] or '__HIVE_DEFAULT_PARTITION__'}" for r in dates.select(F.col("transaction_date").cast("string")).collect()]
-    df = _read(spark, path, CURATED_SCHEMA, folders)
-    if df is None and dates is not None:
-        return spark.createDataFrame([], CURATED_SCHEMA).select(*C.CURATED_COLUMNS)
-    return None if df is None else df.select(*C.CURATED_COLUMNS)
+    lookup = {
+        "parquet.bloom.filter.enabled#transaction_id": "true",
+        "parquet.bloom.filter.expected.ndv#transaction_id": str(min(max(file_ids, FILE_IDS), MAX_FILE_IDS)),
+    }
+    return Table(spark, path, CURATED_SCHEMA, "transaction_date", ["transaction_id"], lookup)
 
 
-def write_curated(df: DataFrame, path: str, observation=None, metrics=None) -> None:
-    """Replace the curated table, partitioned by business date."""
-    write_snapshot(df.select(*C.CURATED_COLUMNS), path, "transaction_date", observation, metrics)
+def quarantine_table(spark: SparkSession, path: str) -> Table:
+    """The quarantine table, partitioned by flag."""
+    return Table(spark, path, QUARANTINE_SCHEMA, "dq_flag")
 
 
-def with_run_columns(quarantine: DataFrame, run_scenario: str, run_ts) -> DataFrame:
-    return quarantine.withColumn("run_scenario", F.lit(run_scenario)).withColumn(
-        "quarantined_at", ts_literal(run_ts)
-    )
+def read_curated(spark: SparkSession, path: str, dates: Optional[Iterable] = None) -> DataFrame:
+    return curated_table(spark, path).frame(dates)
 
 
-def write_quarantine(
-    quarantine: DataFrame, path: str, run_scenario: str, run_ts, observation=None, metrics=None
-) -> None:
-    """Replace the quarantine table, partitioned by flag. The whole table is
-    replaced, so flags of an earlier run that are absent now do not linger."""
-    write_snapshot(with_run_columns(quarantine, run_scenario, run_ts), path, "dq_flag", observation, metrics)
+def write_curated(df: DataFrame, path: str, *metrics: Column) -> Dict:
+    """Replace the curated table."""
+    return curated_table(df.sparkSession, path).replace(df, *metrics)
 
 
-def read_quarantine(spark: SparkSession, path: str) -> Optional[DataFrame]:
-    df = _read(spark, path, QUARANTINE_SCHEMA)
-    return None if df is None else df.select(*C.QUARANTINE_COLUMNS, "run_scenario", "quarantined_at")
+def read_quarantine(spark: SparkSession, path: str, flags: Optional[Iterable[str]] = None) -> DataFrame:
+    return quarantine_table(spark, path).frame(flags)
 
 
-QUARANTINE_SCHEMA = "transaction_id string, raw_payload string, source_file string, stage string, run_scenario string, quarantined_at timestamp_ntz, dq_flag string"
+def write_quarantine(quarantine: DataFrame, path: str, run_scenario: str, run_ts, *metrics: Column) -> Dict:
+    """Replace the quarantine table. The whole table is replaced, so flags of
+    an earlier run that are absent now do not linger."""
+    rows = quarantine.withColumn("run_scenario", F.lit(run_scenario)).withColumn("quarantined_at", ts_literal(run_ts))
+    return quarantine_table(quarantine.sparkSession, path).replace(rows, *metrics)
 
 
 def write_text_lines(lines: DataFrame, path: str, line_col: str = "value") -> None:
