@@ -296,6 +296,7 @@ QUARANTINE_BROWSE_FLAGS = [C.FLAG_INVALID_DATE, C.FLAG_DUPLICATE, C.FLAG_CORRUPT
 DISTINCT_FIELDS = ["transaction_id", "recon_status", "transaction_date"]
 CHOSEN_STATUSES = [C.RECON_UNRECONCILED, C.RECON_STATUS_MISMATCH]
 HISTORY_ID = "TXN000000008"
+AMOUNT_TOLERANCE = 5.0
 
 
 def _in(values) -> str:
@@ -383,6 +384,14 @@ def _bodies() -> dict:
         "recon_breaks": "SELECT * FROM f_recon WHERE recon_status <> 'MATCHED'",
         "recon_repeated_ledger": "SELECT * FROM r_recon",
         "recon_breaks_chosen": f"SELECT * FROM f_recon WHERE recon_status IN ({_in(CHOSEN_STATUSES)})",
+        "recon_tolerance": f"""
+            SELECT c.transaction_id, c.account_id, c.amount, c.currency, c.transaction_date, c.status, c.updated_at,
+              CASE WHEN l.transaction_id IS NULL THEN 'UNRECONCILED'
+                   WHEN (c.amount IS NULL) <> (l.ledger_amount IS NULL) OR abs(c.amount - l.ledger_amount) > {AMOUNT_TOLERANCE}
+                     THEN 'AMOUNT_MISMATCH'
+                   WHEN c.status IS DISTINCT FROM l.ledger_status THEN 'STATUS_MISMATCH'
+                   ELSE 'MATCHED' END AS recon_status
+            FROM f_clean c LEFT JOIN ledger l ON c.transaction_id = l.transaction_id""",
         "recon_split": """
             SELECT count_if(recon_status <> 'UNRECONCILED') AS reconciled,
                    count_if(recon_status = 'UNRECONCILED') AS unreconciled FROM f_recon""",
@@ -413,6 +422,10 @@ def _bodies() -> dict:
                    count_if(change = 'UNCHANGED') AS unchanged, count_if(change = 'NEW') AS new_ids,
                    count_if(change = 'ABSENT') AS absent
             FROM cls""",
+        "scd2_feed_changes": f"""
+            SELECT {", ".join(f"n_{c} AS {c}" for c in INC.split(", "))}, change, c_amount AS stored_amount,
+                   c_start AS stored_start
+            FROM cls WHERE change <> 'ABSENT'""",
         # --- reports over the merged history
         "scd2_history": """
             SELECT transaction_id,
@@ -441,6 +454,7 @@ def _bodies() -> dict:
         "distinct_values": f"""
             {distinct_union}
             UNION SELECT 'dq_flag', dq_flag FROM f_dedup WHERE dq_flag <> 'OK'""",
+        "pick_list_dates": "SELECT DISTINCT transaction_date AS value FROM merged WHERE transaction_date IS NOT NULL",
         "curated_roundtrip": f"SELECT {CUR} FROM merged",
         "batch_curated": f"SELECT {CUR} FROM merged",
         "batch_curated_full": f"SELECT {CUR} FROM merged",

@@ -1,8 +1,8 @@
 """Named queries over the test tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each query builds a :class:`Scenario` over the whole tables and returns a lazy
-DataFrame; only the ``*_roundtrip`` queries run a write (into the shared
-scratch folder) before returning the read-back table.
+DataFrame. Queries of stored tables, of the whole batch, of the routed quarantine
+and of the stored feed write into the shared scratch folder first.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from ledgerwise import constants as C
 from ledgerwise.operators import quarantine as Q
 from ledgerwise.operators import reconcile, reports, scd2, summary
 from ledgerwise.plans import oracle
+from ledgerwise.plans.batch import run_batch, stage_incoming
 from ledgerwise.plans.scenario import Scenario
 from ledgerwise.sources import ndjson, tables
 
@@ -78,8 +79,6 @@ def _batch_curated(rewrite: str) -> Callable[[Scenario], DataFrame]:
         """The whole batch twice: the feeds and the ledger are written as NDJSON
         files, run_batch ingests them (initial, then updated run), and the
         curated table it maintains is read back."""
-        from ledgerwise.plans.batch import run_batch
-
         spark = s.spark
         root = tables.scratch_path(spark, "batch")
 
@@ -102,6 +101,19 @@ def _third_run(s: Scenario) -> DataFrame:
     return scd2.scd2_merge(_stored_curated(s), s.third_reconciled, s.run_ts_third, incoming_unique=True)
 
 
+def _feed_changes(s: Scenario) -> DataFrame:
+    """The updated feed against the stored initial table, bounded by the feed."""
+    stored = tables.staged(s.curated_initial, "curated-initial")
+    incoming, counts = stage_incoming(s.updated_reconciled)
+    classified = scd2.classify_feed(stored, incoming, counts["incoming"])
+    return classified.select(
+        *[F.col(f"n_{c}").alias(c) for c in scd2.INCOMING_COLUMNS],
+        "change",
+        F.col("c_amount").alias("stored_amount"),
+        F.col("c_effective_start_date").alias("stored_start"),
+    )
+
+
 def _stage_counts(s: Scenario) -> DataFrame:
     return (
         summary.parsed_counts(s.event_lines_parsed, "ingest_transactions")
@@ -159,6 +171,7 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "recon_repeated_ledger": lambda s: s.reconciled_repeated,
     "recon_breaks": lambda s: reports.recon_breaks(s.reconciled),
     "recon_breaks_chosen": lambda s: reports.recon_breaks(s.reconciled, oracle.CHOSEN_STATUSES),
+    "recon_tolerance": lambda s: reconcile.reconcile(s.clean, s.ledger, oracle.AMOUNT_TOLERANCE, dedup_ledger=False),
     "recon_split": lambda s: summary.recon_split(s.reconciled),
     "run_summary": lambda s: s.summary,
     "run_headline": lambda s: summary.run_headline(s.summary),
@@ -174,6 +187,7 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
     "scd2_kept_current": lambda s: scd2.kept_current(s.classified),
     "scd2_opened": lambda s: scd2.opened_versions(s.classified, s.run_ts_updated),
     "scd2_third_run": _third_run,
+    "scd2_feed_changes": _feed_changes,
     "scd2_counts": lambda s: scd2.scd2_counts(s.classified),
     # reports over the merged history
     "scd2_history": lambda s: reports.scd2_history(s.curated_merged),
@@ -188,6 +202,7 @@ _REGISTRY: Dict[str, Callable[[Scenario], DataFrame]] = {
         s.spark, _curated_path(s), oracle.BROWSE_DATES, oracle.BROWSE_STATUSES, current_only=True
     ),
     "distinct_values": _distinct_values,
+    "pick_list_dates": lambda s: reports.pick_list(s.curated_merged, "transaction_date"),
     "curated_roundtrip": _stored_curated,
     # end to end: NDJSON files -> run_batch (initial, updated) -> curated table
     "batch_curated": _batch_curated("affected"),
