@@ -45,13 +45,32 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _restored(kept, docs.columns, text=F.col("text"), n_chars=F.char_length("text").cast("long"))
 
 
+#: Ids of further texts under one doc_id lie from here on, above real ones.
+EXTRA = 1 << 62
+
+
+def _units(docs: DataFrame) -> DataFrame:
+    """``unit``, ``text`` and ``__row``: every text of a doc_id is a unit of its own.
+    The least digest keeps the doc_id, the others get an id of their hash."""
+    docs = docs.filter(F.col("doc_id").isNotNull())
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    texts = docs.groupBy("doc_id").agg(F.min(digest).alias("__least"), F.max(digest).alias("__most"))
+    several = stage(texts.filter("__least < __most").select("doc_id", "__least"), "several")  # staged: its size decides the join
+    own = _carried(docs).join(several, "doc_id", "left")
+    extra = F.col("__least").isNotNull() & (digest != F.col("__least"))
+    other = F.xxhash64("doc_id", digest).bitwiseAND(F.lit(EXTRA - 1)).bitwiseOR(F.lit(EXTRA))
+    return own.select(F.when(extra, other).otherwise(F.col("doc_id")).alias("unit"), "text", "__row")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group stays, once. Rows without an id have
-    no group and stay."""
-    kept = near_dup.near_duplicates(docs.select("doc_id", "text")).filter(F.col("kept") & F.col("doc_id").isNotNull())
-    kept = stage(kept.select("doc_id").distinct(), "kept")
-    own = _carried(docs).filter(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    own = own.groupBy("doc_id").agg(F.min_by("__row", F.coalesce("text", F.lit(""))).alias("__row"))
+    """The smallest doc_id of each group stays, once. Different texts under one
+    doc_id are compared like those of different documents: of a group, a text
+    whose doc_id has it alone stays before others. Rows without an id have no
+    group and stay."""
+    units = _units(docs)
+    kept = near_dup.near_duplicates(units.select(F.col("unit").alias("doc_id"), "text")).filter(F.col("kept"))
+    kept = stage(kept.select(F.col("doc_id").alias("unit")).distinct(), "kept")
+    own = units.join(kept, "unit", "left_semi").groupBy("unit").agg(F.min_by("__row", F.coalesce("text", F.lit(""))).alias("__row"))
     return _restored(own, docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
