@@ -76,6 +76,17 @@ def test_near_duplicate_stage(steps):
     assert not set(range(91, 100)) & set(kept)
 
 
+def test_texts_under_one_id_are_units(spark):
+    words = [f"w{k}" for k in range(60)]
+    one, other = " ".join(words[:30]), " ".join(words[30:])
+    rows = [(5, one), (5, other), (5, other), (7, other + " more"), (8, "alone and short"), (9, None), (9, "text beside null"), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(pairs(P.drop_near_duplicates(spark, docs, "unused")), key=str)
+    kept = [t for _, t in got]
+    assert kept.count(one) == 2 and {other, other + " more"} & set(kept) and len({other, other + " more"} & set(kept)) == 1
+    assert sorted(str(i) for i, _ in got).count("9") == 2 and (8, "alone and short") in got and len(got) == 6
+
+
 def test_mixing_and_packing_stages(steps):
     total = sum(len(WORD.findall(t or "")) for _, t in pairs(steps["near_dup"]))
     mixed = [len(WORD.findall(t)) for _, t in pairs(steps["mixing"])]
@@ -95,7 +106,7 @@ def test_empty_table(spark):
 
 def test_every_operator_has_one_query():
     names = list(registry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and set(registry.oracle_sql()) <= set(names)
 
 
