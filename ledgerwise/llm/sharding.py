@@ -10,7 +10,7 @@ Numbering needs no global sort: rows fall into a fixed number of hash buckets,
 the bucket totals are summed up to offsets, and rows count on inside their
 bucket. Rows that are equal in every column are counted before the shuffle and
 numbered as one run, so even a row repeated over a third of the table is one
-row per task there.
+row per task there; its run is written out in chunks, spread over the tasks.
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ from typing import Sequence, Tuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import running_offsets
+from ledgerwise.llm.common import partitions, running_offsets
 
 ROUNDS = 4
 #: Hex digits of the bucket's hash: 16**3 buckets.
 BUCKET_DIGITS = 3
+#: Rows of one run that are written out at a time.
+RUN_CHUNK = 10_000
 
 
 def _digest(text: Column, digits: int) -> Column:
@@ -114,7 +116,7 @@ def _bucket(cols: Sequence[str]) -> Column:
     return _digest(key, BUCKET_DIGITS)
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[str], chunk: int = RUN_CHUNK) -> DataFrame:
     """``df`` plus ``row_no``: 0..N-1 without gaps, the same on every run for
     the same rows. Order: bucket of the hash of ``order_by``, then
     ``order_by``, then the other columns. Columns must be groupable (no maps)."""
@@ -128,7 +130,10 @@ def number_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     # firsts has one row per bucket, 16**BUCKET_DIGITS at most
     numbered = runs.join(F.broadcast(firsts), "__bucket")
     start = F.col("__first") + F.col("__before")
-    return numbered.select(*cols, F.explode(F.sequence(start, start + F.col("__copies") - 1)).alias("row_no"))
+    cut = F.explode(F.sequence(start, start + F.col("__copies") - 1, F.lit(chunk).cast("long")))
+    chunks = numbered.select(*cols, (start + F.col("__copies")).alias("__end"), cut.alias("__from"))
+    chunks = chunks.repartition(partitions(df), "__from")
+    return chunks.select(*cols, F.explode(F.sequence("__from", F.least(F.col("__from") + chunk, F.col("__end")) - 1)).alias("row_no"))
 
 
 def shard_rows(df: DataFrame, order_by: Sequence[str], shards: int = 8, seed: int = 2001) -> DataFrame:

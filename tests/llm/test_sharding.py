@@ -32,6 +32,27 @@ def test_places(spark):
     assert S.shard_rows(df.limit(0), ["doc_id"]).count() == 0
 
 
+def test_a_row_that_is_a_third_of_the_table(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"))
+    whole = sorted(map(tuple, S.number_rows(df, ["doc_id"]).collect()))
+    out = sorted(map(tuple, S.number_rows(df.repartition(3), ["doc_id"], chunk=10).collect()))
+    assert out == whole and sorted(n for _, n in out) == list(range(2000))
+    held = S.number_rows(df, ["doc_id"], chunk=10).filter("doc_id = 5").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in held) < 667  # the run is spread
+
+
+def test_null_and_very_long_texts_through_the_query(spark, tmp_path):
+    import zlib
+
+    texts = [None, "", "é" * 1_500_000, "same", "same"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in S.op2_sharding(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        data = (t or "").encode()
+        assert (out[i]["size"], out[i]["text_crc32"]) == (len(data) + 1, zlib.crc32(data))
+    assert len(out) == 6
+
+
 def test_no_python_on_the_way(spark):
     from tests.conftest import SF_SMALL
 
