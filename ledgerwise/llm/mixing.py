@@ -2,9 +2,10 @@
 
 Every source is a stream of words: its documents in hashed order, one after
 another, cut into blocks of ``block_words``. The mix needs a number of words of
-each source, hence a number of block slots. Slots are spread over the output
-shards by one multinomial draw per source, whose total is fixed, so sources
-stay at their targets while every shard is a random sample of the mix. Slot i
+each source, hence a number of block slots. Every output shard has an equal share
+of all slots and draws its source counts from one multinomial with those numbers
+as odds; running sums over the shards number each source's slots, and the places
+of a source drawn beyond its number go to those drawn too seldom. Slot i
 of a source is block ``permutation(i mod blocks)`` in epoch ``i div blocks``:
 every epoch uses each block once, and no block is used more often than the
 epochs, so no document exceeds the cap. Blocks and documents meet by block
@@ -14,7 +15,6 @@ number, and every range of words keeps the output shard and slot it is for.
 from __future__ import annotations
 
 import re
-import zlib
 from typing import Iterator, List, Sequence, Tuple
 
 import numpy as np
@@ -31,6 +31,9 @@ CAP = 3
 BLOCK_WORDS = 256
 OUTPUT_SHARDS = 64
 BUCKETS = 256
+#: Slots of one range, and copies of one row, that are written out at a time.
+CHUNK = 65_536
+COPY_CHUNK = 10_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KEY = ["doc_id", "source", "text_hash"]
 
@@ -61,15 +64,60 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
     return sources.select("source", "source_size", F.least("most", F.col("level") * F.col("weight")).alias("target"))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def draw_shards(source: pd.Series, slots: pd.Series, shards: pd.Series, seed: pd.Series) -> pd.Series:
-    """One multinomial draw per source: its slots over the output shards."""
-    drawn = []
-    for name, n, r, s in zip(source, slots, shards, seed):
-        key = 0 if name is None else 1 + zlib.crc32(name.encode("utf-8", "surrogatepass"))
-        rng = np.random.Generator(np.random.PCG64([int(s), key]))
-        drawn.append(rng.multinomial(int(n), np.full(int(r), 1.0 / int(r))))
-    return pd.Series(drawn, dtype=object)
+def draw_shard(shards: int, seed: int):
+    """The source counts of one output shard: a multinomial draw of its share of
+    all slots, with the sources' slots as odds. ``own`` has every source."""
+
+    def run(own: pd.DataFrame) -> pd.DataFrame:
+        names = [None if pd.isna(x) else x for x in own["source"]]
+        own = own.iloc[sorted(range(len(own)), key=lambda i: (names[i] is None, (names[i] or "").encode("utf-8", "surrogatepass")))]
+        shard, n = int(own["shard"].iloc[0]), own["n"].to_numpy("int64")
+        total = int(n.sum())
+        rng = np.random.Generator(np.random.PCG64([seed, shard]))
+        return own.assign(count=rng.multinomial(total // shards + (shard < total % shards), n / total))
+
+    return run
+
+
+def drawn_counts(sources: DataFrame, shards: int = OUTPUT_SHARDS, seed: int = 7) -> DataFrame:
+    """``source, n, shard, count`` for ``sources(source, n)``: what each output
+    shard draws of each source; a shard is one task of a row per source."""
+    dealt = sources.select("source", "n", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    return dealt.groupBy("shard").applyInPandas(draw_shard(shards, seed), "source string, n long, shard int, count long")
+
+
+def _numbers(ranges: DataFrame, first: str, count: str, name: str) -> DataFrame:
+    """A row for every number of every range, ``name`` beside the range's columns.
+    Long ranges are cut into chunks that are spread over the tasks."""
+    end = F.col(first) + F.col(count)
+    chunks = ranges.filter(F.col(count) > 0).withColumn("__end", end)
+    chunks = chunks.withColumn("__from", F.explode(F.sequence(F.col(first), end - 1, F.lit(CHUNK).cast("long"))))
+    chunks = chunks.repartition(partitions(ranges), *[c for c in ("source", "shard") if c in ranges.columns], "__from")
+    return chunks.withColumn(name, F.explode(F.sequence("__from", F.least(F.col("__from") + CHUNK, F.col("__end")) - 1))).drop("__from", "__end")
+
+
+def dealt_slots(sources: DataFrame, shards: int = OUTPUT_SHARDS, seed: int = 7) -> DataFrame:
+    """``source, shard, slot``: slots 0..n-1 of every source of ``sources(source,
+    n)``, each in one output shard, all shards of equal size but for one slot.
+
+    Running sums over the shards' draws (in an order of the source's own) number a
+    source's slots. Where the draws name more slots than a source has, those
+    places go to the sources that were drawn too seldom, so that targets and the
+    cap hold on small inputs too; their share falls with the square root of the size."""
+    cells = stage(drawn_counts(sources.filter("n > 0"), shards, seed), "draws")
+    turn = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "shard"), "shard")  # one row per shard
+    cells = cells.withColumn("first", F.coalesce(F.sum("count").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+    cells = cells.withColumn("kept", F.greatest(F.lit(0), F.least("count", F.col("n") - F.col("first"))).cast("long"))
+    own = _numbers(cells.select("source", "shard", "first", "kept"), "first", "kept", "slot")
+
+    open_places = cells.groupBy("shard").agg(F.sum(F.col("count") - F.col("kept")).cast("long").alias("open"))
+    open_places = running_offsets(open_places, "open", ["shard"]).withColumnRenamed("first", "number")
+    seldom = cells.groupBy("source").agg(F.first("n").alias("n"), F.least(F.first("n"), F.sum("count")).cast("long").alias("drawn"))
+    seldom = seldom.select("source", "drawn", (F.col("n") - F.col("drawn")).alias("missing"))
+    seldom = running_offsets(seldom, "missing", ["source"]).withColumnRenamed("first", "number")  # a row per source
+    places = _numbers(open_places, "number", "open", "no").select("no", "shard")
+    waiting = _numbers(seldom, "number", "missing", "no").select("no", "source", (F.col("drawn") + F.col("no") - F.col("number")).alias("slot"))
+    return own.select("source", "shard", "slot").unionByName(waiting.join(places, "no").select("source", "shard", "slot"))
 
 
 def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SHARDS, seed: int = 7) -> DataFrame:
@@ -90,11 +138,9 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTP
     s = s.withColumn("short_at", unpermute(F.col("blocks") - 1, F.col("blocks"), key(F.col("epochs"))))
     partial = F.least("blocks", F.ceil((F.col("rest") + F.col("short")) / block_words))
     s = s.withColumn("n", (F.col("epochs") * F.col("blocks") + F.when(F.col("rest") > 0, partial).otherwise(0)).cast("long"))
-    s = s.withColumn("drawn", draw_shards("source", "n", F.lit(shards), F.lit(seed)))
-    s = s.select("*", F.posexplode("drawn").alias("shard", "count"))
-    w = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    s = s.withColumn("from", F.coalesce(F.sum("count").over(w), F.lit(0))).filter(F.col("count") > 0)
-    s = s.repartition(partitions(s), "source", "shard").withColumn("slot", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("count") - 1)))
+    s = stage(s.withColumnRenamed("source", "__source"), "sizes")  # one row per source
+    dealt = dealt_slots(s.select(F.col("__source").alias("source"), "n"), shards, seed)
+    s = dealt.join(s, F.col("source").eqNullSafe(F.col("__source")))
     s = s.withColumn("epoch", F.floor(F.col("slot") / F.col("blocks"))).withColumn("turn", F.col("slot") % F.col("blocks"))
     s = s.withColumn("block", permute(F.col("turn"), F.col("blocks"), key(F.col("epoch"))))
     length = F.lit(block_words) - F.when(F.col("block") == F.col("blocks") - 1, F.col("short")).otherwise(0)
@@ -105,17 +151,21 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTP
 
 def word_streams(sized: DataFrame) -> DataFrame:
     """``sized`` plus ``copy`` (number among equal KEYs) and ``first_word``,
-    the document's place in its source's stream. Sources are numbered in
-    hash buckets, so a source with a third of all words is many tasks."""
-    copies = Window.partitionBy(*KEY).orderBy("size")
-    rows = sized.withColumn("copy", (F.row_number().over(copies) - 1).cast("int"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash", "copy"), F.lit(BUCKETS)).cast("int"))
-    totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    the document's place in its source's stream. Equal rows are counted first and
+    then stand in chunks of COPY_CHUNK; chunks are numbered in hash buckets, so
+    neither a source nor a row with a third of all words is one task."""
+    runs = sized.groupBy(*sized.columns).agg(F.count(F.lit(1)).alias("copies"))
+    chunks = runs.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPY_CHUNK).cast("long"))))
+    chunks = chunks.withColumn("held", F.least(F.lit(COPY_CHUNK), F.col("copies") - F.col("from")))
+    chunks = chunks.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash", "from"), F.lit(BUCKETS)).cast("int"))
+    words = F.col("size") * F.col("held")
+    totals = chunks.groupBy("source", "bucket").agg(F.sum(words).alias("words"))
     firsts = running_offsets(totals, "words", ["bucket"], ["source"]).withColumnRenamed("source", "__source").withColumnRenamed("bucket", "__bucket")
-    w = Window.partitionBy("source", "bucket").orderBy("doc_id", "text_hash", "copy").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0)))
-    joined = rows.join(firsts, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bucket") == F.col("__bucket")))
-    return joined.select(*sized.columns, "copy", (F.col("first") + F.col("before")).alias("first_word"))
+    w = Window.partitionBy("source", "bucket").orderBy("doc_id", "text_hash", "from").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("before", F.coalesce(F.sum(words).over(w), F.lit(0)))
+    joined = chunks.join(firsts, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bucket") == F.col("__bucket")))
+    rows = joined.select(*sized.columns, "from", (F.col("first") + F.col("before")).alias("at"), F.explode(F.sequence("from", F.col("from") + F.col("held") - 1)).alias("copy"))
+    return rows.select(*sized.columns, "copy", (F.col("at") + (F.col("copy") - F.col("from")) * F.col("size")).alias("first_word"))
 
 
 def taken_ranges(streams: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

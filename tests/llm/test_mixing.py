@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,51 @@ def test_slots_use_each_block_once_per_epoch(spark):
     assert len(shards) == 5 and min(shards.values()) > 10
 
 
+@pytest.mark.parametrize("wanted", [{"a": 500, "b": 90, None: 410, "é": 7}, {"one": 3}, {}])
+def test_shards_draw_their_source_counts(spark, monkeypatch, wanted):
+    monkeypatch.setattr(M, "CHUNK", 16)
+    df = spark.createDataFrame(list(wanted.items()) + [("void", 0)], "source string, n long")
+    rows = [tuple(r) for r in M.dealt_slots(df, shards=7, seed=5).collect()]
+    total = sum(wanted.values())
+    used = defaultdict(list)
+    for source, _, slot in rows:
+        used[source].append(slot)
+    assert {s: sorted(own) for s, own in used.items()} == {s: list(range(n)) for s, n in wanted.items()}
+    got = Counter((shard, source) for source, shard, _ in rows)
+    order = sorted(wanted, key=lambda s: (s is None, (s or "").encode()))
+    drawn = Counter()
+    for shard in range(7):
+        size = total // 7 + (shard < total % 7)
+        assert sum(n for (k, _), n in got.items() if k == shard) == size
+        if size:
+            odds = np.array([wanted[s] for s in order]) / total
+            drawn.update({(shard, s): int(n) for s, n in zip(order, np.random.Generator(np.random.PCG64([5, shard])).multinomial(size, odds))})
+    # only what is drawn beyond a source's number changes hands
+    beyond = sum(max(0, sum(drawn[k, s] for k in range(7)) - wanted[s]) for s in order)
+    assert sum((drawn - got).values()) <= beyond
+    other = [tuple(r) for r in M.dealt_slots(df, shards=7, seed=6).collect()]
+    assert len(wanted) < 2 or sorted(rows, key=str) != sorted(other, key=str)
+
+
+def test_a_row_that_is_a_third_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(M, "COPY_CHUNK", 9)
+    rows = [(i, "s", " ".join(f"w{j}" for j in range(i % 13))) for i in range(200)] + [(7, "s", "the very same words")] * 100
+    streams = M.word_streams(M.sized_documents(frame(spark, rows).repartition(4))).collect()
+    assert len(streams) == 300 and len({(r["doc_id"], r["text_hash"], r["copy"]) for r in streams}) == 300
+    at = 0
+    for r in sorted((r for r in streams if r["size"]), key=lambda r: r["first_word"]):
+        assert r["first_word"] == at
+        at += r["size"]
+
+
+def test_long_texts(spark):
+    rows = [(1, "a", "word " * 300_000), (2, "b", "x" * 2_000_000), (3, None, "few words here")]
+    out = M.mix_report(frame(spark, rows)).collect()
+    assert {r["doc_id"]: r["size"] for r in out} == {1: 300_000, 2: 1, 3: 3}
+    words = sum(len(WORD.findall(r["text"])) for r in M.mix_documents(frame(spark, rows)).collect())
+    assert words == sum(r["taken"] for r in out)
+
+
 def test_texts_hold_the_words_taken(spark):
     rows = corpus()
     df = frame(spark, rows).withColumn("n_chars", F.char_length("text").cast("long")).withColumn("text_hash", F.lit("clash"))
