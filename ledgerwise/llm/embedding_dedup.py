@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwise.llm import hnsw
-from ledgerwise.llm.common import connected_components, stage
+from ledgerwise.llm.common import connected_components, partitions, stage
 
 COSINE = 0.9
 SHARD_ROWS = 65_536
@@ -203,7 +203,10 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, shard_row
     dims = unit.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
     dims = dims.select("dim", F.greatest(F.lit(MIN_SHARDS), F.ceil(F.col("n") / shard_rows)).cast("int").alias("shards"))
     sharded = unit.join(dims, "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    built = stage(sharded.select("vec_id", "unit", "dim", "shard").groupBy("dim", "shard").applyInPandas(build_shard(cosine), BUILT), "graphs")
+    # a number of its own, so that small shards are not merged into one task
+    tasks = max(partitions(unit), 2 * (dims.agg(F.sum("shards")).first()[0] or 0))
+    sharded = sharded.select("vec_id", "unit", "dim", "shard").repartition(tasks, "dim", "shard")
+    built = stage(sharded.groupBy("dim", "shard").applyInPandas(build_shard(cosine), BUILT), "graphs")
 
     nodes = built.filter("kind = 'node'").select("dim", "shard", "vec_id", "angle", "vector")
     blocks = nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
@@ -242,7 +245,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, shard_row
         for n, (s, c) in enumerate((("a", "i"), ("b", "j")))
     ]
     block = ["a", "b", "i", "j"]
-    compared = sides[0].unionByName(sides[1]).repartition(*block).sortWithinPartitions(*block)
+    compared = sides[0].unionByName(sides[1]).repartition(partitions(unit), *block).sortWithinPartitions(*block)
     counted = stage(compared.mapInPandas(compare_blocks(cosine), "vec_id long, n long, a long, b long"), "counts")
     one_by_one = counted.groupBy("vec_id").agg(F.sum("n").alias("n_single"))
 
