@@ -116,7 +116,9 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary_rows: int = DICTIONARY_RO
     """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, quality)`` outside
     the held-out fold. At most ``dictionary_rows + calibration_rows`` rows per
     class, drawn by hash of the id; up to ROW_WINDOWS windows of each
-    dictionary row, at hashed places, reach the driver."""
+    dictionary row, at hashed places, reach the driver. Of several rows under
+    one id the least text and the least label count; null ids and other labels
+    teach nothing."""
     import zstandard
 
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != HELD_OUT))
@@ -137,6 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary_rows: int = DICTIONARY_RO
     ids = spark.createDataFrame([(d, q, i < for_dict[q]) for d, q, i in drawn], "doc_id long, quality int, for_dict boolean")
     # at most 2 * (dictionary_rows + calibration_rows) ids
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    sample = sample.groupBy("doc_id", "quality", "for_dict").agg(F.min("text").alias("text"))
 
     place = lambda i: F.pmod(F.xxhash64("doc_id", i), F.greatest(F.char_length("text") - WINDOW, F.lit(1))).cast("int") + 1
     cut = F.transform(F.sequence(F.lit(1), F.lit(ROW_WINDOWS)), lambda i: F.substring(F.col("text"), place(i), F.lit(WINDOW)))
@@ -180,6 +183,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
+    """Every document scored by the model of the labels outside the held-out fold.
+    Null and empty texts have a score, repeated rows one each; without labels of
+    both classes the score is the share of label 1 (0.5 without any)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     scored = score(docs, fit(docs, labels))

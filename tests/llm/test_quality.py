@@ -56,6 +56,56 @@ def test_bound_of_the_sample(tables):
     assert small.weights
 
 
+def brute_score(text, model):
+    """Whole windows one by one, each with a compressor of its own."""
+    import math
+
+    import zstandard
+
+    def size(data, dictionary):
+        own = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+        return len(zstandard.ZstdCompressor(level=Q.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, **own).compress(data))
+
+    data = (text or "").encode()
+    step = max(1, math.ceil(len(data) / max(1, math.ceil(len(data) / Q.WINDOW))))
+    parts = [data[i : i + step] for i in range(0, len(data), step)] or [b""]
+    good, bad = [size(p, model.good) for p in parts], [size(p, model.bad) for p in parts]
+    differ = [(b - g) / max(b, g) for g, b in zip(good, bad)]
+    weight = [max(1, len(p)) for p in parts]
+    x = [sum(d * w for d, w in zip(differ, weight)) / sum(weight), min(differ), min(size(p, b"") / (len(p) + 64) for p in parts)]
+    return 1 / (1 + math.exp(-(model.weights[0] + sum(a * b for a, b in zip(model.weights[1:], x)))))
+
+
+def test_scores_by_brute_force(spark, data, model):
+    texts = [t for _, t in data[0][:60]] + [None, "", "é" * 5000, " ".join(t for _, t in data[0][:80])]
+    out = Q.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in out:
+        assert r["score"] == pytest.approx(brute_score(r["text"], model), abs=1e-9)
+
+
+def test_the_query_by_brute_force(spark, data, tmp_path):
+    docs, labels = data
+    odd = [(5000, None), (5001, ""), (None, "no id here"), (1, docs[1][1])]
+    docs = spark.createDataFrame(docs + odd, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame(labels + [(None, 1), (7, None)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    own = Q.fit(docs, labels)
+    texts = {(r["doc_id"], brute_score(r["text"], own)) for r in docs.collect()}
+    out = Q.op6_quality(spark, str(tmp_path)).collect()
+    assert len(out) == 904
+    near = {(i, round(s, 6)) for i, s in texts}
+    for r in out:
+        assert (r["doc_id"], round(r["score"], 6)) in near and r["predicted"] == (r["score"] >= Q.ACCEPT)
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark, tables, model):
+    docs, labels = tables
+    many = docs.unionByName(docs.filter("doc_id % 3 = 0").crossJoin(spark.range(20)).select("doc_id", "text"))
+    again = Q.fit(many, labels.unionByName(labels))
+    assert again.good == model.good and again.bad == model.bad and np.allclose(again.weights, model.weights)
+
+
 def test_odd_texts(spark, model):
     texts = [None, "", "a", "😀", "x" * 2_000_000, "words " * 100, "words " * 100]
     out = Q.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
