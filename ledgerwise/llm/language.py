@@ -20,7 +20,7 @@ from typing import Dict, List, Sequence, Tuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -271,27 +271,28 @@ def _long(i: int, text: str, m: Model):
 def training_segments(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> List[Tuple[str, str]]:
     """(language, segment) of labelled documents outside the held-out fold:
     documents drawn by hash per language, segments from hashed places of the
-    whole text. Bounded by languages x documents x SEGMENTS x SEGMENT_CHARS."""
+    whole text. Bounded by languages x documents x SEGMENTS x SEGMENT_CHARS: rows
+    that share an id and a label are one document (the least segments), and no more
+    than the documents asked for leave a task. Rows without an id count by their text."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
-    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit("language"))).otherwise(F.xxhash64("doc_id", F.lit("language")))
+    # documents, not rows: one id may hold most rows of a label
+    counts = {r["lang"]: max(r["n"], 1) for r in own.groupBy("lang").agg(F.approx_count_distinct(hashed).alias("n")).collect()}
     if not counts:
         return []
     span = 1 << 30
     # about twice the documents wanted, then exactly as many by the order of the hash
     share = [x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(int(min(1.0, (2 * docs_per_language + 50) / n) * span)))]
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(span))
+    draw = F.pmod(hashed, F.lit(span))
     picked = own.filter(draw < F.element_at(F.create_map(*share), F.col("lang")))
     place = lambda i: F.pmod(F.xxhash64("doc_id", i), F.greatest(F.char_length("text") - SEGMENT_CHARS, F.lit(1))).cast("int") + 1
     cut = F.transform(F.sequence(F.lit(1), F.lit(SEGMENTS)), lambda i: F.substring(F.col("text"), place(i), F.lit(SEGMENT_CHARS)))
-    rows = picked.select("lang", "doc_id", draw.alias("draw"), F.array_distinct(cut).alias("cut")).collect()
+    found = picked.select("lang", "doc_id", draw.alias("draw"), F.array_distinct(cut).alias("cut"))
+    found = found.groupBy("lang", "doc_id", "draw").agg(F.min("cut").alias("cut"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
+    rows = found.withColumn("rank", rank).filter(F.col("rank") <= docs_per_language).drop("rank").collect()
     rows = sorted(rows, key=lambda r: (r["lang"], r["draw"], -1 if r["doc_id"] is None else r["doc_id"], r["cut"]))
-    taken: Dict[str, int] = {}
-    out = []
-    for r in rows:
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= docs_per_language:
-            out += [(r["lang"], s) for s in r["cut"] if s]
-    return out
+    return [(r["lang"], s) for r in rows for s in r["cut"] if s]
 
 
 def fit_segments(segments: Sequence[Tuple[str, str]], seed: int = 11) -> Model:

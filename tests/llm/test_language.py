@@ -105,6 +105,18 @@ def test_labels_without_words_are_left_out(spark, rows, model):
     assert L.fit(only).languages == ()
 
 
+def test_repeated_ids_are_one_document(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    once = L.training_segments(df, 40)
+    hot = [rows[9]] * 4000
+    many = spark.createDataFrame(rows + hot, "doc_id long, text string, lang string").repartition(5)
+    assert L.training_segments(many, 40) == once
+    assert {lang for lang, _ in once} == set(SYLLABLES)
+    nameless = [(None, t, lang) for _, t, lang in rows]
+    found = L.training_segments(spark.createDataFrame(nameless, "doc_id long, text string, lang string"), 40)
+    assert len({s for _, s in found}) > 60
+
+
 def test_odd_texts(spark, model):
     long = "ka lo mi " * 60_000  # longer than a block
     texts = [None, "", "123 !!", "\x00", "É", "ka", "İİ ka lo", "x" * 300_000, long, long]
