@@ -7,7 +7,8 @@ one, and gives each query a lower bound for its k-th score. Then each block of
 queries meets each bucket. With the bound theta, a query q and the bucket's
 greatest length l, the local cosine threshold is t = theta / (|q| l):
 
-- t > 1: the bucket cannot hold a result and is skipped;
+- t > 1: the bucket cannot hold a result; the pair is dropped before anything is
+  shuffled, and a bucket goes only to the blocks of queries that still ask it;
 - t high: coordinate pruning. On q's largest coordinates a candidate of cosine
   t or more lies in a narrow range, and only those in all ranges are scored;
 - else: length pruning. Candidates are sorted by length, and the prefix with
@@ -131,6 +132,10 @@ def ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _length() -> Column:
+    return F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+
+
 def top_k(candidates: DataFrame, is_query: Column, k: int = 5, bucket_rows: int = BUCKET_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score`` for ``candidates(vec_id, vector)`` with
     integral double components; ``is_query`` marks the queries. A query never
@@ -143,8 +148,7 @@ def top_k(candidates: DataFrame, is_query: Column, k: int = 5, bucket_rows: int
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(math.inf)))
     rows = candidates.select("vec_id", "vector").filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
     rows = rows.filter(finite)
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    rows = rows.select("vec_id", "vector", F.floor(F.log(GRID, norm + 1)).cast("int").alias("grade"), is_query.alias("asked"))
+    rows = rows.select("vec_id", "vector", F.floor(F.log(GRID, _length() + 1)).cast("int").alias("grade"), is_query.alias("asked"))
     rows = stage(rows, "vectors")
 
     grades = rows.groupBy("grade").agg(F.count(F.lit(1)).alias("n"), F.count_if("asked").alias("asked"))
@@ -171,13 +175,19 @@ def top_k(candidates: DataFrame, is_query: Column, k: int = 5, bucket_rows: int
     first = queries.withColumn("theta", F.lit(None).cast("double")).groupBy("block").cogroup(seed.groupBy("block")).applyInPandas(search_group(k), RESULT)
     theta = ranked(first, k).groupBy("query_id").agg(F.min("score").cast("double").alias("theta"), F.count(F.lit(1)).alias("found"))
     theta = theta.filter(F.col("found") == k).select(F.col("query_id").alias("vec_id"), "theta")
-    bounded = queries.join(theta, "vec_id", "left")
+    bounded = stage(queries.join(theta, "vec_id", "left").withColumn("length", _length()), "bounds")
+    longest = stage(buckets.groupBy("grade", "part").agg(F.max(_length()).alias("longest")), "lengths")  # a row per bucket
 
     every = F.explode(F.array(*[F.struct(F.lit(g).alias("grade"), F.lit(n).alias("parts")) for g, n in (splits or {0: 1}).items()]))
     asked = bounded.withColumn("to", every).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("to.parts") - 1)))
-    asked = asked.select("vec_id", "vector", "theta", "block", "to.grade", "part")
-    offered = buckets.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = asked.select("vec_id", "vector", "theta", "length", "block", "to.grade", "part").join(longest, ["grade", "part"])
+    bound = F.col("length") * F.col("longest") * (1 + SLACK) + SLACK
+    asked = asked.filter(F.col("theta").isNull() | (F.col("theta") <= 0) | (bound >= F.col("theta")))
     keys = ["grade", "part", "block"]
+    asked = asked.select("vec_id", "vector", "theta", *keys)
+    wanted = asked.select(*keys).distinct()
+    asked = asked.toDF(*asked.columns)
+    offered = buckets.join(wanted, ["grade", "part"]).select("vec_id", "vector", *keys)
     hits = asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(search_group(k), RESULT)
     return ranked(hits, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
