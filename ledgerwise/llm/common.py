@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from typing import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 TEXT_BATCH_ROWS = 1000
 
 
+def give_back() -> None:
+    """Hands memory that this Python worker has freed back to the machine. Spark
+    keeps workers from stage to stage, and an allocator keeps what the largest
+    batch took. Does nothing where the C library has no such call."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_batches(df: DataFrame) -> DataFrame:
     """``df``, with the session's Arrow batches held to TEXT_BATCH_ROWS rows (a
     smaller setting stays): bounds what a Python worker holds of whole texts."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwise.llm.common import fold, text_batches
+from ledgerwise.llm.common import fold, give_back, text_batches
 
 #: Bounds of the training sample: documents per language, segments of a
 #: document and characters of a segment.
@@ -418,6 +418,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 mean = post.mean(axis=0)
                 best = int(mean.argmax())
                 lang[i], score[i] = model.languages[best], float(min(1.0, mean[best]))
+        give_back()
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwise.llm.common import partitions, running_offsets, stage, text_batches
+from ledgerwise.llm.common import give_back, partitions, running_offsets, stage, text_batches
 from ledgerwise.llm.sharding import permute, unpermute
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -233,7 +233,9 @@ def cut_words(text: str, ranges: List[Tuple[int, int]]) -> str:
 
 @F.pandas_udf(T.StringType())
 def cut_text(text: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
-    return pd.Series([cut_words(t, list(zip(a, b))) for t, a, b in zip(text, lo, hi)], dtype=object)
+    out = pd.Series([cut_words(t, list(zip(a, b))) for t, a, b in zip(text, lo, hi)], dtype=object)
+    give_back()
+    return out
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

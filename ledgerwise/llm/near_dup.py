@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import connected_components, stage, text_batches
+from ledgerwise.llm.common import connected_components, give_back, stage, text_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -207,6 +207,8 @@ def signature_table(docs: DataFrame, m: int = COMPONENTS, rows: int = ROWS) -> D
                     "doc_id": own["doc_id"].to_numpy(), "h1": own["h1"].to_numpy(), "h2": own["h2"].to_numpy(),
                     "bands": [k if s else k[:0] for k, s in zip(keys, some)], "sig": [s.tobytes() for s in sig],
                 })
+                del owner, hashes, times, keys, sig
+                give_back()
 
     text = F.coalesce(F.col("text"), F.lit(""))
     src = docs.filter(F.col("doc_id").isNotNull()).select(
@@ -240,6 +242,8 @@ def bag_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 coded = mix64(np.repeat(element, weight) + nth.astype(U) * C1).view(np.int64)
                 cuts = np.searchsorted(np.repeat(owner, weight), np.arange(hi - lo + 1))
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[lo:hi].to_numpy(), "bag": [coded[a:b] for a, b in zip(cuts[:-1], cuts[1:])]})
+                del owner, element, weight, nth, coded
+                give_back()
 
     own = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     place = F.bitmap_bit_position(_spread(F.col("doc_id")))
@@ -277,8 +281,10 @@ def _blocks(run_block, key: Sequence[str]):
                 waiting.append(batch.iloc[lo:hi])
             if done:
                 yield pd.concat(done)
+                give_back()
         if waiting:
             yield run_block(pd.concat(waiting))
+        give_back()
 
     return run
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import partitions, running_offsets, stage, text_batches
+from ledgerwise.llm.common import give_back, partitions, running_offsets, stage, text_batches
 from ledgerwise.llm.vocab import default_path, encoding
 
 CAPACITY = 1024
@@ -137,6 +137,7 @@ def token_pieces(
                     yield frame(rows)
                     rows = []
             yield frame(rows)
+            give_back()
 
     def frame(rows: List[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids, dtype=object)
