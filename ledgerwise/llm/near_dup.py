@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import connected_components, give_back, stage, text_batches
+from ledgerwise.llm.common import connected_components, give_back, partitions, stage, text_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -411,14 +411,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, m: int = CO
     rest = placed.join(mixed.select("key"), "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1))).join(table.select("doc_id", "sig"), "doc_id")
     rest = rest.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "doc_id", "chunk", "component", "sig")
-    rest = rest.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "doc_id")
+    rest = rest.repartition(partitions(docs), *BLOCK).sortWithinPartitions(*BLOCK, "doc_id")  # a number: blocks are small rows but long work, not to be merged
     late = stage(rest.mapInPandas(_blocks(agreeing(AGREEMENT), BLOCK), FOUND), "late")
 
     pairs = late.filter("kind = 'pair'").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     dense = late.filter("kind = 'dense'")
     bag = stage(bag_table(docs, _ends(pairs).unionByName(dense.select(F.col("a").alias("doc_id")))), "bags")
     blocks = dense.select(*BLOCK, F.col("a").alias("doc_id")).join(bag, "doc_id").select(*BLOCK, "doc_id", "bag")
-    blocks = blocks.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "doc_id")
+    blocks = blocks.repartition(partitions(docs), *BLOCK).sortWithinPartitions(*BLOCK, "doc_id")
     spans = blocks.mapInPandas(_blocks(spanning(similarity), BLOCK), "a long, b long")
     links = links.unionByName(verified(pairs, bag, similarity)).unionByName(spans).unionByName(_shared_ids(members))
     found = connected_components(nodes, links)
