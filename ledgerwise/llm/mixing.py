@@ -42,6 +42,10 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """``source, source_size, target``, one row per source. Sources by code
     point with null last take the weights in turn. A target is
@@ -185,7 +189,7 @@ def taken_ranges(streams: DataFrame, plan: DataFrame, block_words: int = BLOCK_W
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), word_count(F.col("text")).alias("size"))
+    return docs.select("doc_id", "source", text_hash("text").alias("text_hash"), word_count(F.col("text")).alias("size"))
 
 
 def _same(a: str, b: str) -> Column:
@@ -254,11 +258,14 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     Documents without a taken word are left out."""
     _, _, ranges = mix(docs, **options)
     by_epoch = ranges.groupBy(*KEY, "copy", "epoch").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("at"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    texts = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", row).dropDuplicates(KEY)
-    met = texts.alias("d").join(by_epoch.alias("e"), _same("d", "e"))
-    cut = text_batches(met).select("__row", cut_text("d.text", "e.at.lo", "e.at.hi").alias("__cut"))
     changed = {"text": F.col("__cut"), "n_chars": F.char_length("__cut").cast("long")}
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in changed]).alias("__row")
+    # one struct as the key (its nulls are equal): texts move once, to be deduplicated and joined.
+    # Both sides need one type: a staged hash is nullable, so it is made what it was
+    texts = docs.select(F.struct("doc_id", "source", text_hash("text").alias("text_hash")).alias("__key"), "text", rest).dropDuplicates(["__key"])
+    ranged = F.struct("doc_id", "source", F.coalesce("text_hash", F.lit(0).cast("long")).alias("text_hash"))
+    met = texts.join(by_epoch.select(ranged.alias("__key"), "at"), "__key")
+    cut = text_batches(met).select("__row", cut_text("text", "at.lo", "at.hi").alias("__cut"))
     return cut.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in docs.columns])
 
 
@@ -272,7 +279,7 @@ def mix_shards(docs: DataFrame, **options) -> DataFrame:
     ranges = ranges.alias("r").join(streams.alias("s"), _same("r", "s") & (F.col("r.copy") == F.col("s.copy")))
     at = F.struct("r.shard", "r.slot", "r.epoch", "r.lo", "r.hi", "s.first_word")
     by_text = ranges.groupBy(*[F.col(f"r.{c}") for c in KEY], F.col("r.copy")).agg(F.collect_list(at).alias("at"))
-    texts = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").dropDuplicates(KEY)
+    texts = docs.select("doc_id", "source", text_hash("text").alias("text_hash"), "text").dropDuplicates(KEY)
     met = texts.alias("d").join(by_text.alias("e"), _same("d", "e")).select("d.doc_id", "d.source", "d.text", "e.at")
     cut = text_batches(met).select("doc_id", "source", "at", cut_parts("text", "at.lo", "at.hi").alias("part"))
     rows = cut.select("doc_id", "source", F.explode(F.arrays_zip("at", "part")).alias("p"))

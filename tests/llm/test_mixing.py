@@ -183,3 +183,19 @@ def test_cut_words_keeps_blanks_inside():
     assert M.cut_words(text, [(0, 5)]) == text
     assert M.cut_words(text, [(1, 3)]) == "b\tc"
     assert M.cut_words(text, [(3, 5), (0, 2), (1, 2)]) == "a  b\nd e"
+
+
+def test_texts_move_once_and_null_keys_meet(spark):
+    rows = [(None, None, "a b c d e"), (None, None, "a b c d e"), (None, "s", "f g"), (3, None, "h i j"), (3, None, None), (4, "s", "k l m n")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, source string, text string, extra string")
+    mixed = M.mix_documents(df, block_words=2)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "cast(__key" not in plan
+    want, got = Counter(), Counter()
+    for r in M.mix_report(df, block_words=2).collect():
+        want[r["doc_id"], r["source"]] += r["taken"]
+    for r in mixed.collect():
+        got[r["doc_id"], r["source"]] += len(WORD.findall(r["text"]))
+        assert r["extra"] == "x"
+    assert sum(want.values()) == 19 and any(i is None and s is None for i, s in got)
+    assert got == Counter({k: v for k, v in want.items() if v})
