@@ -21,7 +21,7 @@ from typing import List
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwise.llm.common import BLANKS, partitions
+from ledgerwise.llm.common import BLANKS, partitions, stage
 
 MIN_CHARS = 10
 SALTS = 64
@@ -56,6 +56,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         (F.xxhash64("doc_id") % SALTS).cast("int").alias("salt"),
         "doc_id", "text_hash", "pos",
     )
+    hashed = stage(hashed, "lines")  # range bounds are sampled in a pass of its own: not over the texts again
     n = partitions(docs)
     doc = F.col("doc_id").asc_nulls_last()
 
