@@ -19,13 +19,14 @@ MIN_SCORE = 0.3
 
 
 def _carried(docs: DataFrame) -> DataFrame:
-    """What operators read, and the whole row beside it under one name, so that
-    extra columns cannot clash with theirs."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    """What operators read, and the other columns beside it under one name, so
+    that extra ones cannot clash with theirs. The text is there only once."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row"))
 
 
 def _restored(rows: DataFrame, columns: Sequence[str], **changed) -> DataFrame:
-    return rows.select(*[changed[c].alias(c) if c in changed else F.col("__row").getField(c).alias(c) for c in columns])
+    changed = {"text": F.col("text"), **changed}
+    return rows.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in the smallest doc_id only."""
     kept = line_dedup.dedup_lines(_carried(docs))
-    return _restored(kept, docs.columns, text=F.col("text"), n_chars=F.char_length("text").cast("long"))
+    return _restored(kept, docs.columns, n_chars=F.char_length("text").cast("long"))
 
 
 #: Ids of further texts under one doc_id lie from here on, above real ones.
@@ -50,8 +51,9 @@ EXTRA = 1 << 62
 
 
 def _units(docs: DataFrame) -> DataFrame:
-    """``unit``, ``text`` and ``__row``: every text of a doc_id is a unit of its own.
-    The least digest keeps the doc_id, the others get an id of their hash."""
+    """``unit``, ``text``, ``__row`` and ``__order`` (a hash of the row): every text of
+    a doc_id is a unit of its own. The least digest keeps the doc_id, the others get
+    an id of their hash."""
     docs = docs.filter(F.col("doc_id").isNotNull())
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     texts = docs.groupBy("doc_id").agg(F.min(digest).alias("__least"), F.max(digest).alias("__most"))
@@ -59,7 +61,9 @@ def _units(docs: DataFrame) -> DataFrame:
     own = _carried(docs).join(several, "doc_id", "left")
     extra = F.col("__least").isNotNull() & (digest != F.col("__least"))
     other = F.xxhash64("doc_id", digest).bitwiseAND(F.lit(EXTRA - 1)).bitwiseOR(F.lit(EXTRA))
-    return own.select(F.when(extra, other).otherwise(F.col("doc_id")).alias("unit"), "text", "__row")
+    hashable = [F.col("__row").getField(f.name) for f in docs.schema if f.name != "text" and "map<" not in f.dataType.simpleString()]
+    order = F.xxhash64(F.col("text").isNull(), *hashable)
+    return own.select(F.when(extra, other).otherwise(F.col("doc_id")).alias("unit"), "text", "__row", order.alias("__order"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,8 +74,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     units = _units(docs)
     kept = near_dup.near_duplicates(units.select(F.col("unit").alias("doc_id"), "text")).filter(F.col("kept"))
     kept = stage(kept.select(F.col("doc_id").alias("unit")).distinct(), "kept")
-    own = units.join(kept, "unit", "left_semi").groupBy("unit").agg(F.min_by("__row", F.coalesce("text", F.lit(""))).alias("__row"))
-    return _restored(own, docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    own = units.join(kept, "unit", "left_semi").groupBy("unit").agg(F.min_by(F.struct("text", "__row"), "__order").alias("own"))
+    return _restored(own.select("own.text", "own.__row"), docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
