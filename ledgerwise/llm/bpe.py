@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from ledgerwise.llm.vocab import default_path, ranks
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+CACHED_MATCHES = 300_000
 CACHED_LENGTH = 64
 CACHED_SEAMS = 1_000_000
 #: A match of the pattern is settled if so many characters follow its end: the
@@ -40,7 +41,8 @@ LOOK_AHEAD = 3
 # A single space between other characters starts a match of its own, so texts
 # are cut there and the stretches remembered.
 WORD_CUT = re.compile(r"(?<=\S) (?=\S)")
-IRREGULAR = re.compile(r"\s | \s|^ | $")
+#: Stands for the token before the first one of a match; every token can follow.
+START = -1
 
 
 class Vocabulary:
@@ -54,8 +56,13 @@ class Vocabulary:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of: Dict[int, bytes] = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.decoding = np.empty(max(self.bytes_of) + 1, dtype=object)
+        for i, token in self.bytes_of.items():
+            self.decoding[i] = token
         self.halves: Dict[int, Tuple[int, int]] = {}
-        self.seams: Dict[int, bool] = {}
+        # by right token: the left ones asked for, and the answers
+        self.lefts: Dict[int, Dict[int, bool]] = {i: {START: True} for i in self.bytes_of}
+        self.seams = 0
         self.automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
             if len(token) > 1:
@@ -63,7 +70,7 @@ class Vocabulary:
                 if last is None:  # merging its bytes never ends in it: only a whole match can be this token
                     continue
                 self.halves[i] = last
-            self.automaton.add_word(token.decode("latin-1"), (i, len(token)))
+            self.automaton.add_word(token.decode("latin-1"), (i, len(token), self.lefts[i]))
         self.automaton.make_automaton()
 
     def _last_merge(self, token: bytes) -> Optional[Tuple[int, int]]:
@@ -84,12 +91,15 @@ class Vocabulary:
         other at the seam, until one of them is used up by a merge on its own
         side; a merge across the seam before that would have come first. Of
         equal merges the leftmost comes first."""
-        key = left << 32 | right
-        known = self.seams.get(key)
+        known = self.lefts[right].get(left)
         if known is None:
-            if len(self.seams) >= CACHED_SEAMS:
-                self.seams.clear()
-            known = self.seams[key] = self._beside(left, right)
+            if self.seams >= CACHED_SEAMS:
+                for lefts in self.lefts.values():
+                    lefts.clear()
+                    lefts[START] = True
+                self.seams = 0
+            known = self.lefts[right][left] = self._beside(left, right)
+            self.seams += 1
         return known
 
     def _beside(self, left: int, right: int) -> bool:
@@ -134,7 +144,7 @@ class PrefixTable:
         shift = len(self.data) - len(old.data) if old else 0
         base = max(0, start - self.vocab.longest)
         done = start - 1
-        for end, (token, size) in self.vocab.automaton.iter(self.data[base:].decode("latin-1")):
+        for end, (token, size, _) in self.vocab.automaton.iter(self.data[base:].decode("latin-1")):
             end += base
             if end < start or last[end] >= 0:
                 continue
@@ -180,8 +190,8 @@ class Recent:
     newer is full, and what is met again moves to the newer. Long keys are not
     kept."""
 
-    def __init__(self):
-        self.newer, self.older = {}, {}
+    def __init__(self, most: int = CACHED_MATCHES):
+        self.newer, self.older, self.half = {}, {}, most // 2
 
     def get(self, key: str):
         found = self.newer.get(key)
@@ -193,16 +203,18 @@ class Recent:
 
     def put(self, key: str, value) -> None:
         if len(key) <= CACHED_LENGTH:
-            if len(self.newer) >= CACHED_WORDS // 2:
+            if len(self.newer) >= self.half:
                 self.newer, self.older = {}, self.newer
             self.newer[key] = value
 
 
 class Encoder:
-    """Whole texts to ids; words and matches met again come from a cache."""
+    """Whole texts to ids; words and matches met again come from a cache.
+    ``words`` holds what follows a space, without that space: it neither begins
+    nor ends with white space."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab, self.words, self.matches = vocab, Recent(), Recent()
+        self.vocab, self.words, self.matches = vocab, Recent(CACHED_WORDS), Recent(CACHED_MATCHES)
 
     def piece(self, match: str) -> List[int]:
         """The ids of one match; the table of a short one is not kept."""
@@ -213,43 +225,71 @@ class Encoder:
             return [whole]
         if len(data) > CACHED_LENGTH:
             return PrefixTable(vocab, data).ids()
-        last, seams = [-1] * len(data), vocab.seams
-        for end, (token, size) in vocab.automaton.iter(data.decode("latin-1")):
-            if last[end] < 0:
-                if end < size:
+        last: List[Optional[int]] = [None] * len(data)
+        last.append(START)  # before the first byte: index -1
+        for end, (token, size, lefts) in vocab.automaton.iter(data.decode("latin-1")):
+            if last[end] is None:
+                fits = lefts.get(last[end - size])
+                if fits or fits is None and vocab.beside(last[end - size], token):
                     last[end] = token
-                else:
-                    fits = seams.get(last[end - size] << 32 | token)
-                    if fits or fits is None and vocab.beside(last[end - size], token):
-                        last[end] = token
-        out, end = [], len(data)
+        out, end, bytes_of = [], len(data), vocab.bytes_of
         while end > 0:
-            out.append(last[end - 1])
-            end -= len(vocab.bytes_of[out[-1]])
+            token = last[end - 1]
+            out.append(token)
+            end -= len(bytes_of[token])
         return out[::-1]
 
-    def word(self, word: str) -> bytes:
+    def match(self, match: str) -> bytes:
+        if match[0] == " " and match[1:2].strip():
+            cache, key = self.words, match[1:]
+        else:
+            cache, key = self.matches, match
+        found = cache.get(key)
+        if found is None:
+            found = array("I", self.piece(match)).tobytes()
+            cache.put(key, found)
+        return found
+
+    def encoded(self, word: str) -> bytes:
+        return b"".join(map(self.match, self.vocab.pattern.findall(word)))
+
+    def after_space(self, word: str) -> bytes:
+        """The ids of a space and ``word``."""
+        if word.isascii() and word.isalpha():  # one match
+            return self.match(" " + word)
         found = self.words.get(word)
         if found is None:
-            ids: List[int] = []
-            for match in self.vocab.pattern.findall(word):
-                own = self.matches.get(match)
-                if own is None:
-                    own = self.piece(match)
-                    self.matches.put(match, own)
-                ids += own
-            found = array("I", ids).tobytes()
-            self.words.put(word, found)
+            found = self.encoded(" " + word)
+            if not word[-1].isspace():
+                self.words.put(word, found)
         return found
 
+    def _cut(self, cut: List[str], sure: bool) -> Optional[List[bytes]]:
+        """The ids of each part of a text that is cut at single spaces. None if
+        a space it is cut at touches other white space; ``sure``: none does."""
+        own, end = list(map(self.words.newer.get, cut)), len(cut) - 1
+        own[0] = None  # no space before it
+        for k in [k for k, found in enumerate(own) if found is None]:
+            word = cut[k]
+            if end and not sure and (not word or k and word[0].isspace() or k < end and word[-1].isspace()):
+                return None
+            own[k] = self.after_space(word) if k else self.encoded(word)
+        return own
+
     def ids(self, text: str) -> np.ndarray:
-        cut = WORD_CUT.split(text) if IRREGULAR.search(text) else text.split(" ")
-        known, word = self.words.newer, self.word
-        own = [known.get(k) or word(k) for k in [cut[0], *[" " + w for w in cut[1:]]]]
+        own = self._cut(text.split(" "), False)
+        if own is None:
+            own = self._cut(WORD_CUT.split(text), True)
         return np.frombuffer(b"".join(own), dtype="<u4")
 
     def decoded(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.vocab.bytes_of.__getitem__, ids.tolist()))
+        return b"".join(self.vocab.decoding[ids.astype("int64")].tolist())
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    """One a Python worker, so what it knows outlives a task."""
+    return Encoder(vocabulary(path))
 
 
 class EncodedText:
@@ -340,14 +380,14 @@ def encode(docs: DataFrame, vocab: Optional[str] = None, with_ids: bool = False)
     path = vocab or default_path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary(path))
+        own = encoder(path)
         for batch in batches:
-            found = [encoder.ids(t) if t else np.array([], dtype="<u4") for t in batch["text"]]
+            found = [own.ids(t) if t else np.array([], dtype="<u4") for t in batch["text"]]
             out = pd.DataFrame({
                 "doc_id": batch["doc_id"],
                 "n_tokens": np.array([len(ids) for ids in found], dtype="int64"),
                 "ids_sha256": [_digest(ids) for ids in found],
-                "decoded_sha256": [_digest(encoder.decoded(ids)) for ids in found],
+                "decoded_sha256": [_digest(own.decoded(ids)) for ids in found],
             })
             if with_ids:
                 out["ids"] = [ids.astype("int32") for ids in found]
@@ -366,8 +406,8 @@ def decode(encoded: DataFrame, vocab: Optional[str] = None) -> DataFrame:
 
     @F.pandas_udf("binary")
     def decoded(ids: pd.Series) -> pd.Series:
-        encoder = Encoder(vocabulary(path))
-        return ids.map(lambda own: b"" if own is None else encoder.decoded(np.asarray(own)))
+        known = encoder(path)
+        return ids.map(lambda own: b"" if own is None else known.decoded(np.asarray(own)))
 
     return encoded.withColumn("decoded", decoded("ids"))
 
@@ -384,11 +424,11 @@ def reencode(encoded: DataFrame, edits: DataFrame, vocab: Optional[str] = None)
 
     @F.pandas_udf("array<int>")
     def edited(ids: pd.Series, changes: pd.Series) -> pd.Series:
-        encoder = Encoder(vocabulary(path))
+        known = encoder(path)
 
         def one(own, steps) -> np.ndarray:
             own = np.asarray(own if own is not None else [], dtype="<u4")
-            text = EncodedText(encoder, encoder.decoded(own).decode("utf-8"), own)
+            text = EncodedText(known, known.decoded(own).decode("utf-8"), own)
             for step in steps:
                 text.edit(step["start"], step["stop"], step["added"] or "")
             return text.ids().astype("int32")

@@ -28,6 +28,23 @@ def test_ids_are_those_of_tiktoken(name):
         assert encoder.decoded(ids) == text.encode()
 
 
+def test_known_words_between_any_white_space():
+    path, rnd = vocab.default_path(VOCABS[0]), random.Random(9)
+    encoder, want = bpe.Encoder(bpe.vocabulary(path)), vocab.encoding(path)
+    words = ["thhaanen", "thhaanen,", "it's", "éreen", "a1b", "Erti.\nOn", "", "z" * 80, "'s", "\x1c"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(words) + rnd.choice([" ", " ", " ", "  ", "\n", " \n", "\t ", "\u3000", "\x85", ""]) for _ in range(rnd.randint(1, 8)))
+        assert encoder.ids(text).tolist() == want.encode_ordinary(text), text
+
+
+def test_a_match_is_encoded_once_in_a_worker(monkeypatch):
+    encoder, asked = bpe.encoder(vocab.default_path(VOCABS[0])), []
+    monkeypatch.setattr(encoder, "piece", lambda m, f=encoder.piece: asked.append(m) or f(m))
+    first = encoder.ids("on qvathhaanen, qvathhaanen. qvathhaanen")
+    again = bpe.encoder(vocab.default_path(VOCABS[0])).ids("on qvathhaanen. qvathhaanen, qvathhaanen")
+    assert len(first) == len(again) and asked.count(" qvathhaanen") == 1
+
+
 def test_every_prefix_has_its_own_last_token():
     path = vocab.default_path(VOCABS[0])
     v, want = bpe.vocabulary(path), vocab.encoding(path)
