@@ -37,7 +37,10 @@ def maybe_in(df: DataFrame, key: str, ids: DataFrame, bits: int) -> DataFrame:
     """Rows of ``df`` whose ``key`` may be among the ids of an :func:`id_filter`:
     every row that is, and a few others; none with a NULL key."""
     place = _place(F.col(key), bits)
-    met = df.join(F.broadcast(ids), F.bitmap_bucket_number(place) == F.col("_bucket"))
+    # The coalesce changes no value: without it a not-null filter is derived for
+    # the ids, and an exchange in their plan cannot serve the join as well.
+    own, known = (F.coalesce(c, F.lit(-1)) for c in (F.bitmap_bucket_number(place), F.col("_bucket")))
+    met = df.join(F.broadcast(ids), own == known)
     at = F.bitmap_bit_position(place)
     byte = F.ascii(F.decode(F.substring("_bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
     bit = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (at % 8).cast("int") + 1)

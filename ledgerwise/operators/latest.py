@@ -7,7 +7,9 @@
 * ``counted``: the winners and how many rows each key has, from one partial
   aggregate, for callers that need both.
 * ``losers``: only keys seen more than once (one narrow, map-side combined
-  count, or what the caller knows from ``counted``) enter. Their rows are collapsed to distinct rows with a copy count,
+  count, or what the caller knows from ``counted``) enter; of a ``stored`` frame a
+  filter of these keys drops the other rows before they are shuffled to the
+  join that decides. Their rows are collapsed to distinct rows with a copy count,
   and ranked in two windows: per (key, salt), then among the best of each
   salt. So neither a hot key nor a large group of copies lands whole in one
   task, and no row is joined to its winner.
@@ -24,10 +26,15 @@ from typing import List, Optional, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerwise.operators import id_filter
+
 # Copy counts above this are expanded in chunks spread over several tasks.
 EXPAND_CHUNK = 1 << 20
 # Parts that the distinct rows of one repeated key are ranked in.
 SALTS = 64
+# Bits of the filter of repeated keys, 8 MB at most: four million keys let one
+# row in 16 pass by chance, and more keys only let more pass.
+REPEATED_BITS = 1 << 26
 
 
 class LatestSplit:
@@ -35,8 +42,8 @@ class LatestSplit:
     on first access (a caller that needs only the winners never pays for the
     loser plan)."""
 
-    def __init__(self, df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True):
-        self._df, self._key, self._columns, self._null_keys = df, key, df.columns, null_keys
+    def __init__(self, df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True, stored: bool = False):
+        self._df, self._key, self._columns, self._null_keys, self._stored = df, key, df.columns, null_keys, stored
         self._ordered = list(order_cols) + [c for c in df.columns if c not in order_cols and c != key]
         self._latest_first: List[Column] = [F.col(c).desc_nulls_last() for c in self._ordered]
 
@@ -76,6 +83,9 @@ class LatestSplit:
             repeated = named.groupBy(key, "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(F.col("_key").alias("_repeated"))
         else:
             repeated = repeated.select(F.col(key).alias("_repeated"))
+        if self._stored:
+            bitmap = id_filter.id_filter(repeated, "_repeated", REPEATED_BITS)
+            named = id_filter.maybe_in(named, "_key", bitmap, REPEATED_BITS)
         rows = named.join(repeated, F.col(key) == F.col("_repeated"))
         rows = rows.select(*[F.col("_key").alias(c) if c == key else F.col(c) for c in columns])
         distinct = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
@@ -115,7 +125,7 @@ def expand_copies(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> D
     )
 
 
-def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True) -> LatestSplit:
+def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str], null_keys: bool = True, stored: bool = False) -> LatestSplit:
     """Split ``df`` into the latest row per key and all remaining rows.
 
     ``winners`` and ``losers`` together have exactly the rows of ``df`` (as a
@@ -123,6 +133,7 @@ def keep_latest(df: DataFrame, key: str, order_cols: Sequence[str], null_keys: b
     columns; NULL order values lose to others. A NULL key matches nothing, so
     such rows never win and go to ``losers`` directly (they never form one
     oversized group); ``null_keys=False`` says that there are none, which
-    saves the scan for them. Columns must be groupable (no maps).
+    saves the scan for them; ``stored=True``, that ``df`` is read from storage, so
+    that reading it once more costs less than shuffling it. Columns must be groupable (no maps).
     """
-    return LatestSplit(df, key, order_cols, null_keys)
+    return LatestSplit(df, key, order_cols, null_keys, stored)

@@ -75,11 +75,11 @@ def route_ledger(parsed: DataFrame) -> Routed:
 
 
 def latest_transactions(routed: Routed) -> LatestSplit:
-    return keep_latest(routed.ok, "transaction_id", ["updated_at"], null_keys=False)
+    return keep_latest(routed.ok, "transaction_id", ["updated_at"], null_keys=False, stored=True)
 
 
 def latest_ledger(routed: Routed) -> LatestSplit:
-    return keep_latest(routed.ok, "transaction_id", ["cleared_date"], null_keys=False)
+    return keep_latest(routed.ok, "transaction_id", ["cleared_date"], null_keys=False, stored=True)
 
 
 def duplicates_to_quarantine(losers: DataFrame) -> DataFrame:

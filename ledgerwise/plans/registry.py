@@ -41,13 +41,15 @@ def _quarantine_view(q: DataFrame) -> DataFrame:
     """Comparable projection of quarantine rows: every payload field of DQ and
     ledger rows, the raw line for corrupt ones, and whether a source is named."""
     corrupt = F.col("dq_flag") == F.lit(C.FLAG_CORRUPT_JSON)
+    fields = C.TRANSACTION_COLUMNS + [c for c in C.LEDGER_COLUMNS if c not in C.TRANSACTION_COLUMNS]
+    # one parse of a payload for all its fields
+    texts = F.json_tuple(F.when(~corrupt, F.col("raw_payload")), *fields).alias(*[f"_{c}" for c in fields])
 
     def payload(field: str):
-        text = F.when(~corrupt, F.get_json_object("raw_payload", f"$.{field}"))
+        text = F.col(f"_{field}")
         return (text.cast("double") if field in ("amount", "ledger_amount") else text).alias(f"p_{field}")
 
-    fields = C.TRANSACTION_COLUMNS + [c for c in C.LEDGER_COLUMNS if c not in C.TRANSACTION_COLUMNS]
-    return q.select(
+    return q.select(*q.columns, texts).select(
         "transaction_id",
         "stage",
         "dq_flag",
