@@ -250,6 +250,10 @@ def quarantine_table(spark: SparkSession, path: str) -> Table:
     return Table(spark, path, QUARANTINE_SCHEMA, "dq_flag")
 
 
+#: Lines of a compressed text file: about 8 MB of NDJSON before compression.
+LINES_PER_FILE = 50_000
+
+
 def read_curated(spark: SparkSession, path: str, dates: Optional[Iterable] = None) -> DataFrame:
     return curated_table(spark, path).frame(dates)
 
@@ -271,5 +275,6 @@ def write_quarantine(quarantine: DataFrame, path: str, run_scenario: str, run_ts
 
 
 def write_text_lines(lines: DataFrame, path: str, line_col: str = "value") -> None:
-    """Write one column of text lines as NDJSON files (tests and demos)."""
-    lines.select(line_col).write.mode("overwrite").text(path)
+    """Write one column of text lines as NDJSON files (tests and demos): gzip,
+    and as that cannot be split, many files."""
+    lines.select(line_col).write.mode("overwrite").option("maxRecordsPerFile", LINES_PER_FILE).text(path, compression="gzip")

@@ -117,6 +117,29 @@ def test_counted_is_the_winners_and_their_rows(spark):
     assert sorted(map(str, known.collect())) == sorted(map(str, split.losers.collect()))
 
 
+def test_rows_of_single_ids_are_not_shuffled_to_the_losers(spark, no_broadcast):  # noqa: F811
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(1).alias("v"))
+        df = tables.staged(ids.unionByName(ids.filter("k like '%777'").withColumn("v", F.lit(2))), "repeated")
+        split = keep_latest(df, "k", ["v"], null_keys=False, stored=True)
+        repeated = tables.staged(split.counted.filter("_rows > 1").select("k"), "known")
+        losers = split.losers_among(repeated)
+        assert shuffled(losers) < 2000
+        assert sorted(map(tuple, losers.collect())) == sorted((f"k{i}", 1) for i in range(20_000) if str(i).endswith("777"))
+        assert sorted(map(tuple, split.losers.collect())) == sorted(map(tuple, losers.collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_text_lines_are_compressed_and_in_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "LINES_PER_FILE", 40)
+    lines = [f'{{"transaction_id":"{i}"}} é' for i in range(200)]
+    tables.write_text_lines(spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1), f"{tmp_path}/lines")
+    assert len(list((tmp_path / "lines").glob("*.gz"))) == 5
+    assert sorted(r["value"] for r in ndjson.read_lines(spark, f"{tmp_path}/lines").collect()) == sorted(lines)
+
+
 def test_counted_hands_its_partitioning_on(spark, no_broadcast):  # noqa: F811
     s = Scenario(spark, SF_SMALL)
     split = routing.latest_transactions(s.routed_feed)
