@@ -12,31 +12,63 @@ hits, and for the whole block until an audit passes: probes at exactly the
 link angle from known nodes must be found. Two balls whose distance leaves no
 doubt are linked as a whole; all others are compared vector by vector, in
 blocks, in double precision. Components are united over nodes.
+
+A shard is bounded by rows and by numbers. Its rows stream into one Python
+worker and leave it in batches; its graph is cut into small pieces. The
+queries of a shard are dealt to a few splits of many rows each: only a split gets
+a copy of the graph, ahead of its queries, which stream past it.
 """
 
 from __future__ import annotations
 
-from typing import Iterator, List, Tuple
+from itertools import groupby
+from operator import itemgetter
+from typing import Iterator, List, Sequence, Tuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwise.llm import hnsw
-from ledgerwise.llm.common import connected_components, partitions, stage
+from ledgerwise.llm.common import TEXT_BATCH_ROWS, connected_components, give_back, partitions, running_offsets, stage, text_batches
 
 COSINE = 0.9
 SHARD_ROWS = 65_536
+SHARD_VALUES = 1 << 23  # rows x length; reached before SHARD_ROWS from length 129 on
 MIN_SHARDS = 4
-BLOCK_ROWS = 2_048
+BLOCK_ROWS = 2_048  # queries of a split at least, where there are as many,
+SPLIT_ROWS = 65_536  # and at most, about
+PIECE_BYTES = 1 << 12  # some rows of text_batches at most
+OUT_ROWS = 8_192
+MAX_TASKS = 4_096
 MEMBER_CHUNK = 512
 FIRST_BEAM = 32
 AUDIT_PROBES = 64
 AUDIT_RECALL = 0.99
 EPS = 1e-9
 
-BUILT = "kind string, dim int, shard int, vec_id long, leader long, angle double, vector array<double>, graph binary"
+BUILT = "kind string, dim int, shard int, vec_id long, leader long, angle double, vector array<float>, piece int, graph binary"
+BUILT_ARROW = pa.schema([
+    ("kind", pa.string()), ("dim", pa.int32()), ("shard", pa.int32()), ("vec_id", pa.int64()), ("leader", pa.int64()), ("angle", pa.float64()),
+    ("vector", pa.list_(pa.float32())), ("piece", pa.int32()), ("graph", pa.binary()),
+])
+PAIRS = "a long, b long, angle double, ra double, rb double"
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: Sequence[str]) -> Iterator[Tuple[tuple, pa.RecordBatch]]:
+    """Stretches of rows that agree in ``key``, by which the rows are sorted."""
+    for batch in batches:
+        if batch.num_rows:
+            at = np.column_stack([batch.column(k).to_numpy() for k in key])
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                yield tuple(at[lo].tolist()), batch.slice(lo, hi - lo)
+
+
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, dim)
 
 
 def _matrix(vectors) -> np.ndarray:
@@ -47,29 +79,45 @@ def _angle(cosine: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosine, -1.0, 1.0))
 
 
-def build_shard(cosine: float):
-    """One shard to its members (with their leader and the angle to it), its
-    nodes (with the ball's radius and the vector) and its graph."""
+def build_shards(cosine: float):
+    """Each shard to its members (with their leader and the angle to it), its
+    nodes (with the ball's radius and the vector) and the pieces of its graph,
+    which has the ids and radii of the nodes too. Rows come sorted by dim, shard
+    and vec_id; a worker holds one shard."""
     absorb = float(np.cos(np.arccos(cosine) / 2)) + EPS
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("vec_id").reset_index(drop=True)
-        ids, unit = rows["vec_id"].to_numpy("int64"), _matrix(rows["unit"])
+    def batch(n: int, **columns) -> pa.RecordBatch:
+        arrays = [columns.get(f.name) for f in BUILT_ARROW]
+        arrays = [pa.nulls(n, f.type) if x is None else pa.repeat(pa.scalar(x, f.type), n) if isinstance(x, (str, int)) else pa.array(x, f.type) for x, f in zip(arrays, BUILT_ARROW)]
+        return pa.RecordBatch.from_arrays(arrays, schema=BUILT_ARROW)
+
+    def one(dim: int, shard: int, ids: np.ndarray, unit: np.ndarray) -> Iterator[pa.RecordBatch]:
         graph, node_row, leader, cos = hnsw.build(ids, unit, absorb)
         angle = np.where(leader == np.arange(len(ids)), 0.0, _angle(cos))
         radius = np.zeros(len(ids))
         np.maximum.at(radius, leader, angle)
-        dim, shard = int(rows["dim"].iloc[0]), int(rows["shard"].iloc[0])
-        members = pd.DataFrame({"kind": "member", "vec_id": ids, "leader": ids[leader], "angle": angle})
-        nodes = pd.DataFrame({"kind": "node", "vec_id": ids[node_row], "leader": ids[node_row], "angle": radius[node_row], "vector": list(unit[node_row])})
-        own = pd.DataFrame({"kind": ["graph"], "angle": [float(radius.max())], "graph": [graph.dump()]})
-        out = pd.concat([members, nodes, own], ignore_index=True)
-        out["dim"], out["shard"] = dim, shard
-        for c in ("vec_id", "leader"):
-            out[c] = out[c].astype("Int64")
-        for c in ("vector", "graph"):
-            out[c] = out[c].astype(object).where(out[c].notna(), None)
-        return out[["kind", "dim", "shard", "vec_id", "leader", "angle", "vector", "graph"]]
+        for lo in range(0, len(ids), OUT_ROWS):
+            at = slice(lo, lo + OUT_ROWS)
+            yield batch(len(ids[at]), kind="member", dim=dim, shard=shard, vec_id=ids[at], leader=ids[leader[at]], angle=angle[at])
+        rows = max(1, min(OUT_ROWS, hnsw.CELLS // dim))
+        for lo in range(0, len(node_row), rows):
+            at = node_row[lo : lo + rows]
+            vector = pa.ListArray.from_arrays(np.arange(0, len(at) * dim + 1, dim, dtype=np.int32), pa.array(unit[at].astype(np.float32).ravel()))
+            yield batch(len(at), kind="node", dim=dim, shard=shard, vec_id=ids[at], leader=ids[at], angle=radius[at], vector=vector)
+        data = memoryview(graph.dump(ids=ids[node_row], radii=radius[node_row]))
+        del graph
+        cuts = np.arange(0, len(data), PIECE_BYTES)
+        for lo in range(0, len(cuts), TEXT_BATCH_ROWS):
+            at = cuts[lo : lo + TEXT_BATCH_ROWS]
+            yield batch(len(at), kind="graph", dim=dim, shard=shard, piece=lo + np.arange(len(at)), graph=[data[x : x + PIECE_BYTES] for x in at])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (dim, shard), rows in groupby(_runs(batches, ["dim", "shard"]), itemgetter(0)):
+            ids, unit = zip(*((x.column("vec_id").to_numpy(), _vectors(x.column("unit"), dim)) for _, x in rows))
+            ids, unit = np.concatenate(ids), np.concatenate(unit)
+            yield from one(dim, shard, ids, unit)
+            del ids, unit
+            give_back()
 
     return run
 
@@ -88,60 +136,87 @@ def audit(graph: hnsw.Graph, beam: int, cosine: float) -> float:
     return float((ids == at[:, None]).any(axis=1).mean())
 
 
-def search_block(cosine: float):
-    """Pairs of nodes (query < found or > found, deduplicated later) that may
-    hold links, with the angle between them and both radii."""
-    link = float(np.arccos(cosine))
-    columns = ["a", "b", "angle", "ra", "rb"]
-
-    def run(queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"a": np.zeros(0, "int64"), "b": np.zeros(0, "int64"), "angle": np.zeros(0), "ra": np.zeros(0), "rb": np.zeros(0)})
-        if not len(queries) or not len(graphs):
-            return empty
-        graph = hnsw.Graph.load(graphs["graph"].iloc[0])
-        node_ids = np.asarray(graphs["node_ids"].iloc[0], dtype=np.int64)
-        radii = np.asarray(graphs["radii"].iloc[0], dtype=np.float64)
-        ids, unit, ra = queries["vec_id"].to_numpy("int64"), _matrix(queries["vector"]), queries["angle"].to_numpy("float64")
-        beam = FIRST_BEAM
-        while beam < graph.n and audit(graph, beam, cosine) < AUDIT_RECALL:
-            beam *= 2
-        reach = link + ra + float(radii.max())
-        least = np.cos(np.minimum(reach, np.pi)) - 1e-6  # single precision of the search
-        found: List[pd.DataFrame] = []
-        todo = np.arange(len(ids))
+class Search:
+    """The search of one graph: pairs of nodes (query < found or > found,
+    deduplicated later) that may hold links, with the angle between them and
+    both radii."""
+
+    def __init__(self, graph: hnsw.Graph, cosine: float):
+        self.graph, self.ids, self.radii = graph, graph.more["ids"], graph.more["radii"]
+        self.link, self.beam = float(np.arccos(cosine)), FIRST_BEAM
+        while self.beam < graph.n and audit(graph, self.beam, cosine) < AUDIT_RECALL:
+            self.beam *= 2
+
+    def pairs(self, ids: np.ndarray, unit: np.ndarray, ra: np.ndarray) -> Iterator[Tuple[np.ndarray, ...]]:
+        """Columns a, b, angle, ra and rb, of a few queries at a time."""
+        graph, beam, todo = self.graph, self.beam, np.arange(len(ids))
+        widest = self.link + ra + float(self.radii.max())
+        least = np.cos(np.minimum(widest, np.pi)) - 1e-6  # single precision of the search
         while len(todo):
             full = []
-            for lo in range(0, len(todo), hnsw.BATCH):
-                own = todo[lo : lo + hnsw.BATCH]
+            step = max(1, min(hnsw.BATCH, hnsw.CELLS // min(beam, graph.n)))
+            for lo in range(0, len(todo), step):
+                own = todo[lo : lo + step]
                 hit, sims = graph.search(unit[own], beam)
                 inside = (hit >= 0) & (sims >= least[own, None])
                 crowded = inside.all(axis=1) & (beam < graph.n)
                 full.append(own[crowded])
                 r, c = np.nonzero(inside & ~crowded[:, None])
-                found.append(_pairs(ids, ra, unit, own[r], node_ids, radii, graph, hit[r, c], link))
+                q, hit, sims = own[r], hit[r, c], sims[r, c]
+                near = sims >= np.cos(np.minimum(self.link + ra[q] + self.radii[hit], np.pi)) - 2e-6
+                near &= ids[q] != self.ids[hit]
+                q, hit = q[near], hit[near]
+                rows = max(1, hnsw.CELLS // unit.shape[1])
+                for at in range(0, len(q), rows):
+                    yield self._pairs(ids, unit, ra, q[at : at + rows], hit[at : at + rows])
             todo = np.concatenate(full)
-            beam *= 2
-        out = pd.concat(found, ignore_index=True) if found else empty
-        return out[columns]
+            beam = beam * 2 if beam * 8 < graph.n else graph.n  # beyond that, the products of all nodes take less time
+
+    def _pairs(self, ids, unit, ra, q, hit) -> Tuple[np.ndarray, ...]:
+        # by the chord: single precision of the stored nodes stays well inside this margin, also of small angles
+        chord = np.linalg.norm(unit[q].astype(np.float64) - self.graph.vectors[hit], axis=1)
+        near = 2 * np.arcsin(np.minimum(chord / 2, 1.0))
+        keep = near - ra[q] - self.radii[hit] <= self.link + 1e-4
+        q, hit, near = q[keep], hit[keep], near[keep]
+        a, b = ids[q], self.ids[hit]
+        swap = a > b
+        return (
+            np.where(swap, b, a), np.where(swap, a, b), near,
+            np.where(swap, self.radii[hit], ra[q]), np.where(swap, ra[q], self.radii[hit]),
+        )
+
+
+def search_splits(cosine: float):
+    """Pairs of each split. Rows come sorted by split, first the pieces of the
+    graph in order, then the queries; a worker holds one graph."""
+
+    def one(rows: Iterator[Tuple[tuple, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        pieces: List[pa.Buffer] = []
+        search = None
+        for _, batch in rows:
+            n = batch.num_rows - batch.column("graph").null_count
+            pieces += [x.as_buffer() for x in batch.column("graph").slice(0, n)]
+            batch = batch.slice(n)
+            if batch.num_rows:
+                if search is None:
+                    if not pieces:  # a shard without vectors has no graph
+                        return
+                    data, pieces = b"".join(pieces), []
+                    search = Search(hnsw.Graph.load(data), cosine)
+                    del data
+                unit = _vectors(batch.column("vector"), search.graph.vectors.shape[1])
+                for found in search.pairs(batch.column("vec_id").to_numpy(), unit, batch.column("angle").to_numpy()):
+                    if len(found[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "angle", "ra", "rb"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_runs(batches, ["split"]), itemgetter(0)):
+            yield from one(rows)
+            give_back()
 
     return run
 
 
-def _pairs(ids, ra, unit, q, node_ids, radii, graph, hit, link) -> pd.DataFrame:
-    other = ids[q] != node_ids[hit]
-    q, hit = q[other], hit[other]
-    near = np.einsum("rd,rd->r", unit[q], graph.vectors[hit].astype(np.float64))
-    # single precision of the stored node: well inside this margin
-    keep = _angle(near) - ra[q] - radii[hit] <= link + 1e-4
-    q, hit, near = q[keep], hit[keep], near[keep]
-    a, b = ids[q], node_ids[hit]
-    swap = a > b
-    return pd.DataFrame({
-        "a": np.where(swap, b, a), "b": np.where(swap, a, b), "angle": _angle(near),
-        "ra": np.where(swap, radii[hit], ra[q]), "rb": np.where(swap, ra[q], radii[hit]),
-    })
-
-
 def compare_blocks(cosine: float):
     """Link counts between the two sides of every block: rows of kind ``count``
     (vec_id, n) and one of kind ``edge`` if there is a link at all. Rows come
@@ -199,27 +274,32 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, shard_row
     usable = usable.withColumn("norm", F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)))
     unit = stage(usable.select("vec_id", F.size("vector").alias("dim"), F.transform("vector", lambda v: v / F.col("norm")).alias("unit")), "units")
 
-    # one row per vector length: numbers of shards and blocks
+    # one row per vector length; shards are numbered over all lengths and dealt by number
     dims = unit.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-    dims = dims.select("dim", F.greatest(F.lit(MIN_SHARDS), F.ceil(F.col("n") / shard_rows)).cast("int").alias("shards"))
+    enough = F.greatest(F.ceil(F.col("n") / shard_rows), F.ceil(F.col("n") * F.col("dim") / SHARD_VALUES))
+    dims = dims.select("dim", F.greatest(F.lit(MIN_SHARDS), enough).cast("int").alias("shards"))
+    dims = stage(running_offsets(dims, "shards", ["dim"]), "lengths")
     sharded = unit.join(dims, "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    # a number of its own, so that small shards are not merged into one task
-    tasks = max(partitions(unit), 2 * (dims.agg(F.sum("shards")).first()[0] or 0))
-    sharded = sharded.select("vec_id", "unit", "dim", "shard").repartition(tasks, "dim", "shard")
-    built = stage(sharded.groupBy("dim", "shard").applyInPandas(build_shard(cosine), BUILT), "graphs")
-
-    nodes = built.filter("kind = 'node'").select("dim", "shard", "vec_id", "angle", "vector")
-    blocks = nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    sizes = dims.join(blocks, "dim")
-    asked = nodes.join(sizes, "dim").select(
-        "dim", "vec_id", "angle", "vector", F.pmod(F.xxhash64("vec_id", F.lit("block")), F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
-    )
-    graphs = built.filter("kind = 'graph'").select("dim", "shard", "graph")
-    graphs = graphs.join(_node_lists(built), ["dim", "shard"]).join(blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["dim", "shard", "block"]
-    asked, graphs = asked.toDF(*asked.columns), graphs.drop("blocks").toDF("dim", "shard", "graph", "node_ids", "radii", "block")
-    met = asked.groupBy(*keys).cogroup(graphs.groupBy(*keys)).applyInPandas(search_block(cosine), "a long, b long, angle double, ra double, rb double")
+    sharded = _dealt(sharded.withColumn("number", F.col("first") + F.col("shard")), "number", dims.agg(F.sum("shards")).first()[0])
+    sharded = sharded.select("dim", "shard", "vec_id", "unit").sortWithinPartitions("dim", "shard", "vec_id")
+    built = stage(text_batches(sharded).mapInArrow(build_shards(cosine), BUILT), "graphs")
+
+    # the queries of a shard in splits, each with a copy of the graph
+    nodes = built.filter("kind = 'node'").select("dim", "vec_id", "angle", "vector")
+    least_rows, n = F.ceil(F.col("nodes") / BLOCK_ROWS), F.ceil(F.lit(2 * partitions(unit)) / F.col("shards"))
+    sizes = dims.drop("first").join(nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("nodes")), "dim")
+    sizes = sizes.withColumn("splits", F.greatest(F.ceil(F.col("nodes") / SPLIT_ROWS), F.least(least_rows, n)).cast("int"))
+    sizes = sizes.withColumn("all", F.col("shards").cast("long") * F.col("splits"))
+    sizes = stage(running_offsets(sizes, "all", ["dim"]), "sizes")
+    split = (F.col("first") + F.col("shard") * F.col("splits").cast("long") + F.col("part")).alias("split")
+    asked = nodes.join(sizes, "dim").withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit("block")), F.col("splits")))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    asked = asked.select(split, F.lit(None).cast("int").alias("piece"), "vec_id", "angle", "vector", F.lit(None).cast("binary").alias("graph"))
+    graphs = built.filter("kind = 'graph'").select("dim", "shard", "piece", "vec_id", "angle", "vector", "graph").join(sizes, "dim")
+    graphs = graphs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    met = asked.unionByName(graphs.select(split, "piece", "vec_id", "angle", "vector", "graph"))
+    met = _dealt(met, "split", sizes.agg(F.sum("all")).first()[0])
+    met = text_batches(met.sortWithinPartitions("split", F.col("piece").asc_nulls_last(), "vec_id")).mapInArrow(search_splits(cosine), PAIRS)
     met = stage(met.groupBy("a", "b").agg(F.min("angle").alias("angle"), F.first("ra").alias("ra"), F.first("rb").alias("rb")), "pairs")
 
     link = float(np.arccos(cosine))
@@ -260,11 +340,11 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, shard_row
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _node_lists(built: DataFrame) -> DataFrame:
-    """Node ids and radii of each shard in the graph's order (the order of
-    insertion is the order of ids). A shard is bounded by SHARD_ROWS."""
-    nodes = built.filter("kind = 'node'").groupBy("dim", "shard").agg(F.sort_array(F.collect_list(F.struct("vec_id", "angle"))).alias("at"))
-    return nodes.select("dim", "shard", F.col("at.vec_id").alias("node_ids"), F.col("at.angle").alias("radii"))
+def _dealt(rows: DataFrame, number: str, count: int | None) -> DataFrame:
+    """A task for each of ``count`` numbers, or for a few: by number, so that
+    no two meet in a task by their hash, and AQE does not merge small ones."""
+    tasks = max(1, min(count or 0, MAX_TASKS))
+    return rows.repartitionById(tasks, F.pmod(number, F.lit(tasks)).cast("int"))
 
 
 def op7_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ each with a beam of its own.
 from __future__ import annotations
 
 import io
-from typing import List, Optional, Tuple
+from typing import Dict, List, Optional, Tuple
 
 import numpy as np
 
@@ -19,21 +19,39 @@ BUILD_BEAM = 48
 EXPAND = 4
 DESCENT = 2
 BATCH = 256
+CELLS = 1 << 21  # numbers of one temporary array
 PEERS = 8
 LEVEL_SCALE = 1 / np.log(16)
 
 
-def _top(sims: np.ndarray, ids: np.ndarray, flags: np.ndarray, n: int):
-    if sims.shape[1] <= n:
-        return sims, ids, flags
-    keep = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-    return tuple(np.take_along_axis(x, keep, axis=1) for x in (sims, ids, flags))
+#: A place of a beam that holds nothing; it counts as expanded.
+NONE = np.int64(-(2**63) + 1)
+
+
+def _keys(sims: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """One number per candidate: its similarity, as bits that sort alike, then
+    its id, then (the last bit) whether it was expanded."""
+    bits = sims.view(np.int32)
+    bits = bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))
+    return (bits.astype(np.int64) << 32) | (ids.astype(np.int64) << 1)
+
+
+def _unkeyed(keys: np.ndarray) -> Tuple[np.ndarray, np.ndarray]:
+    """(ids, sims); -1 and -inf for places that hold nothing."""
+    bits = (keys >> 32).astype(np.int32)
+    sims = (bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))).view(np.float32)
+    none = keys == NONE
+    ids = ((keys & np.int64(0xFFFFFFFF)) >> 1).astype(np.int32)
+    return np.where(none, np.int32(-1), ids), np.where(none, np.float32(-np.inf), sims)
 
 
 def diverse(vectors: np.ndarray, ids: np.ndarray, sims: np.ndarray, n: int) -> np.ndarray:
     """Per row at most n of the candidates (-1: none): nearest first, each only
     if it is nearer to the row's point than to any chosen one; what room is
     left goes to the nearest others."""
+    step = max(1, CELLS // (ids.shape[1] * max(1, ids.shape[1], vectors.shape[1])))
+    if len(ids) > step:
+        return np.concatenate([diverse(vectors, ids[lo : lo + step], sims[lo : lo + step], n) for lo in range(0, len(ids), step)])
     order = np.argsort(-sims, axis=1, kind="stable")
     ids, sims = np.take_along_axis(ids, order, axis=1), np.take_along_axis(sims, order, axis=1)
     valid = np.isfinite(sims)
@@ -55,6 +73,7 @@ class Graph:
         self.n = 0
         self.layers: List[np.ndarray] = []
         self.entry = -1
+        self.more: Dict[str, np.ndarray] = {}
 
     def _layer(self, level: int) -> np.ndarray:
         while len(self.layers) <= level:
@@ -62,48 +81,61 @@ class Graph:
             self.layers.append(np.full((len(self.vectors), width), -1, dtype=np.int32))
         return self.layers[level]
 
+    def _dots(self, q: np.ndarray, counts: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Products of each query with its ``counts`` nodes, CELLS numbers at a time."""
+        row = np.repeat(np.arange(len(q)), counts)
+        out = np.empty(len(nodes), dtype=np.float32)
+        step = max(1, CELLS // q.shape[1])
+        for lo in range(0, len(nodes), step):
+            hi = lo + step
+            out[lo:hi] = np.einsum("rd,rd->r", self.vectors.take(nodes[lo:hi], axis=0), q.take(row[lo:hi], axis=0))
+        return out
+
     def _beam(self, q: np.ndarray, entry: np.ndarray, beam: int, level: int) -> Tuple[np.ndarray, np.ndarray]:
-        """(ids, sims) of each query's beam, unordered; -1 where it is not full."""
-        links = self.layers[level]
-        rows = len(q)
-        ids = np.full((rows, beam), -1, dtype=np.int32)
-        sims = np.full((rows, beam), -np.inf, dtype=np.float32)
-        done = np.ones((rows, beam), dtype=bool)
-        ids[:, 0], done[:, 0] = entry, False
-        sims[:, 0] = np.einsum("rd,rd->r", self.vectors[entry], q)
-        seen = np.zeros((rows, self.n), dtype=bool)
-        seen[np.arange(rows), entry] = True
+        """(ids, sims) of each query's beam, worst first; -1 where it is not full."""
+        links, rows = self.layers[level], len(q)
+        out = np.full((rows, beam), NONE, dtype=np.int64)
+        beams = out.copy()  # of the queries still under way, each row sorted
+        beams[:, -1] = _keys(np.einsum("rd,rd->r", self.vectors[entry], q), entry)
+        seen = np.zeros(rows * self.n, dtype=bool)
+        base = np.arange(rows, dtype=np.int64) * self.n
+        seen[base + entry] = True
         live = np.arange(rows)
         width = min(EXPAND, beam)
         while len(live):
-            waiting = np.where(done[live], -np.inf, sims[live])
-            pick = np.argpartition(-waiting, width - 1, axis=1)[:, :width] if width < beam else np.tile(np.arange(beam), (len(live), 1))
-            some = np.isfinite(np.take_along_axis(waiting, pick, axis=1))
-            going = some.any(axis=1)
-            live, pick, some = live[going], pick[going], some[going]
-            if not len(live):
-                break
-            done[live[:, None], pick] |= some
-            found = links[ids[live[:, None], pick]]
-            found = np.where(some[:, :, None], found, -1).reshape(len(live), -1)
-            at = np.maximum(found, 0)
-            fresh = (found >= 0) & ~seen[live[:, None], at]
-            r, c = np.nonzero(fresh)
-            # a node reached twice in one step counts once
-            once = np.unique(r * self.n + at[r, c], return_index=True)[1]
-            r, c = r[once], c[once]
-            fresh = np.zeros_like(fresh)
-            fresh[r, c] = True
-            seen[live[r], at[r, c]] = True
-            s = np.full(found.shape, -np.inf, dtype=np.float32)
-            s[r, c] = np.einsum("rd,rd->r", self.vectors[at[r, c]], q[live[r]])
-            sims[live], ids[live], done[live] = _top(
-                np.concatenate([sims[live], s], axis=1),
-                np.concatenate([ids[live], np.where(fresh, found, -1).astype(np.int32)], axis=1),
-                np.concatenate([done[live], ~fresh], axis=1),
-                beam,
-            )
-        return ids, sims
+            waiting = np.where(beams & 1, NONE, beams)
+            pick = np.argpartition(waiting, beam - width, axis=1)[:, beam - width :] if width < beam else np.tile(np.arange(beam), (len(live), 1))
+            best = np.take_along_axis(waiting, pick, axis=1)
+            going = (best != NONE).any(axis=1)
+            if not going.all():
+                out[live[~going]] = beams[~going]
+                live, beams, pick, best, q, base = live[going], beams[going], pick[going], best[going], q[going], base[going]
+                if not len(live):
+                    break
+            np.put_along_axis(beams, pick, np.take_along_axis(beams, pick, axis=1) | 1, axis=1)
+            some = best != NONE
+            found = links[np.where(some, (best & np.int64(0xFFFFFFFF)) >> 1, 0)]
+            found[~some] = -1
+            found = np.sort(found.reshape(len(live), -1), axis=1)
+            fresh = found >= 0
+            fresh[:, 1:] &= found[:, 1:] != found[:, :-1]  # reached twice in one step
+            at = base[:, None] + np.maximum(found, 0)
+            fresh &= ~seen.take(at)
+            seen[at[fresh]] = True
+            counts, nodes = fresh.sum(axis=1), found[fresh]
+            new = _keys(self._dots(q, counts, nodes), nodes)
+            row = np.repeat(np.arange(len(live)), counts)
+            better = new > beams[row, 0]
+            new, row = new[better], row[better]
+            counts = np.bincount(row, minlength=len(live))
+            room = int(counts.max(initial=0))
+            if room:
+                both = np.full((len(live), room + beam), NONE, dtype=np.int64)
+                both[:, room:] = beams
+                both[row, np.arange(len(row)) - (np.cumsum(counts) - counts)[row]] = new
+                both.sort(axis=1)
+                beams = both[:, room:]
+        return _unkeyed(out)
 
     def _descend(self, q: np.ndarray, down_to: int) -> np.ndarray:
         entry = np.full(len(q), self.entry, dtype=np.int64)
@@ -119,8 +151,9 @@ class Graph:
             return np.tile(np.arange(self.n, dtype=np.int32), (len(q), 1)), sims
         return self._beam(q, self._descend(q, 0), beam, 0)
 
-    def add(self, new: np.ndarray, levels: np.ndarray) -> None:
-        """Link a batch into every layer up to each point's level."""
+    def add(self, new: np.ndarray, levels: np.ndarray, known: Optional[Tuple[np.ndarray, np.ndarray]] = None) -> None:
+        """Link a batch into every layer up to each point's level. ``known``:
+        what ``search`` has just found for it with BUILD_BEAM."""
         at = np.arange(self.n, self.n + len(new))
         self.vectors[at] = new
         new = self.vectors[at]
@@ -134,7 +167,7 @@ class Graph:
             near = np.argpartition(-among, n_peers - 1, axis=1)[:, :n_peers]
             ids, sims = at[near].astype(np.int32), np.take_along_axis(among, near, axis=1).astype(np.float32)
             if had and level <= self.entry_level:
-                g_ids, g_sims = self._beam(new[own], self._entry_for(new[own], level), BUILD_BEAM, level)
+                g_ids, g_sims = known if level == 0 and known else self._beam(new[own], self._entry_for(new[own], level), BUILD_BEAM, level)
                 ids, sims = np.concatenate([g_ids, ids], axis=1), np.concatenate([g_sims, sims], axis=1)
             plans.append((level, own, ids, sims))
         self.n += len(new)
@@ -174,14 +207,20 @@ class Graph:
             t, s = t[full], s[full]
             if len(t):
                 ids = np.concatenate([links[t], s[:, None].astype(np.int32)], axis=1)
-                sims = np.einsum("rcd,rd->rc", self.vectors[np.maximum(ids, 0)], self.vectors[t])
+                sims = np.empty(ids.shape, dtype=np.float32)
+                step = max(1, CELLS // (ids.shape[1] * self.vectors.shape[1]))
+                for lo in range(0, len(t), step):
+                    hi = lo + step
+                    sims[lo:hi] = np.einsum("rcd,rd->rc", self.vectors[np.maximum(ids[lo:hi], 0)], self.vectors[t[lo:hi]])
                 kept = diverse(self.vectors, ids, np.where(ids >= 0, sims, -np.inf), cap)
                 links[t] = -1
                 links[t[:, None], np.arange(kept.shape[1])] = kept
 
-    def dump(self) -> bytes:
+    def dump(self, **more: np.ndarray) -> bytes:
+        """``more``: arrays to be kept with the graph."""
         out = io.BytesIO()
-        np.savez(out, vectors=self.vectors[: self.n], entry=np.array([self.entry]), **{f"layer{i}": x[: self.n] for i, x in enumerate(self.layers)})
+        layers = {f"layer{i}": x[: self.n] for i, x in enumerate(self.layers)}
+        np.savez(out, vectors=self.vectors[: self.n], entry=np.array([self.entry]), **layers, **{f"own_{k}": x for k, x in more.items()})
         return out.getvalue()
 
     @staticmethod
@@ -192,6 +231,7 @@ class Graph:
             g.n = len(g.vectors)
             g.layers = [z[f"layer{i}"] for i in range(sum(k.startswith("layer") for k in z.files))]
             g.entry_level = len(g.layers) - 1
+            g.more = {k[4:]: z[k] for k in z.files if k.startswith("own_")}
         return g
 
 
@@ -215,13 +255,14 @@ def build(ids: np.ndarray, unit: np.ndarray, absorb: float) -> Tuple[Graph, np.n
     levels = levels_of(ids)
     for lo in range(0, len(ids), BATCH):
         rows = np.arange(lo, min(lo + BATCH, len(ids)))
+        known = None
         if graph.n:
             found, sims = graph.search(unit[rows], BUILD_BEAM)
             best = found[np.arange(len(rows)), sims.argmax(axis=1)]
             exact = np.einsum("rd,rd->r", unit[node_row[best]], unit[rows])
             hit = exact >= absorb
             leader[rows[hit]], cosine[rows[hit]] = node_row[best[hit]], exact[hit]
-            rows = rows[~hit]
+            rows, known = rows[~hit], (found[~hit], sims[~hit])
         among = unit[rows] @ unit[rows].T >= absorb
         fresh: List[int] = []
         for i, row in enumerate(rows):
@@ -230,9 +271,9 @@ def build(ids: np.ndarray, unit: np.ndarray, absorb: float) -> Tuple[Graph, np.n
                 fresh.append(i)
             else:
                 leader[row], cosine[row] = rows[near], float(unit[row] @ unit[rows[near]])
-        rows = rows[fresh]
+        rows, known = rows[fresh], known and (known[0][fresh], known[1][fresh])
         if len(rows):
             node_row[graph.n : graph.n + len(rows)] = rows
             leader[rows] = rows
-            graph.add(unit[rows], levels[rows])
+            graph.add(unit[rows], levels[rows], known)
     return graph, node_row[: graph.n], leader, cosine
